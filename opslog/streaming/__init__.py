@@ -1,0 +1 @@
+"""Left empty on purpose: every step is a batch over whole months or quarters."""
