@@ -25,18 +25,22 @@ def is_log_line(value: Column) -> Column:
     return value.rlike(LINE_PATTERN)
 
 
-def event_text(value: Column) -> Column:
-    """The event timestamp text; only meaningful on a log line (it ends at the fifth space)."""
-    return F.substring(F.substring_index(value, " ", 5), -EVENT_TS_LENGTH, EVENT_TS_LENGTH)
+def leading_field(value: Column, name: str) -> Column:
+    """One of the first eight fields of a log line, without building the whole field array."""
+    ends = LINE_FIELDS.index(name) + 1
+    return F.substring_index(F.substring_index(value, " ", ends), " ", -1)
 
 
 def event_time(text: Column) -> Column:
-    """'2005-06-03-15.42.50.675872' -> timestamp without zone; null for an impossible time."""
-    iso = F.concat(
-        F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 2), F.lit(":"),
-        F.substring(text, 15, 2), F.lit(":"), F.substring(text, 18, 9),
-    )
-    return F.when(~text.startswith("0000-"), iso.try_cast("timestamp_ntz"))
+    """'2005-06-03-15.42.50.675872' -> timestamp without zone; null for an impossible time.
+
+    ``overlay`` keeps the text a single operand: a filter that Catalyst pushes down evaluates
+    it once per use.
+    """
+    iso = text
+    for position, mark in ((11, " "), (14, ":"), (17, ":")):
+        iso = F.overlay(iso, F.lit(mark), position)
+    return iso.try_cast("timestamp_ntz")
 
 
 def field_array(value: Column) -> Column:

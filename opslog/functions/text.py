@@ -28,16 +28,16 @@ def _replace(text: Column, needle: str, pattern: str, mask: str) -> Column:
     return F.when(text.contains(needle), F.regexp_replace(text, pattern, mask)).otherwise(text)
 
 
-def _known(part: Column) -> Column:
-    return F.coalesce(F.nullif(part, F.lit("")), F.lit(UNKNOWN_LOCATION))
+def _known_prefix(node: Column, pattern: str, length: int) -> Column:
+    return F.when(node.rlike(pattern), F.substring(node, 1, length)).otherwise(UNKNOWN_LOCATION)
 
 
 def rack(node: Column) -> Column:
-    return _known(F.regexp_extract(node, RACK_PATTERN, 1))
+    return _known_prefix(node, RACK_PATTERN, len("R00"))
 
 
 def midplane(node: Column) -> Column:
-    return _known(F.regexp_extract(node, MIDPLANE_PATTERN, 1))
+    return _known_prefix(node, MIDPLANE_PATTERN, len("R00-M0"))
 
 
 def mask_email(text: Column) -> Column:

@@ -19,6 +19,10 @@ def parse_lines(raw: DataFrame) -> DataFrame:
     return matched.select("raw_line", *(L.field(F.col("parts"), n).alias(n) for n in LINE_FIELDS))
 
 
+def event_text(value: Column) -> Column:
+    return L.leading_field(value, "event_ts_raw")
+
+
 def keep_valid_lines(raw: DataFrame) -> DataFrame:
     """Distinct lines that match, have a possible time, and belong to their ``month``.
 
@@ -27,11 +31,11 @@ def keep_valid_lines(raw: DataFrame) -> DataFrame:
     already merged before the shuffle.
     """
     value = F.col("value")
-    text = L.event_text(value)
     return (
-        raw.filter(L.is_log_line(value))
-        .filter(F.substring(text, 1, 7) == F.col("month"))
-        .filter(L.event_time(text).isNotNull())
+        raw.filter(~F.col("month").startswith("0000"))  # there is no year zero
+        .filter(L.is_log_line(value))
+        .filter(F.substring(event_text(value), 1, 7) == F.col("month"))
+        .filter(L.event_time(event_text(value)).isNotNull())
         .select("value")
         .distinct()
     )
@@ -46,25 +50,38 @@ def log_template(masked: Column) -> Column:
 
 
 def to_events(lines: DataFrame) -> DataFrame:
-    """Valid lines (``value``) -> the eleven event columns plus ``month``."""
-    parts = F.col("parts")
-    named = lines.select(L.field_array(F.col("value")).alias("parts")).select(
-        L.field(parts, "event_ts_raw").alias("event_ts"),
-        L.field(parts, "alert_label").alias("alert_label"),
-        *(L.field(parts, n).alias(n) for n in ("node", "event_type", "component")),
-        F.upper(L.field(parts, "level")).alias("level"),
-        mask_pii(L.field(parts, "message")).alias("message"),
+    """Valid lines (``value``) -> the eleven event columns plus ``month``.
+
+    Time and node come straight from the line, so that a filter on time or midplane moves
+    below the distinct as a short expression. Text is masked in separate projections because
+    each step refers to the one before it more than once.
+    """
+    value, parts = F.col("value"), F.col("parts")
+    named = lines.select(
+        L.event_time(event_text(value)).alias("event_time"),
+        F.substring(event_text(value), 1, 7).alias("month"),
+        L.leading_field(value, "node").alias("node"),
+        L.field_array(value).alias("parts"),
     )
-    return named.select(
-        L.event_time(F.col("event_ts")).alias("event_time"),
-        F.substring("event_ts", 1, 7).alias("month"),
+    label = L.field(parts, "alert_label")
+    located = named.select(
+        "event_time", "month", "node",
         T.rack(F.col("node")).alias("rack"),
         T.midplane(F.col("node")).alias("midplane"),
-        (F.col("alert_label") != NO_ALERT).alias("is_alert"),
-        F.nullif(F.col("alert_label"), F.lit(NO_ALERT)).alias("alert_category"),
-        log_template(F.col("message")).alias("template"),
-        *(n for n in ("node", "event_type", "component", "level", "message")),
-    ).select(*EVENT_COLUMNS, "month")
+        (label != NO_ALERT).alias("is_alert"),
+        F.when(label != NO_ALERT, label).alias("alert_category"),
+        L.field(parts, "event_type").alias("event_type"),
+        L.field(parts, "component").alias("component"),
+        F.upper(L.field(parts, "level")).alias("level"),
+        L.field(parts, "message").alias("message"),
+    )
+    masked = located
+    for mask in (T.mask_email, T.mask_ip):
+        masked = masked.withColumn("message", mask(F.col("message")))
+    templated = masked.withColumn("template", T.mask_hex(F.col("message")))
+    return templated.withColumn("template", T.mask_numbers(F.col("template"))).select(
+        *EVENT_COLUMNS, "month"
+    )
 
 
 def clean(raw: DataFrame, *, gather_months: bool = False) -> DataFrame:
@@ -76,7 +93,7 @@ def clean(raw: DataFrame, *, gather_months: bool = False) -> DataFrame:
     """
     lines = keep_valid_lines(raw)
     if gather_months:
-        month = F.substring(L.event_text(F.col("value")), 1, 7)
+        month = F.substring(event_text(F.col("value")), 1, 7)
         lines = lines.select("value", month.alias("month")).hint("rebalance", F.col("month"))
     return to_events(lines)
 

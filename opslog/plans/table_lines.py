@@ -32,10 +32,13 @@ def _lines(source: DataFrame) -> DataFrame:
     node = F.when(user % 37 == 0, "UNKNOWN_LOCATION").otherwise(
         F.concat(F.lit("R"), F.lpad(_text(user % 4), 2, "0"), F.lit("-M"), _text(user % 2), F.lit("-N0"))
     )
+    time = F.col("time")  # 'yyyy-MM-dd HH:mm:ss' with a fraction unless it is zero
     time_text = (
         F.when(number % 89 == 1, "2024-01-32-00.00.00.000000")
         .when(number % 83 == 1, "2023-12-31-23.59.59.999999")
-        .otherwise(F.date_format("ts", "yyyy-MM-dd-HH.mm.ss.SSSSSS"))
+        .otherwise(F.concat(
+            F.substring(time, 1, 10), F.lit("-"), F.translate(F.substring(time, 12, 8), ":", "."),
+            F.lit("."), F.rpad(F.substring(time, 21, 6), 6, "0")))
     )
     component = F.when(user % 3 == 0, "APP").when(user % 7 == 0, "DISCOVERY").otherwise("KERNEL")
     levels = {"error": "FATAL", "view": "info", "click": "WARNING", "signup": "SEVERE"}
@@ -49,15 +52,15 @@ def _lines(source: DataFrame) -> DataFrame:
     )
     seconds = _text(F.unix_timestamp(F.col("ts").cast("timestamp")))
     whole = F.concat_ws(
-        " ", label, seconds, F.date_format("ts", "yyyy.MM.dd"), node, time_text, node,
+        " ", label, seconds, F.translate(F.substring(time, 1, 10), "-", "."), node, time_text, node,
         F.lit("RAS"), component, level, message,
     )
     value = F.when(number % 97 == 1, F.concat(F.lit("garbage "), _text("event_id"))).otherwise(whole)
     # Exploding the text itself also keeps later filters on it from being pushed below the
     # generator, where the long expression above would be evaluated once per filter.
     copies = F.array_repeat(value, F.when(number % 50 == 0, 2).otherwise(1))
-    return source.select(
-        "event_id", F.date_format("ts", "yyyy-MM").alias("month"),
+    return source.withColumn("time", _text("ts")).select(
+        "event_id", F.substring(time, 1, 7).alias("month"),
         F.posexplode(copies).alias("copy", "value"),
     ).select((F.col("event_id") * 2 + F.col("copy")).alias("line_no"), "month", "value")
 
@@ -147,7 +150,7 @@ def audit_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         key.alias("run_id"),
         step.alias("step"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("period"),
+        F.substring(_text("o_orderdate"), 1, 7).alias("period"),
         rows_in.alias("rows_in"),
         (rows_in - key % 50).alias("rows_out"),
         F.when(failed, "failed").otherwise("success").alias("status"),
