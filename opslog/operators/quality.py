@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslog.fixed import FEATURE_COLUMNS, MAX_DROP_RATE, STATUSES, STEPS
+from opslog.fixed import (
+    FEATURE_COLUMNS,
+    MANIFEST_SCHEMA,
+    MAX_DROP_RATE,
+    STATUSES,
+    STEPS,
+    column_names,
+)
 
 
 def percent(ratio: Column, digits: int) -> Column:
@@ -39,46 +47,50 @@ def quality_gate(counts: DataFrame, max_drop_rate: float = MAX_DROP_RATE) -> Dat
     )
 
 
-def _violations(checks: dict[str, Column]) -> Column:
-    """One (rule, violations) row per check from a single aggregate row."""
-    pairs = F.array(*(
-        F.struct(F.lit(rule).alias("rule"), count.cast("bigint").alias("violations"))
-        for rule, count in checks.items()
-    ))
-    return F.inline(pairs)
-
-
 def _nulls(columns) -> dict[str, Column]:
     return {f"{c} is null": F.count_if(F.col(c).isNull()) for c in columns}
 
 
-def _duplicate_keys(table: DataFrame, keys: list[str], rule: str) -> DataFrame:
+def _rule_rows(counts: DataFrame, checks: dict[str, Column], by: Sequence[str]) -> DataFrame:
+    """One (rule, violations) row per check, from one pass over the table."""
+    totals = counts.groupBy(*by).agg(*(check.alias(f"c{i}") for i, check in enumerate(checks.values())))
+    pairs = F.array(*(
+        F.struct(F.lit(rule).alias("rule"), F.col(f"c{i}").cast("bigint").alias("violations"))
+        for i, rule in enumerate(checks)
+    ))
+    return totals.select(*by, F.inline(pairs))
+
+
+def _duplicate_keys(table: DataFrame, keys: list[str], rule: str, by: Sequence[str]) -> DataFrame:
     """Number of keys that occur more than once. The count per key is merged before the shuffle."""
-    repeated = table.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    return repeated.agg(F.count("*").alias("violations")).select(F.lit(rule).alias("rule"), "violations")
+    per_key = table.groupBy(*by, *keys).agg(F.count("*").alias("n"))
+    return per_key.groupBy(*by).agg(F.count_if(F.col("n") > 1).alias("violations")).select(
+        *by, F.lit(rule).alias("rule"), "violations"
+    )
 
 
-def _report(table: DataFrame, checks: dict[str, Column], unique: dict[str, list[str]]) -> DataFrame:
-    counts = table.agg(*(c.alias(f"c{i}") for i, c in enumerate(checks.values())))
-    rows = counts.select(_violations({rule: F.col(f"c{i}") for i, rule in enumerate(checks)}))
-    parts = [_duplicate_keys(table, keys, rule) for rule, keys in unique.items()]
-    return reduce(DataFrame.unionByName, parts, rows)
+def _report(
+    table: DataFrame, checks: dict[str, Column], unique: dict[str, list[str]], by: Sequence[str] = ()
+) -> DataFrame:
+    parts = [_duplicate_keys(table, keys, rule, by) for rule, keys in unique.items()]
+    return reduce(DataFrame.unionByName, parts, _rule_rows(table, checks, by))
 
 
-def feature_violations(features: DataFrame) -> DataFrame:
+def feature_violations(features: DataFrame, by: str | None = None) -> DataFrame:
+    """Violations of the feature constraints, for the whole table or for each value of ``by``."""
     checks = _nulls(FEATURE_COLUMNS)
     checks["events_total < alerts"] = F.count_if(F.col("events_total") < F.col("alerts"))
-    return _report(features, checks, {"duplicate midplane, hour_start": ["midplane", "hour_start"]})
+    key = {"duplicate midplane, hour_start": ["midplane", "hour_start"]}
+    return _report(features, checks, key, [by] if by else ())
 
 
 def manifest_violations(manifest: DataFrame) -> DataFrame:
-    columns = ["file_name", "month", "sha256", "line_count", "size_bytes", "hdfs_path", "ingested_at"]
-    return _report(manifest, _nulls(columns), {"duplicate file_name": ["file_name"]})
+    checks = _nulls(column_names(MANIFEST_SCHEMA))
+    return _report(manifest, checks, {"duplicate file_name": ["file_name"]})
 
 
 def audit_violations(audit: DataFrame) -> DataFrame:
-    columns = ["run_id", "step", "period", "status", "started_at", "finished_at"]
-    checks = _nulls(columns)
+    checks = _nulls(["run_id", "step", "period", "status", "started_at", "finished_at"])
     checks["unknown step"] = F.count_if(~F.col("step").isin(*STEPS))
     checks["unknown status"] = F.count_if(~F.col("status").isin(*STATUSES))
     return _report(audit, checks, {"duplicate run_id": ["run_id"]})

@@ -8,7 +8,7 @@ task: only one small row per split is ever ordered by file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.fixed import FORMAT_CHECK_LINES
@@ -87,20 +87,30 @@ def split_counts(lines_by_month: DataFrame) -> DataFrame:
     return lines_by_month.groupBy("month").agg(F.count("*").alias("line_count"))
 
 
-def inspect_files(lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
+def inspect_files(
+    lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES, fingerprint: bool = False
+) -> DataFrame:
     """Line count, and the share of the first ``check_lines`` lines that start like a log line.
 
     Only splits that can hold one of the first lines are numbered, in most files the first one.
+    ``fingerprint`` adds a text that depends on the lines and their order but not on where
+    splits begin; it needs ids without gaps inside a split, as the file reader gives them.
     """
-    per_split = lines.groupBy("file_name", "split").agg(F.count("*").alias("lines"))
+    measures = {"lines": F.count("*")} | (_split_sums() if fingerprint else {})
+    per_split = lines.groupBy("file_name", "split").agg(
+        *(measure.alias(name) for name, measure in measures.items())
+    )
     before = (
         Window.partitionBy("file_name").orderBy("split")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = per_split.withColumn(
-        "lines_before", F.coalesce(F.sum("lines").over(before), F.lit(0))
+        "lines_before", F.coalesce(F.sum("lines").over(before), F.lit(0).cast("bigint"))
+    )
+    totals = {"line_count": F.sum("lines")} | ({"fingerprint": _fingerprint()} if fingerprint else {})
+    counts = offsets.groupBy("file_name").agg(
+        *(total.alias(name) for name, total in totals.items())
     )
-    counts = offsets.groupBy("file_name").agg(F.sum("lines").alias("line_count"))
     head = lines.join(
         offsets.filter(F.col("lines_before") < check_lines)
         .select("file_name", "split", "lines_before"),
@@ -114,3 +124,40 @@ def inspect_files(lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> Da
         .agg(F.avg(starts_like_log_line(F.col("value")).cast("double")).alias("valid_share"))
     )
     return counts.join(valid, "file_name")
+
+
+# Sums of line hashes for the fingerprint. Products stay below 2^62 because both factors are
+# reduced by this prime, and a split has far fewer than 2^31 lines.
+_PRIME = 2**31 - 1
+
+
+def _modulo(number: Column) -> Column:
+    return F.pmod(number, F.lit(_PRIME).cast("bigint"))
+
+
+def _position(line_id: Column) -> Column:
+    """Row number inside the scan task: the lower 33 bits of the generated id."""
+    return _modulo(line_id.bitwiseAND(F.lit(2**33 - 1).cast("bigint")))
+
+
+def _split_sums() -> dict[str, Column]:
+    digest = F.xxhash64("value")
+    return {
+        "low": F.sum(digest.bitwiseAND(F.lit(2**32 - 1).cast("bigint"))),
+        "high": F.sum(F.shiftright(digest, 32)),
+        "plain": F.sum(_modulo(digest)),
+        "placed": F.sum(_modulo(_modulo(digest) * _position(F.col("line_id")))),
+        "first": _position(F.min("line_id")),
+    }
+
+
+def _fingerprint() -> Column:
+    """'lines:low:high:order'. ``order`` is the sum of hash x line number in the file: moving
+    the first line of a split to its place in the file shifts ``placed`` by a multiple of ``plain``."""
+    shift = _modulo(F.col("lines_before") - F.col("first")) * _modulo(F.col("plain"))
+    order = F.sum(_modulo(F.col("placed") + _modulo(shift)).cast("decimal(38,0)"))
+    parts = [
+        F.sum("lines"), F.sum(F.col("low").cast("decimal(38,0)")),
+        F.sum(F.col("high").cast("decimal(38,0)")), order % F.lit(_PRIME),
+    ]
+    return F.concat_ws(":", *(part.cast("string") for part in parts))
