@@ -75,8 +75,7 @@ def inspect_landing(
     lines = L.read_log_lines(lake.spark, landing, file_names=names)
     fingerprint = F.concat_ws(":", F.col("size_bytes").cast("string"), F.col("fingerprint"))
     return (
-        files.groupBy("file_name").agg(F.sum("size_bytes").alias("size_bytes"))
-        .join(S.inspect_files(lines, check_lines, fingerprint=True), "file_name", "left")
+        files.join(S.inspect_files(lines, check_lines, fingerprint=True), "file_name", "left")
         .join(L.file_sha256(lake.spark, landing, names), "file_name", "left")
         .select(
             "file_name",

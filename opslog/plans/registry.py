@@ -157,10 +157,9 @@ def period_checks(spark, sf_dir):
 
 def quarters_ready(spark, sf_dir):
     """Which clean months complete a quarter; the last month of all completes its quarter too."""
-    months = C.clean(B.order_lines(spark, sf_dir)).select("month").distinct()
-    last = months.agg(F.max("month").alias("last_month"))
-    ready = P.ready_quarter(F.col("month"), F.col("last_month"))
-    return months.join(last).select("month", ready.alias("quarter"))
+    months = _order_events(spark, sf_dir).select("month").distinct()
+    last = months.agg(F.max("month")).scalar()
+    return months.select("month", P.ready_quarter(F.col("month"), last).alias("quarter"))
 
 
 def quarter_events(spark, sf_dir):

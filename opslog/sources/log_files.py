@@ -7,20 +7,20 @@ logical ``file_name``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslog.fixed import LANDING_GLOB, MONTH_PATTERN
+from opslog.fixed import LANDING_GLOB, LANDING_NAME, MONTH_PATTERN
 from opslog.functions.periods import landing_name
 from opslog.session import pin_file_splits
 
 # Larger files would have to fit into one row; they get a fingerprint of their lines instead.
 SHA256_MAX_BYTES = 512 * 1024 * 1024
 
-_LANDING_REGEX = LANDING_GLOB.replace(".", r"\.").replace("*", ".*")
-
 
 def _last_part(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
@@ -58,13 +58,27 @@ def read_log_lines(
 
 
 def list_landing_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Physical files of the landing folder: file_name (logical), path, size_bytes. No content is read."""
+    """file_name (logical) and size_bytes of what lies in the landing folder; nothing is opened.
+
+    Spark scans leave out empty files, so the names come from the file listing itself: one
+    per month, however many part files a month has.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    plain = _last_part(F.col("path")).rlike(rf"^{_LANDING_REGEX}$")
-    part = F.col("path").rlike(rf"/month={MONTH_PATTERN}/[^/]+$")
-    return files.filter(plain | part).select(
-        _logical_name(F.col("path")).alias("file_name"), "path", F.col("length").alias("size_bytes")
+    names = {name for path in files.inputFiles() if (name := _name_from_listing(path))}
+    listed = spark.createDataFrame([(name,) for name in sorted(names)], "file_name string")
+    sizes = files.groupBy(_logical_name(F.col("path")).alias("file_name")).agg(
+        F.sum("length").alias("size_bytes")
     )
+    return listed.join(sizes, "file_name", "left").select(
+        "file_name", F.coalesce("size_bytes", F.lit(0).cast("bigint")).alias("size_bytes")
+    )
+
+
+def _name_from_listing(path: str) -> str | None:
+    folder, name = path.split("/")[-2:]
+    if part := re.fullmatch(rf"month=({MONTH_PATTERN})", folder):
+        return LANDING_NAME % part[1]
+    return name if fnmatchcase(name, LANDING_GLOB) else None
 
 
 def file_sha256(

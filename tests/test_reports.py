@@ -1,0 +1,146 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from opslog.fixed import AUDIT_SCHEMA, FEATURE_SCHEMA, MANIFEST_SCHEMA
+from opslog.operators import quality as Q
+from opslog.operators import reports as R
+
+DAY = datetime(2005, 7, 1)
+
+
+def runs(spark, *rows):
+    """Each row: step, period, status, hours after DAY, rows_in, rows_out."""
+    full = [
+        (i, step, period, None, rows_in, rows_out, None, status, "m", DAY, DAY + timedelta(hours=hours))
+        for i, (step, period, status, hours, rows_in, rows_out) in enumerate(rows)
+    ]
+    return spark.createDataFrame(full, AUDIT_SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def audit(spark):
+    return runs(
+        spark,
+        ("ingest", "2005-06", "success", 1, 100, 100),
+        ("clean", "2005-06", "failed", 2, 100, None),
+        ("clean", "2005-06", "success", 3, 100, 99),
+        ("clean", "2005-07", "success", 4, 200, 190),
+        ("clean", "2005-07", "success", 4, 200, 195),   # same time, later run
+        ("clean", "2005-07", "failed", 9, 200, 1),
+        ("aggregate", "2005Q2", "success", 5, 99, 9),
+    )
+
+
+def test_latest_result_wins_and_ties_go_to_the_later_run(audit):
+    rows = {(r.period, r.step): r.status for r in R.latest_runs(audit).collect()}
+    assert rows[("2005-06", "clean")] == "success" and rows[("2005-07", "clean")] == "failed"
+
+
+def test_status_grid(audit):
+    rows = {r.period: r for r in R.status_grid(audit).collect()}
+    assert R.status_grid(audit).columns == ["period", "ingest", "clean", "quality_check", "aggregate", "deliver"]
+    assert rows["2005-07"].clean == "❌ failed" and rows["2005-07"].ingest == "–"
+    assert rows["2005Q2"].aggregate == "✅ success"
+
+
+def test_lines_per_month(audit):
+    assert [tuple(r) for r in R.lines_per_month(audit).collect()] == [
+        ("2005-06", 100, 99, 1, "1.000%"), ("2005-07", 200, 195, 5, "2.500%")]
+
+
+def test_recent_runs(audit):
+    rows = R.recent_runs(audit, 3).collect()
+    assert [(r.step, r.rows_out) for r in rows] == [("clean", 1), ("aggregate", 9), ("clean", 195)]
+    assert R.recent_runs(audit).count() == 7
+
+
+def test_key_figures(spark, audit):
+    row = R.pipeline_kpis(audit).first()
+    assert (row.last_success, row.failed_runs) == (DAY + timedelta(hours=5), 2)
+    empty = R.manifest_kpis(spark.createDataFrame([], MANIFEST_SCHEMA)).first()
+    assert (empty.files, empty.lines) == (0, 0)
+    row = R.feature_kpis(spark.createDataFrame([], FEATURE_SCHEMA)).first()
+    assert (row["rows"], row["quarters"]) == (0, 0)
+
+
+def test_rows_dropped_rules(spark, audit):
+    rows = R.audit_rows(audit.withColumn("message", F.repeat(F.lit("é"), 600))).collect()
+    assert [r.rows_dropped for r in rows] == [0, None, 1, 10, 5, 199, None]
+    assert all(r.message == "é" * 500 for r in rows)
+
+
+def feature(quarter="2005Q2", midplane="R00-M0", hour=0, total=2, alerts=1, label=True):
+    return (quarter, midplane, DAY + timedelta(hours=hour), total, 0, 0, 0, 0, 0, 0, 1, alerts, label)
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    rows = [feature(hour=h, midplane=f"R{m:02d}-M0", alerts=m % 3, total=5 + m % 2, label=h == 0)
+            for m in range(20) for h in range(2)]
+    return spark.createDataFrame([*rows, feature("2005Q3", hour=9)], FEATURE_SCHEMA)
+
+
+def test_feature_reports(features):
+    assert [r.quarter for r in R.quarters(features).collect()] == ["2005Q2", "2005Q3"]
+    assert [r.quarter for r in R.latest_quarter(features).collect()] == ["2005Q3"]
+    top = R.top_midplanes(features, "2005Q2").collect()
+    assert len(top) == 15
+    expected = sorted(range(20), key=lambda m: (-(m % 3), -(m % 2), m))[:15]
+    assert [r.midplane for r in top] == [f"R{m:02d}-M0" for m in expected]
+    hours = R.feature_rows(features, "2005Q2", "R03-M0").collect()
+    assert [r.hour_start.hour for r in hours] == [0, 1]
+    row = R.midplane_kpis(features).filter("midplane = 'R05-M0'").first()
+    assert (row.hours, row.events, row.alert_lines, row.alert_share) == (2, 12, 4, 0.5)
+
+
+# ---- rules -----------------------------------------------------------------
+
+def found(report):
+    return {r.rule: r.violations for r in report.collect() if r.violations}
+
+
+def test_feature_violations(spark, features):
+    assert found(Q.feature_violations(features)) == {}
+    bad = [feature(), feature(), feature(hour=1, total=0), feature(midplane=None, hour=2)]
+    assert found(Q.feature_violations(spark.createDataFrame(bad, FEATURE_SCHEMA))) == {
+        "duplicate midplane, hour_start": 1, "events_total < alerts": 1, "midplane is null": 1}
+    by = Q.feature_violations(spark.createDataFrame([*bad, feature("2005Q4", hour=5)], FEATURE_SCHEMA), by="quarter")
+    assert {r.quarter for r in by.filter("violations > 0").collect()} == {"2005Q2"}
+
+
+def test_audit_violations(spark, audit):
+    assert found(Q.audit_violations(audit)) == {}
+    bad = runs(spark, ("copy", "2005-06", "started", 1, None, None)).unionByName(audit.limit(1))
+    assert found(Q.audit_violations(bad)) == {
+        "unknown step": 1, "unknown status": 1, "duplicate run_id": 1}
+
+
+def test_manifest_violations(spark):
+    row = ("BGL_2005-06.log", "2005-06", "x", 1, 1, "p", DAY)
+    frame = spark.createDataFrame([row, row, ("BGL_2005-07.log", None, None, 1, 1, "p", DAY)], MANIFEST_SCHEMA)
+    assert found(Q.manifest_violations(frame)) == {
+        "duplicate file_name": 1, "month is null": 1, "sha256 is null": 1}
+
+
+def gate(rows_in, rows_out):
+    """The rule in plain arithmetic."""
+    rate = 1 - rows_out / rows_in
+    if rows_out == 0:
+        return "failed", "2005-06: no valid lines after cleaning"
+    if rate > 0.01:
+        return "failed", f"2005-06: {rate:.2%} of lines dropped (limit 1%)"
+    return "success", f"drop rate {rate:.3%}"
+
+
+def test_gate_text_and_verdict(spark):
+    rng = random.Random(11)
+    pairs = [(32, 31), (64, 63), (300, 297), (8000, 7999), (200_000, 195_999), (100, 99), (5, 0), (7, 7)]
+    pairs += [(n, n - rng.randrange(n // rng.choice([1, 10, 90]) + 1)) for n in
+              (rng.randrange(1, 10 ** rng.randrange(1, 8)) for _ in range(2000))]
+    frame = spark.createDataFrame(
+        [("2005-06", i, o) for i, o in pairs], "month string, raw_lines bigint, clean_rows bigint")
+    for row in Q.quality_gate(frame).collect():
+        assert (row.status, row.message) == gate(row.raw_lines, row.clean_rows), row
