@@ -31,7 +31,8 @@ COPIES = 47
 
 
 def replay(spark, sf_dir):
-    lines = replicate_lines(event_lines(spark, sf_dir).select("month", "value"), COPIES)
+    source = event_lines(spark, sf_dir).select("month", "value")
+    lines = replicate_lines(source, COPIES, partitions=4 * spark.sparkContext.defaultParallelism)
     return hourly_features(clean(lines))
 
 

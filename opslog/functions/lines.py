@@ -6,6 +6,9 @@ fields can be cut out with ``split`` instead of running the ten-group regex once
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,11 +21,14 @@ from opslog.fixed import (
 )
 
 _LINE_TERMINATORS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
+# The same test without capturing groups, which the regex engine would fill for every line.
+_LINE_TEST = LINE_PATTERN.replace("(", "(?:")
+_OTHER_SPACES = ("\t", "\n", "\x0b", "\f", "\r")
 _REBUILT_LINE = " ".join(f"${group}" for group in range(1, len(LINE_FIELDS) + 1))
 
 
 def is_log_line(value: Column) -> Column:
-    return value.rlike(LINE_PATTERN)
+    return value.rlike(_LINE_TEST)
 
 
 def leading_field(value: Column, name: str) -> Column:
@@ -51,7 +57,10 @@ def field_array(value: Column) -> Column:
     rebuilt with the regex first.
     """
     level_piece = F.substring_index(F.substring_index(value, " ", 9), " ", -1)
-    odd = level_piece.rlike(r"\s") | F.substring(value, -1, 1).isin(*_LINE_TERMINATORS)
+    odd = reduce(or_, (
+        *(level_piece.contains(space) for space in _OTHER_SPACES),
+        *(value.endswith(terminator) for terminator in _LINE_TERMINATORS),
+    ))
     rebuilt = F.regexp_replace(value, LINE_PATTERN + r"[\s\S]*", _REBUILT_LINE)
     return F.split(F.when(odd, rebuilt).otherwise(value), " ", len(LINE_FIELDS))
 
@@ -73,13 +82,21 @@ def dated_month(value: Column) -> Column:
     )
 
 
-def shift_microseconds(value: Column, shift: Column) -> Column:
-    """Add ``shift`` to the microseconds of the first event timestamp, wrapping at one second."""
+def around_microseconds(value: Column) -> tuple[Column, Column, Column]:
+    """(text before, microseconds, text after) of the first event timestamp in the line.
+
+    Without a timestamp the whole line comes first and the rest is null.
+    """
     start = F.regexp_instr(value, F.lit(EVENT_TS_PATTERN))
     micro_at = start + F.lit(EVENT_TS_LENGTH - 6)
-    micro = F.substring(value, micro_at, F.lit(6)).try_cast("bigint")
+    found = start > 0
+    before = F.when(found, F.substring(value, F.lit(1), micro_at - F.lit(1))).otherwise(value)
+    micro = F.when(found, F.substring(value, micro_at, F.lit(6)).cast("int"))
+    after = F.when(found, F.substring(value, micro_at + F.lit(6), F.length(value)))
+    return before, micro, after
+
+
+def shifted_line(before: Column, micro: Column, after: Column, shift: Column) -> Column:
+    """The line with ``shift`` added to its microseconds, wrapping at one second."""
     moved = F.lpad(((micro + shift) % F.lit(1_000_000)).cast("string"), 6, "0")
-    tail = F.substring(value, micro_at + F.lit(6), F.length(value))
-    return F.when(
-        start > 0, F.concat(F.substring(value, F.lit(1), micro_at - F.lit(1)), moved, tail)
-    ).otherwise(value)
+    return F.when(micro.isNull(), before).otherwise(F.concat(before, moved, after))

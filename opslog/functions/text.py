@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from opslog.fixed import (
     EMAIL_MASK,
-    EMAIL_PATTERN,
     HEX_MASK,
     HEX_PATTERN,
     IP_MASK,
@@ -24,6 +23,12 @@ from opslog.fixed import (
 )
 
 
+# Finds exactly what ``EMAIL_PATTERN`` finds, but tries only the first position of a run of address
+# characters (or where the last match ended) and never backtracks: a later position in the same
+# run can only match when the first one does.
+_EMAIL_SEARCH = r"(?:(?<![\w.+-])|\G)[\w.+-]++@[\w-]++\.[\w.]++"
+
+
 def _replace(text: Column, needle: str, pattern: str, mask: str) -> Column:
     return F.when(text.contains(needle), F.regexp_replace(text, pattern, mask)).otherwise(text)
 
@@ -41,7 +46,7 @@ def midplane(node: Column) -> Column:
 
 
 def mask_email(text: Column) -> Column:
-    return _replace(text, "@", EMAIL_PATTERN, EMAIL_MASK)
+    return _replace(text, "@", _EMAIL_SEARCH, EMAIL_MASK)
 
 
 def mask_ip(text: Column) -> Column:

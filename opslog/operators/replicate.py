@@ -5,17 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.functions.lines import shift_microseconds
+from opslog.functions.lines import around_microseconds, shifted_line
 
+COPIES_PER_ROW = 1024
 
-def replicate_lines(lines: DataFrame, copies: int) -> DataFrame:
+
+def replicate_lines(lines: DataFrame, copies: int, partitions: int | None = None) -> DataFrame:
     """Every line ``copies`` times; copy ``k`` moves the line's first event time by ``k`` µs.
 
-    The copies are made row by row where the line already is, so nothing is shuffled.
+    A line is taken apart once and its copies are made where the line is, without a shuffle.
+    ``partitions`` first spreads a small source over that many tasks; a line with many copies
+    is then divided into ranges of copies, so the work is even however few lines there are.
     """
-    if copies < 1:
-        return lines.withColumn("copy", F.lit(0).cast("bigint")).limit(0)
-    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))
-    return lines.withColumn("copy", F.explode(numbers)).withColumn(
-        "value", shift_microseconds(F.col("value"), F.col("copy"))
+    before, micro, after = around_microseconds(F.col("value"))
+    first = F.sequence(
+        F.lit(0).cast("bigint"), F.lit(max(copies, 1) - 1).cast("bigint"),
+        F.lit(COPIES_PER_ROW).cast("bigint"),
+    )
+    ranges = lines.filter(F.lit(copies > 0)).select(
+        *(F.col(name) for name in lines.columns if name != "value"),
+        before.alias("_before"), micro.alias("_micro"), after.alias("_after"),
+        F.explode(first).alias("_first"),
     )
+    if partitions:
+        ranges = ranges.repartition(partitions)
+    last = F.least(F.col("_first") + F.lit(COPIES_PER_ROW - 1), F.lit(copies - 1).cast("bigint"))
+    copied = ranges.withColumn("copy", F.explode(F.sequence(F.col("_first"), last, F.lit(1).cast("bigint"))))
+    value = shifted_line(F.col("_before"), F.col("_micro"), F.col("_after"), F.col("copy"))
+    return copied.withColumn("value", value).select(*lines.columns, "copy")

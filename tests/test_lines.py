@@ -7,8 +7,9 @@ import pytest
 from conftest import LINE, text_frame
 from pyspark.sql import functions as F
 
-from opslog.fixed import LINE_FIELDS, LINE_PATTERN
+from opslog.fixed import EMAIL_MASK, EMAIL_PATTERN, LINE_FIELDS, LINE_PATTERN
 from opslog.functions import lines as L
+from opslog.functions.text import mask_email
 from opslog.operators.clean import parse_lines
 from opslog.operators.replicate import replicate_lines
 
@@ -101,6 +102,20 @@ def test_copies_shift_the_first_time_only(spark):
         for line in lines for copy in range(4)
     )
     frame = text_frame(spark, lines).withColumn("line", F.col("value"))
-    got = replicate_lines(frame, 4).select("line", "copy", "value").collect()
-    assert sorted(map(tuple, got)) == expected
+    for partitions in (None, 3):
+        got = replicate_lines(frame, 4, partitions).select("line", "copy", "value").collect()
+        assert sorted(map(tuple, got)) == expected
     assert replicate_lines(frame, 0).count() == 0
+    many = replicate_lines(text_frame(spark, [LINE]), 5000, 2)
+    assert many.select("copy").distinct().count() == many.select("value").distinct().count() == 5000
+
+
+def test_email_search_equals_the_plain_pattern(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab.+-_@@ é1,") for _ in range(rng.randrange(60))) for _ in range(20_000)]
+    texts += ["a@b.c+x@y.z", "a@b.cd@e.f", "@a@b.c", "x" * 5000 + "@y.z", "a@b.c.@d.e"]
+    frame = text_frame(spark, texts)
+    plain = F.regexp_replace("value", EMAIL_PATTERN, EMAIL_MASK)
+    different = frame.filter(mask_email(F.col("value")) != plain)
+    assert frame.filter(plain != F.col("value")).count() > 1000
+    assert different.count() == 0
