@@ -50,7 +50,7 @@ def mask_email(text: Column) -> Column:
 
 
 def mask_ip(text: Column) -> Column:
-    return _replace(text, ".", IP_PATTERN, IP_MASK)
+    return _replace(text, ".", IP_PATTERN.replace("(", "(?:"), IP_MASK)
 
 
 def mask_hex(text: Column) -> Column:

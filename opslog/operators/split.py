@@ -15,19 +15,31 @@ from opslog.fixed import FORMAT_CHECK_LINES
 from opslog.functions.lines import dated_month, starts_like_log_line
 
 
+def _earlier_splits():
+    """The splits of the same file before this one; one small row per split."""
+    return (
+        Window.partitionBy("file_name").orderBy("split")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+
+
 def carried_months(lines: DataFrame) -> DataFrame:
-    """One row per split with the last month seen in the file before that split."""
+    """One row per split with the last month seen in the file before that split.
+
+    The month is aggregated as a number (200506): with a text in its buffer Spark would sort
+    all lines before merging them, with a number it merges them in a hash map.
+    """
+    month = F.replace(dated_month(F.col("value")), F.lit("-"), F.lit("")).cast("int")
     last_in_split = (
-        lines.select("file_name", "split", "line_id", dated_month(F.col("value")).alias("month"))
+        lines.select("file_name", "split", "line_id", month.alias("number"))
         .groupBy("file_name", "split")
-        .agg(F.max_by("month", F.when(F.col("month").isNotNull(), F.col("line_id"))).alias("month"))
+        .agg(F.max_by("number", F.when(F.col("number").isNotNull(), F.col("line_id"))).alias("number"))
     )
-    before = (
-        Window.partitionBy("file_name").orderBy("split")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return last_in_split.select(
-        "file_name", "split", F.last("month", ignorenulls=True).over(before).alias("month")
+    text = F.lpad(F.col("number").cast("string"), 6, "0")
+    carried = F.last("number", ignorenulls=True).over(_earlier_splits())
+    return last_in_split.withColumn("number", carried).select(
+        "file_name", "split",
+        F.concat(F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2)).alias("month"),
     )
 
 
@@ -87,38 +99,45 @@ def split_counts(lines_by_month: DataFrame) -> DataFrame:
     return lines_by_month.groupBy("month").agg(F.count("*").alias("line_count"))
 
 
-def inspect_files(
-    lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES, fingerprint: bool = False
-) -> DataFrame:
-    """Line count, and the share of the first ``check_lines`` lines that start like a log line.
-
-    Only splits that can hold one of the first lines are numbered, in most files the first one.
-    ``fingerprint`` adds a text that depends on the lines and their order but not on where
-    splits begin; it needs ids without gaps inside a split, as the file reader gives them.
-    """
+def file_splits(lines: DataFrame, fingerprint: bool = False) -> DataFrame:
+    """One row per split with its line count and the number of lines in the file before it."""
     measures = {"lines": F.count("*")} | (_split_sums() if fingerprint else {})
     per_split = lines.groupBy("file_name", "split").agg(
         *(measure.alias(name) for name, measure in measures.items())
     )
-    before = (
-        Window.partitionBy("file_name").orderBy("split")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = per_split.withColumn(
-        "lines_before", F.coalesce(F.sum("lines").over(before), F.lit(0).cast("bigint"))
-    )
-    totals = {"line_count": F.sum("lines")} | ({"fingerprint": _fingerprint()} if fingerprint else {})
-    counts = offsets.groupBy("file_name").agg(
-        *(total.alias(name) for name, total in totals.items())
-    )
-    head = lines.join(
-        offsets.filter(F.col("lines_before") < check_lines)
-        .select("file_name", "split", "lines_before"),
-        ["file_name", "split"],
+    before = F.sum("lines").over(_earlier_splits())
+    return per_split.withColumn("lines_before", F.coalesce(before, F.lit(0).cast("bigint")))
+
+
+def head_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
+    """Splits that can hold one of the first ``check_lines`` lines, in most files only one."""
+    return splits.filter(F.col("lines_before") < check_lines).select(
+        "file_name", "split", "lines_before"
     )
+
+
+def inspect_files(
+    lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES,
+    splits: DataFrame | None = None, heads: DataFrame | None = None,
+) -> DataFrame:
+    """Line count, and the share of the first ``check_lines`` lines that start like a log line.
+
+    Only lines of ``heads`` are numbered. A caller that has stored ``splits`` passes it and, if
+    it is small, a broadcast ``heads``: then the lines themselves are not shuffled. With
+    ``file_splits(lines, fingerprint=True)`` there is also a fingerprint: a text that depends
+    on the lines and their order but not on where splits begin. It needs ids without gaps
+    inside a split, as the file reader gives them.
+    """
+    splits = file_splits(lines) if splits is None else splits
+    heads = head_splits(splits, check_lines) if heads is None else heads
+    totals = {"line_count": F.sum("lines")}
+    if "placed" in splits.columns:
+        totals["fingerprint"] = _fingerprint()
+    counts = splits.groupBy("file_name").agg(*(total.alias(name) for name, total in totals.items()))
     in_split = F.row_number().over(Window.partitionBy("file_name", "split").orderBy("line_id"))
     valid = (
-        head.withColumn("line_no", F.col("lines_before") + in_split)
+        lines.join(heads, ["file_name", "split"])
+        .withColumn("line_no", F.col("lines_before") + in_split)
         .filter(F.col("line_no") <= check_lines)
         .groupBy("file_name")
         .agg(F.avg(starts_like_log_line(F.col("value")).cast("double")).alias("valid_share"))

@@ -29,6 +29,9 @@ from opslog.sources.lake import Lake
 
 Runs = dict[str, StepRun]
 
+# Above this many splits with first lines the join that picks their lines is left to Spark.
+BROADCAST_SPLITS = 50_000
+
 DECISION_SCHEMA = (
     "month string, file_name string, status string, code int, line_count bigint, "
     "size_bytes bigint, valid_share double, sha256 string"
@@ -73,9 +76,14 @@ def inspect_landing(
     names = [LANDING_NAME % month for month in months]
     files = L.list_landing_files(lake.spark, landing).filter(F.col("file_name").isin(names))
     lines = L.read_log_lines(lake.spark, landing, file_names=names)
+    splits = lake.keep(S.file_splits(lines, fingerprint=True), "file_splits")
+    heads = S.head_splits(splits, check_lines)
+    if heads.count() <= BROADCAST_SPLITS:
+        heads = F.broadcast(heads)
+    inspected = S.inspect_files(lines, check_lines, splits, heads)
     fingerprint = F.concat_ws(":", F.col("size_bytes").cast("string"), F.col("fingerprint"))
     return (
-        files.join(S.inspect_files(lines, check_lines, fingerprint=True), "file_name", "left")
+        files.join(inspected, "file_name", "left")
         .join(L.file_sha256(lake.spark, landing, names), "file_name", "left")
         .select(
             "file_name",

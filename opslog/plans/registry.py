@@ -209,7 +209,7 @@ def deliver(spark, sf_dir):
     loads = features.withColumn(
         "load_id", F.explode(F.when(second, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(everything))
     )
-    quarters = features.select("quarter").distinct()
+    quarters = _order_months(spark, sf_dir).select(P.quarter_of(F.col("month")).alias("quarter")).distinct()
     published = quarters.select(
         "quarter", F.explode(F.when(F.col("quarter").endswith("Q2"), F.array(F.lit("a"), F.lit("b")))
                              .otherwise(F.array(F.lit("a")))).alias("load_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -128,6 +129,17 @@ class Lake:
             .parquet(self.path("serving/midplane_hourly"))
         )
 
+    def keep(self, rows: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate result once and read it back.
+
+        It goes to the shared checkpoint folder of the cluster, so it survives lost executors;
+        without that setting it goes under the lake. Each call has its own folder.
+        """
+        folder = self.spark.conf.get("spark.checkpoint.dir", None) or self.path("work")
+        target = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(target)
+        return self.spark.read.schema(rows.schema).parquet(target)
+
     def append(self, rows: DataFrame, folder: str) -> None:
         """Add a few operational rows as one file."""
         rows.coalesce(1).write.mode("append").parquet(self.path(folder))

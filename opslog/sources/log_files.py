@@ -22,13 +22,15 @@ from opslog.session import pin_file_splits
 SHA256_MAX_BYTES = 512 * 1024 * 1024
 
 
-def _last_part(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+_MONTH_FOLDER = "month="
 
 
 def _logical_name(path: Column) -> Column:
-    month = F.regexp_extract(path, rf"/month=({MONTH_PATTERN})/[^/]+$", 1)
-    return F.when(month != "", landing_name(month)).otherwise(_last_part(path))
+    """Evaluated for every line, so it only cuts the path at its last two slashes."""
+    tail = F.substring_index(path, "/", -2)
+    return F.when(
+        tail.startswith(_MONTH_FOLDER), landing_name(F.substring(tail, len(_MONTH_FOLDER) + 1, 7))
+    ).otherwise(F.substring_index(tail, "/", -1))
 
 
 def read_log_lines(
@@ -76,7 +78,7 @@ def list_landing_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _name_from_listing(path: str) -> str | None:
     folder, name = path.split("/")[-2:]
-    if part := re.fullmatch(rf"month=({MONTH_PATTERN})", folder):
+    if part := re.fullmatch(rf"{_MONTH_FOLDER}({MONTH_PATTERN})", folder):
         return LANDING_NAME % part[1]
     return name if fnmatchcase(name, LANDING_GLOB) else None
 

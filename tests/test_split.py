@@ -102,7 +102,8 @@ def test_line_counts_and_first_lines_over_many_splits(spark, setting, tmp_path):
 
 def fingerprints(spark, folder):
     lines = L.read_log_lines(spark, str(folder))
-    return {r.file_name: r.fingerprint for r in S.inspect_files(lines, 10, fingerprint=True).collect()}
+    inspected = S.inspect_files(lines, 10, S.file_splits(lines, fingerprint=True))
+    return {r.file_name: r.fingerprint for r in inspected.collect()}
 
 
 def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, tmp_path):
@@ -132,6 +133,17 @@ def test_other_files_are_not_read(spark, tmp_path):
     assert metrics.apply("numFiles").value() == 1
 
 
+def test_small_heads_keep_the_lines_in_place(spark, tmp_path):
+    (tmp_path / "a.log").write_text("x\n" * 10)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lines = L.read_log_lines(spark, str(tmp_path / "a.log"))
+    splits = lake.keep(S.file_splits(lines), "splits")
+    plan = plan_of(S.inspect_files(lines, 5, splits, F.broadcast(S.head_splits(splits, 5))))
+    assert re.search(r"BroadcastHashJoin \[file_name#\d+, .*split#\d+.*BuildRight", plan)
+    assert "SortMergeJoin" not in plan
+    assert "SortAggregate" not in plan_of(S.split_by_month(lines))
+
+
 def test_csv_export(spark, tmp_path):
     rows = spark.sql("select timestamp_ntz'2005-06-03 15:00:00' hour_start, 3 alerts, true alert_next_hour")
     L.write_csv(rows, str(tmp_path / "out"))
