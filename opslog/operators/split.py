@@ -159,11 +159,36 @@ def _position(line_id: Column) -> Column:
     return _modulo(line_id.bitwiseAND(F.lit(2**33 - 1).cast("bigint")))
 
 
-def _split_sums() -> dict[str, Column]:
+def _content_sums() -> dict[str, Column]:
+    """Line count and the two halves of the sum of line hashes; a half fits a bigint for 2^31 lines."""
     digest = F.xxhash64("value")
     return {
+        "lines": F.count("*"),
         "low": F.sum(digest.bitwiseAND(F.lit(2**32 - 1).cast("bigint"))),
         "high": F.sum(F.shiftright(digest, 32)),
+    }
+
+
+def _content_totals() -> dict[str, Column]:
+    return {name: F.sum(F.col(name).cast("decimal(38,0)")) for name in ("lines", "low", "high")}
+
+
+def content_by_month(lines: DataFrame) -> DataFrame:
+    """Order-free content of ``value`` by ``month``, summed per task first."""
+    per_task = lines.groupBy("month", F.spark_partition_id().alias("task")).agg(
+        *(measure.alias(name) for name, measure in _content_sums().items())
+    )
+    return per_task.groupBy("month").agg(*(t.alias(n) for n, t in _content_totals().items()))
+
+
+def content_by_file(splits: DataFrame) -> DataFrame:
+    """The same content for files, from stored splits with a fingerprint."""
+    return splits.groupBy("file_name").agg(*(t.alias(n) for n, t in _content_totals().items()))
+
+
+def _split_sums() -> dict[str, Column]:
+    digest = F.xxhash64("value")
+    return _content_sums() | {
         "plain": F.sum(_modulo(digest)),
         "placed": F.sum(_modulo(_modulo(digest) * _position(F.col("line_id")))),
         "first": _position(F.min("line_id")),
@@ -175,8 +200,5 @@ def _fingerprint() -> Column:
     the first line of a split to its place in the file shifts ``placed`` by a multiple of ``plain``."""
     shift = _modulo(F.col("lines_before") - F.col("first")) * _modulo(F.col("plain"))
     order = F.sum(_modulo(F.col("placed") + _modulo(shift)).cast("decimal(38,0)"))
-    parts = [
-        F.sum("lines"), F.sum(F.col("low").cast("decimal(38,0)")),
-        F.sum(F.col("high").cast("decimal(38,0)")), order % F.lit(_PRIME),
-    ]
+    parts = [*_content_totals().values(), order % F.lit(_PRIME)]
     return F.concat_ws(":", *(part.cast("string") for part in parts))

@@ -64,8 +64,19 @@ def split_log(lake: Lake, source: str, landing: str, partitions: int | None = No
 
 # ---- ingest --------------------------------------------------------------
 
+def _landing_lines(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame:
+    return L.read_log_lines(lake.spark, landing, file_names=[LANDING_NAME % m for m in months])
+
+
+def landing_splits(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame:
+    """Counts and sums of every split of the months' files, stored: one row per split."""
+    splits = S.file_splits(_landing_lines(lake, landing, months), fingerprint=True)
+    return lake.keep(splits, "file_splits")
+
+
 def inspect_landing(
-    lake: Lake, landing: str, months: Sequence[str], check_lines: int = FORMAT_CHECK_LINES
+    lake: Lake, landing: str, months: Sequence[str], splits: DataFrame,
+    check_lines: int = FORMAT_CHECK_LINES,
 ) -> DataFrame:
     """file_name, line_count, size_bytes, valid_share, sha256 of the months' landing files.
 
@@ -75,11 +86,10 @@ def inspect_landing(
     """
     names = [LANDING_NAME % month for month in months]
     files = L.list_landing_files(lake.spark, landing).filter(F.col("file_name").isin(names))
-    lines = L.read_log_lines(lake.spark, landing, file_names=names)
-    splits = lake.keep(S.file_splits(lines, fingerprint=True), "file_splits")
     heads = S.head_splits(splits, check_lines)
     if heads.count() <= BROADCAST_SPLITS:
         heads = F.broadcast(heads)
+    lines = _landing_lines(lake, landing, months)
     inspected = S.inspect_files(lines, check_lines, splits, heads)
     fingerprint = F.concat_ws(":", F.col("size_bytes").cast("string"), F.col("fingerprint"))
     return (
@@ -103,10 +113,11 @@ def ingest(
     wanted = _distinct(months, P.require_month)
     with audited(lake, "ingest", wanted) as runs:
         requests = lake.spark.createDataFrame([(m,) for m in wanted], "month string")
-        inspected = inspect_landing(lake, landing, wanted, check_lines)
+        splits = landing_splits(lake, landing, wanted)
+        inspected = inspect_landing(lake, landing, wanted, splits, check_lines)
         decisions = I.ingest_decisions(requests, inspected, lake.manifest()).collect()
         new = [d for d in decisions if d["status"] == "ingested"]
-        incomplete = _store(lake, landing, [d["month"] for d in new]) if new else set()
+        incomplete = _store(lake, landing, [d["month"] for d in new], splits) if new else set()
         kept = [d for d in new if d["month"] not in incomplete]
         if kept:
             rows = lake.spark.createDataFrame(kept, DECISION_SCHEMA)
@@ -123,24 +134,17 @@ def ingest(
     return _finish(runs, strict)
 
 
-def _content(lines: DataFrame) -> DataFrame:
-    """Count and order-free content sum by month. The sum is a decimal: a bigint would overflow."""
-    return lines.groupBy("month").agg(
-        F.count("*").alias("lines"),
-        F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("content"),
-    )
-
+def _store(lake: Lake, landing: str, months: list[str], splits: DataFrame) -> set[str]:
+    """Copy the months' lines to the raw zone; returns the months whose copy differs.
 
-def _store(lake: Lake, landing: str, months: list[str]) -> set[str]:
-    """Copy the months' lines to the raw zone; returns the months whose copy differs."""
-    names = [LANDING_NAME % month for month in months]
-    lines = L.read_log_lines(lake.spark, landing, file_names=names).withColumn(
-        "month", P.month_of_landing_name(F.col("file_name"))
-    )
-    lake.write_raw(lines)
-    stored = {row["month"]: row for row in _content(lake.raw_copied(months)).collect()}
-    given = {row["month"]: row for row in _content(lines).collect()}
-    return {month for month in months if stored.get(month) != given[month]}
+    The copy is read back and compared with the sums of the inspection.
+    """
+    month = P.month_of_landing_name(F.col("file_name")).alias("month")
+    lake.write_raw(_landing_lines(lake, landing, months).select("value", month))
+    given = S.content_by_file(splits).select(month, "lines", "low", "high")
+    stored = S.content_by_month(lake.raw_copied(months))
+    same = {row["month"] for row in given.intersect(stored).collect()}
+    return set(months) - same
 
 
 def landing_status(lake: Lake, landing: str) -> DataFrame:
