@@ -24,6 +24,7 @@ from opslog.operators import publish as D
 from opslog.operators import quality as Q
 from opslog.operators import split as S
 from opslog.plans.audit import StepRun, audited, raise_failures, succeeded
+from opslog.session import sized_for
 from opslog.sources import log_files as L
 from opslog.sources.lake import Lake
 
@@ -57,7 +58,8 @@ def _finish(runs: Runs, strict: bool) -> Runs:
 def split_log(lake: Lake, source: str, landing: str, partitions: int | None = None) -> DataFrame:
     """Split unsplit log files into month folders of the landing area; returns lines by month."""
     lines = L.read_log_lines(lake.spark, source)
-    L.write_month_files(S.split_in_file_order(lines, partitions), landing)
+    with sized_for(lake.spark, L.text_bytes(lake.spark, source)):
+        L.write_month_files(S.split_in_file_order(lines, partitions), landing)
     written = lake.spark.read.schema("value string, month string").text(landing, lineSep="\n")
     return S.split_counts(written)
 
@@ -165,7 +167,8 @@ def clean_months(lake: Lake, months: Iterable[str], *, strict: bool = True) -> R
         present = [m for m in wanted if m in rows_in]
         if present:
             events = C.clean(lake.raw(present), gather_months=len(present) > 1)
-            lake.write_processed(events, present)
+            with sized_for(lake.spark, lake.raw_bytes(present)):
+                lake.write_processed(events, present)
             rows_out = _counts(lake.processed(present), "month")
             for month in present:
                 runs[month].rows_out = rows_out.get(month, 0)
@@ -209,8 +212,10 @@ def aggregate_quarters(
                 runs[quarter].error = f"no processed data for {quarter}, run its months first"
         present = [q for q in wanted if runs[q].rows_in]
         if present:
-            events = lake.processed([m for q in present for m in P.month_names(q)])
-            lake.write_curated(H.hourly_features(events, measure_type), present)
+            months = [m for q in present for m in P.month_names(q)]
+            features = H.hourly_features(lake.processed(months), measure_type)
+            with sized_for(lake.spark, lake.raw_bytes(months)):
+                lake.write_curated(features, present)
             rows_out = _counts(lake.curated(present), "quarter")
             for quarter in present:
                 runs[quarter].rows_out = rows_out.get(quarter, 0)

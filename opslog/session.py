@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+BYTES_PER_SHUFFLE_TASK = 256 * 1024**2
+MAX_SHUFFLE_TASKS = 50_000
+LARGE_INPUT = 100 * 1024**3
+
 
 def build_session(app_name: str = "opslog", **settings: str) -> SparkSession:
     """A session for the pipeline; everything about size is left to the cluster and AQE."""
@@ -29,3 +36,27 @@ def pin_file_splits(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", "200")
     return spark
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffle settings for a job over ``input_bytes`` of text, put back afterwards.
+
+    The number of shuffle tasks only ever goes up from what the session has; AQE joins tasks
+    that turn out small. For large inputs AQE also aims at larger tasks, because they become
+    the files of a zone.
+    """
+    settings = {}
+    tasks = min(MAX_SHUFFLE_TASKS, -(-input_bytes // BYTES_PER_SHUFFLE_TASK))
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        settings["spark.sql.shuffle.partitions"] = str(tasks)
+    if input_bytes > LARGE_INPUT:
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = "512m"
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -18,6 +18,7 @@ from opslog.fixed import (
     PUBLISH_SCHEMA,
 )
 from opslog.operators.publish import visible_features
+from opslog.operators.reports import latest_quarter
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,18 @@ class Lake:
         """What readers see: the newest published load of every quarter."""
         return visible_features(self.loads(), self.published())
 
+    def create_views(self) -> None:
+        """Temporary views for SQL users, under the names of the serving tables."""
+        self.features().createOrReplaceTempView("midplane_hourly")
+        latest_quarter(self.features()).createOrReplaceTempView("latest_quarter")
+        self.manifest().createOrReplaceTempView("ingested_files")
+        self.audit().createOrReplaceTempView("pipeline_runs")
+
+    def raw_bytes(self, months: Sequence[str]) -> int:
+        """Size of the stored months according to the manifest."""
+        stored = self.manifest().filter(F.col("month").isin(list(months)))
+        return stored.agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
+
     # ---- writing --------------------------------------------------------
 
     def replace_partitions(

@@ -83,6 +83,12 @@ def _name_from_listing(path: str) -> str | None:
     return name if fnmatchcase(name, LANDING_GLOB) else None
 
 
+def text_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below the paths, from their listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def file_sha256(
     spark: SparkSession, folder: str, file_names: Sequence[str], max_bytes: int = SHA256_MAX_BYTES
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from opslog.operators import reports as R
 from opslog.plans import pipeline as P
 from opslog.plans.audit import StepFailed, audited
 from opslog.plans import table_lines as B
+from opslog.session import sized_for
 from opslog.sources.lake import Lake
 
 
@@ -26,17 +27,21 @@ def month_lines(month, count=60, alerts=0, bad=0):
         yield f"- {n} {year}.{number}.03 broken"
 
 
-@pytest.fixture
-def place(spark, tmp_path):
-    """A landing folder with four good months and one that is no log, and an empty lake."""
-    landing = tmp_path / "landing"
+def make_place(spark, folder):
+    """A landing folder with four good months and two that are no log, and an empty lake."""
+    landing = folder / "landing"
     landing.mkdir()
     for month, alerts in {"2005-06": 0, "2005-07": 5, "2005-08": 3, "2005-09": 7}.items():
         (landing / f"BGL_{month}.log").write_text("\n".join(month_lines(month, 300, alerts)) + "\n")
     (landing / "BGL_2005-10.log").write_text("this is not a log file\n" * 50)
     (landing / "BGL_2005-11.log").write_text("")
     (landing / "notes.txt").write_text("ignored\n")
-    return Lake(spark, str(tmp_path / "lake")), landing
+    return Lake(spark, str(folder / "lake")), landing
+
+
+@pytest.fixture
+def place(spark, tmp_path):
+    return make_place(spark, tmp_path)
 
 
 def outcome(runs):
@@ -157,9 +162,10 @@ def test_gate_limit(place, bad, status):
 
 # ---- aggregate and deliver -----------------------------------------------
 
-@pytest.fixture
-def quarter(place):
-    lake, landing = place
+@pytest.fixture(scope="module")
+def quarter(spark, tmp_path_factory):
+    """One whole run, shared: the tests below may add loads but leave the visible table as it is."""
+    lake, landing = make_place(spark, tmp_path_factory.mktemp("quarter"))
     done = P.backfill(lake, str(landing), ["2005-06", "2005-07", "2005-08", "2005-09", "2005-10"], "2005-09")
     return lake, landing, done
 
@@ -204,19 +210,6 @@ def test_an_unpublished_load_is_invisible(quarter):
     assert table(lake.features()) == before
 
 
-def test_a_broken_load_is_not_published(quarter):
-    lake, _, _ = quarter
-    before = table(lake.features())
-    curated = lake.curated(["2005Q2"])
-    rows = curated.collect()
-    twice = lake.spark.createDataFrame([*rows, rows[0]], curated.schema)
-    lake.write_curated(twice, ["2005Q2"])
-    with pytest.raises(StepFailed, match="duplicate midplane, hour_start"):
-        P.deliver_quarters(lake, ["2005Q2", "2005Q3"])
-    after = table(lake.features())
-    assert after == before
-
-
 def test_an_empty_quarter_is_an_error(quarter):
     lake, _, _ = quarter
     with pytest.raises(StepFailed, match="no processed data for 2004Q1"):
@@ -224,6 +217,15 @@ def test_an_empty_quarter_is_an_error(quarter):
     assert lake.audit().filter("period = '2004Q1' and status = 'failed'").count() == 1
 
 
+def test_sql_users_find_the_serving_tables(quarter, spark):
+    lake, _, _ = quarter
+    lake.create_views()
+    newest = spark.sql("SELECT * FROM midplane_hourly WHERE quarter = (SELECT max(quarter) FROM midplane_hourly)")
+    assert table(spark.table("latest_quarter")) == table(newest) != []
+    assert spark.sql("SELECT count(*), sum(line_count) FROM ingested_files").first()[0] == 4
+    assert spark.sql("SELECT DISTINCT step FROM pipeline_runs").count() == 5
+
+
 def test_readers_prune_folders(quarter):
     lake, _, _ = quarter
     plan = lake.processed(["2005-07"]).select("node")._jdf.queryExecution().executedPlan().toString()
@@ -233,6 +235,19 @@ def test_readers_prune_folders(quarter):
     assert "message" not in plan and "Not(EqualTo(midplane,UNKNOWN))" in plan
 
 
+def test_a_broken_load_is_not_published(quarter):
+    lake, _, _ = quarter
+    before = table(lake.features())
+    curated = lake.curated(["2005Q2"])
+    rows = curated.collect()
+    twice = lake.spark.createDataFrame([*rows, rows[0]], curated.schema)
+    lake.write_curated(twice, ["2005Q2"])
+    with pytest.raises(StepFailed, match="duplicate midplane, hour_start"):
+        P.deliver_quarters(lake, ["2005Q2", "2005Q3"])
+    after = table(lake.features())
+    assert after == before
+
+
 # ---- audit ---------------------------------------------------------------
 
 def test_an_exception_is_audited_and_raised(spark, tmp_path):
@@ -261,3 +276,16 @@ def test_the_months_of_the_tables_run_end_to_end(spark, tmp_path):
     P.deliver_quarters(lake, quarters)
     from opslog.operators.clean import clean
     assert table(lake.features()) == table(H.hourly_features(clean(lines)))
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k, None) for k in keys]
+    with sized_for(spark, 1000):
+        assert [spark.conf.get(k, None) for k in keys] == before
+    with sized_for(spark, 10**14):
+        assert [spark.conf.get(k) for k in keys] == ["50000", "512m"]
+    with pytest.raises(ValueError), sized_for(spark, 10**10):
+        assert spark.conf.get(keys[0]) == "38"
+        raise ValueError
+    assert [spark.conf.get(k, None) for k in keys] == before
