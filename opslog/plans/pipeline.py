@@ -23,6 +23,7 @@ from opslog.operators import ingest as I
 from opslog.operators import publish as D
 from opslog.operators import quality as Q
 from opslog.operators import split as S
+from opslog.operators.replicate import replicate_lines
 from opslog.plans.audit import StepRun, audited, raise_failures, succeeded
 from opslog.session import sized_for
 from opslog.sources import log_files as L
@@ -64,6 +65,14 @@ def split_log(lake: Lake, source: str, landing: str, partitions: int | None = No
     return S.split_counts(written)
 
 
+def write_replay(lake: Lake, source: str, target: str, copies: int, partitions: int = 200) -> None:
+    """Volume data from a sample log: all copies of a line follow it, in the order of the log."""
+    lines = L.read_log_lines(lake.spark, source)
+    order = ("file_name", "split", "line_id")
+    replicas = replicate_lines(lines, copies, partitions, order)
+    replicas.select("value").write.option("lineSep", "\n").text(target)
+
+
 # ---- ingest --------------------------------------------------------------
 
 def _landing_lines(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame:
@@ -197,9 +206,7 @@ def check_quality(
 
 # ---- aggregate -----------------------------------------------------------
 
-def aggregate_quarters(
-    lake: Lake, quarters: Iterable[str], *, strict: bool = True, measure_type: str = "int"
-) -> Runs:
+def aggregate_quarters(lake: Lake, quarters: Iterable[str], *, strict: bool = True) -> Runs:
     """Processed events -> hourly features of the curated zone, one job for all quarters."""
     wanted = _distinct(quarters, P.require_quarter)
     with audited(lake, "aggregate", wanted) as runs:
@@ -213,7 +220,7 @@ def aggregate_quarters(
         present = [q for q in wanted if runs[q].rows_in]
         if present:
             months = [m for q in present for m in P.month_names(q)]
-            features = H.hourly_features(lake.processed(months), measure_type)
+            features = H.hourly_features(lake.processed(months), lake.measure_type)
             with sized_for(lake.spark, lake.raw_bytes(months)):
                 lake.write_curated(features, present)
             rows_out = _counts(lake.curated(present), "quarter")

@@ -23,8 +23,16 @@ from opslog.operators.reports import latest_quarter
 
 @dataclass(frozen=True)
 class Lake:
+    """``measure_type`` is that of the feature counts in all tables: "int", or "bigint" where one
+    midplane can have over two billion events an hour."""
+
     spark: SparkSession
     root: str
+    measure_type: str = "int"
+
+    @property
+    def feature_schema(self) -> str:
+        return FEATURE_SCHEMA.replace(" int", f" {self.measure_type}")
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root.rstrip("/"), *parts))
@@ -56,7 +64,7 @@ class Lake:
         return events.filter(F.col("month").isin(list(months)))
 
     def curated(self, quarters: Sequence[str]) -> DataFrame:
-        return self._table("curated", FEATURE_SCHEMA).filter(F.col("quarter").isin(list(quarters)))
+        return self._table("curated", self.feature_schema).filter(F.col("quarter").isin(list(quarters)))
 
     def manifest(self) -> DataFrame:
         return self._table("ops/ingested_files", MANIFEST_SCHEMA)
@@ -69,7 +77,7 @@ class Lake:
 
     def loads(self) -> DataFrame:
         """All delivered rows, visible or not, with their load_id."""
-        return self._table("serving/midplane_hourly", f"{FEATURE_SCHEMA}, load_id string")
+        return self._table("serving/midplane_hourly", f"{self.feature_schema}, load_id string")
 
     def features(self) -> DataFrame:
         """What readers see: the newest published load of every quarter."""

@@ -260,6 +260,24 @@ def test_an_exception_is_audited_and_raised(spark, tmp_path):
     assert row.message == "x" * 500 and row.finished_at >= row.started_at
 
 
+def test_wide_measures_go_through_all_zones(spark, place):
+    narrow, landing = place
+    lake = Lake(spark, narrow.root, measure_type="bigint")
+    done = P.backfill(lake, str(landing), ["2005-06"])
+    assert not done["deliver"]["2005Q2"].error
+    types = dict(lake.features().dtypes)
+    assert types["events_total"] == "bigint" and lake.features().agg(F.sum("events_total")).first()[0] == 300
+
+
+def test_a_replay_keeps_the_order(spark, tmp_path):
+    lines = [LINE.replace("675872", f"{n:06d}") for n in (7, 3, 999_999, 5)] + ["no time"]
+    (tmp_path / "sample.log").write_text("\n".join(lines))
+    P.write_replay(Lake(spark, str(tmp_path)), str(tmp_path / "sample.log"), str(tmp_path / "out"), 3, 4)
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
+    micros = [int(line.split(" ")[4][-6:]) if "RAS" in line else None for line in text.splitlines()]
+    assert micros == [7, 8, 9, 3, 4, 5, 999_999, 0, 1, 5, 6, 7, None, None, None]
+
+
 def test_the_months_of_the_tables_run_end_to_end(spark, tmp_path):
     """Unsplit log -> month folders -> whole run; the quarters equal the operators applied directly."""
     lines = B.order_lines(spark, SF_DIR).filter(
