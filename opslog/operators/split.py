@@ -3,23 +3,55 @@
 ``split`` is the byte position where a file split starts and ``line_id`` grows along the lines
 of a split, so (split, line_id) is the order of a file. A split is bounded by
 ``spark.sql.files.maxPartitionBytes``; a file is not, so nothing here sorts a whole file in one
-task: only one small row per split is ever ordered by file.
+task: only one small row per split is ordered by file, and that in two levels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opslog.fixed import FORMAT_CHECK_LINES
 from opslog.functions.lines import dated_month, starts_like_log_line
 
 
-def _earlier_splits():
-    """The splits of the same file before this one; one small row per split."""
+# Splits are ordered in two levels so that no task sees all splits of a very large file: blocks
+# of splits inside a file, and splits inside a block.
+SPLITS_PER_BLOCK = 1024
+BLOCK_BYTES = SPLITS_PER_BLOCK * 128 * 1024**2
+
+
+def _block(splits: DataFrame) -> Column:
+    """A coarser key with the same order as ``split``."""
+    if isinstance(splits.schema["split"].dataType, StructType):
+        return F.struct(
+            F.col("split.part").alias("part"),
+            F.floor(F.col("split.start") / F.lit(BLOCK_BYTES)).alias("start"),
+        )
+    return F.floor(F.col("split") / F.lit(SPLITS_PER_BLOCK))
+
+
+def _earlier_in_file(
+    splits: DataFrame, block_total: Column, earlier: Callable[[str], Column], name: str
+) -> DataFrame:
+    """Summarise, for every split, column ``name`` of the splits before it in the file.
+
+    ``earlier`` is the window aggregate. It gives ``within`` from the splits before in the same
+    block, and ``across`` from the totals of the blocks before.
+    """
+    blocked = splits.withColumn("block", _block(splits))
+    rows_before = (Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("file_name", "block").orderBy("split").rowsBetween(*rows_before)
+    in_file = Window.partitionBy("file_name").orderBy("block").rowsBetween(*rows_before)
+    totals = blocked.groupBy("file_name", "block").agg(block_total.alias("total"))
+    across = totals.select("file_name", "block", earlier("total").over(in_file).alias("across"))
     return (
-        Window.partitionBy("file_name").orderBy("split")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        blocked.withColumn("within", earlier(name).over(in_block))
+        .join(across, ["file_name", "block"])
+        .drop("block")
     )
 
 
@@ -30,14 +62,17 @@ def carried_months(lines: DataFrame) -> DataFrame:
     all lines before merging them, with a number it merges them in a hash map.
     """
     month = F.replace(dated_month(F.col("value")), F.lit("-"), F.lit("")).cast("int")
+    number, dated = F.col("number"), F.col("number").isNotNull()
     last_in_split = (
         lines.select("file_name", "split", "line_id", month.alias("number"))
         .groupBy("file_name", "split")
-        .agg(F.max_by("number", F.when(F.col("number").isNotNull(), F.col("line_id"))).alias("number"))
+        .agg(F.max_by("number", F.when(dated, F.col("line_id"))).alias("number"))
     )
-    text = F.lpad(F.col("number").cast("string"), 6, "0")
-    carried = F.last("number", ignorenulls=True).over(_earlier_splits())
-    return last_in_split.withColumn("number", carried).select(
+    text = F.lpad(F.coalesce("within", "across").cast("string"), 6, "0")
+    return _earlier_in_file(
+        last_in_split, F.max_by(number, F.when(dated, F.col("split"))),
+        lambda column: F.last(column, ignorenulls=True), "number",
+    ).select(
         "file_name", "split",
         F.concat(F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2)).alias("month"),
     )
@@ -99,14 +134,22 @@ def split_counts(lines_by_month: DataFrame) -> DataFrame:
     return lines_by_month.groupBy("month").agg(F.count("*").alias("line_count"))
 
 
-def file_splits(lines: DataFrame, fingerprint: bool = False) -> DataFrame:
-    """One row per split with its line count and the number of lines in the file before it."""
+def split_sums(lines: DataFrame, fingerprint: bool = False) -> DataFrame:
+    """One row per split with its line count and, for a fingerprint, sums of line hashes."""
     measures = {"lines": F.count("*")} | (_split_sums() if fingerprint else {})
-    per_split = lines.groupBy("file_name", "split").agg(
+    return lines.groupBy("file_name", "split").agg(
         *(measure.alias(name) for name, measure in measures.items())
     )
-    before = F.sum("lines").over(_earlier_splits())
-    return per_split.withColumn("lines_before", F.coalesce(before, F.lit(0).cast("bigint")))
+
+
+def place_splits(sums: DataFrame) -> DataFrame:
+    """Add the number of lines in the file before each split."""
+    none = F.lit(0).cast("bigint")
+    lines_before = F.coalesce("within", none) + F.coalesce("across", none)
+    return (
+        _earlier_in_file(sums, F.sum("lines"), F.sum, "lines")
+        .withColumn("lines_before", lines_before).drop("within", "across")
+    )
 
 
 def head_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
@@ -124,11 +167,11 @@ def inspect_files(
 
     Only lines of ``heads`` are numbered. A caller that has stored ``splits`` passes it and, if
     it is small, a broadcast ``heads``: then the lines themselves are not shuffled. With
-    ``file_splits(lines, fingerprint=True)`` there is also a fingerprint: a text that depends
+    ``split_sums(lines, fingerprint=True)`` there is also a fingerprint: a text that depends
     on the lines and their order but not on where splits begin. It needs ids without gaps
     inside a split, as the file reader gives them.
     """
-    splits = file_splits(lines) if splits is None else splits
+    splits = place_splits(split_sums(lines)) if splits is None else splits
     heads = head_splits(splits, check_lines) if heads is None else heads
     totals = {"line_count": F.sum("lines")}
     if "placed" in splits.columns:

@@ -81,8 +81,8 @@ def _landing_lines(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame
 
 def landing_splits(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame:
     """Counts and sums of every split of the months' files, stored: one row per split."""
-    splits = S.file_splits(_landing_lines(lake, landing, months), fingerprint=True)
-    return lake.keep(splits, "file_splits")
+    sums = S.split_sums(_landing_lines(lake, landing, months), fingerprint=True)
+    return S.place_splits(lake.keep(sums, "file_splits"))
 
 
 def inspect_landing(

@@ -40,7 +40,8 @@ def small_splits(setting, size=200):
 
 
 @pytest.mark.parametrize("dated, seed", [(0.5, 1), (0.02, 2), (0.98, 3), (0.0, 4)])
-def test_split_equals_a_sequential_reader(spark, setting, tmp_path, dated, seed):
+def test_split_equals_a_sequential_reader(spark, setting, monkeypatch, tmp_path, dated, seed):
+    monkeypatch.setattr(S, "BLOCK_BYTES", 700)
     lines = [*junk_log(1500, seed, dated), "end"]
     (tmp_path / "whole.log").write_text("\n".join(lines), newline="\n")
     small_splits(setting)
@@ -67,6 +68,17 @@ def test_written_months_keep_the_line_order(spark, setting, tmp_path):
         assert text == "".join(v + "\n" for v in values)
 
 
+def test_numbered_splits_are_carried_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "SPLITS_PER_BLOCK", 3)
+    lines = [*junk_log(400, 12, 0.05), "end"]
+    rows = [("a", n // 4, n, line) for n, line in enumerate(lines)]
+    frame = spark.createDataFrame(rows, "file_name string, split long, line_id long, value string")
+    got = {}
+    for row in S.split_by_month(frame).orderBy("line_id").collect():
+        got.setdefault(row.month, []).append(row.value)
+    assert got == sequential(lines)
+
+
 def test_files_are_carried_separately(spark):
     rows = [("b.log", 0, 0, "junk"), ("a.log", 0, 0, "- 1 2005.06.01 x"), ("a.log", 9, 1, "junk"),
             ("b.log", 5, 2, "- 1 2005.07.01 x"), ("b.log", 7, 0, "junk")]
@@ -80,13 +92,14 @@ def test_writing_shuffles_the_lines_once(spark):
     frame = spark.range(10).selectExpr("'a' file_name", "id split", "id line_id", "'x' value")
     plan = plan_of(S.split_in_file_order(frame, 4))
     assert plan.count("Exchange rangepartitioning") == 1
-    # Other exchanges carry one row per split: its last month, then its place in the file.
-    assert plan.count("Exchange") <= 3
+    # Other exchanges carry one row per split or per block of splits.
+    assert "Window [last(own" in plan[:plan.index("Exchange")]
 
 
 # ---- inspection ----------------------------------------------------------
 
-def test_line_counts_and_first_lines_over_many_splits(spark, setting, tmp_path):
+def test_line_counts_and_first_lines_over_many_splits(spark, setting, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "BLOCK_BYTES", 1000)
     files = {"BGL_2005-06.log": list(junk_log(900, 6, 0.7)), "BGL_2005-07.log": list(junk_log(90, 7, 0.3))}
     for name, lines in files.items():
         (tmp_path / name).write_text("\n".join(lines) + "\n", newline="\n")
@@ -102,11 +115,12 @@ def test_line_counts_and_first_lines_over_many_splits(spark, setting, tmp_path):
 
 def fingerprints(spark, folder):
     lines = L.read_log_lines(spark, str(folder))
-    inspected = S.inspect_files(lines, 10, S.file_splits(lines, fingerprint=True))
+    inspected = S.inspect_files(lines, 10, S.place_splits(S.split_sums(lines, fingerprint=True)))
     return {r.file_name: r.fingerprint for r in inspected.collect()}
 
 
-def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, tmp_path):
+def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "BLOCK_BYTES", 5000)
     lines = list(junk_log(800, 8))
     swapped = lines[:100] + [lines[101], lines[100]] + lines[102:]
     far = [lines[700], *lines[1:700], lines[0], *lines[701:]]
@@ -137,11 +151,12 @@ def test_small_heads_keep_the_lines_in_place(spark, tmp_path):
     (tmp_path / "a.log").write_text("x\n" * 10)
     lake = Lake(spark, str(tmp_path / "lake"))
     lines = L.read_log_lines(spark, str(tmp_path / "a.log"))
-    splits = lake.keep(S.file_splits(lines), "splits")
+    splits = S.place_splits(lake.keep(S.split_sums(lines), "splits"))
     plan = plan_of(S.inspect_files(lines, 5, splits, F.broadcast(S.head_splits(splits, 5))))
     assert re.search(r"BroadcastHashJoin \[file_name#\d+, .*split#\d+.*BuildRight", plan)
     assert "SortMergeJoin" not in plan
-    assert "SortAggregate" not in plan_of(S.split_by_month(lines))
+    over_lines = r"HashAggregate\(keys=\[file_name#\d+, split#\d+\], functions=\[partial_max_by"
+    assert re.search(over_lines, plan_of(S.split_by_month(lines)))
 
 
 def test_csv_export(spark, tmp_path):
