@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from opslog.llm.common import table
 from opslog.llm.decontaminate import leaked_passages
+from opslog.llm.language import identify_languages
+from opslog.llm.lattice import similar_vectors
 from opslog.llm.mixing import mix_documents
 from opslog.llm.near_dedup import near_duplicates
 from opslog.llm.sharding import plan_shards
+from opslog.llm.token_store import token_index
 from opslog.llm.toxicity import score_documents
 
 
@@ -35,12 +38,27 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_near_dedup": op6_near_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_token_ids": op10_token_ids,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {}
