@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from opslog.llm.common import table
 from opslog.llm.decontaminate import leaked_passages
+from opslog.llm.html_extract import extract_pages
 from opslog.llm.language import identify_languages
 from opslog.llm.lattice import similar_vectors
 from opslog.llm.mixing import mix_documents
@@ -38,6 +39,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_near_dedup": op6_near_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_ids": op10_token_ids,
