@@ -15,6 +15,7 @@ from opslog.llm.lattice import similar_vectors
 from opslog.llm.mixing import mix_documents
 from opslog.llm.near_dedup import near_duplicates
 from opslog.llm.sharding import plan_shards
+from opslog.llm.substring_dedup import remove_repeats
 from opslog.llm.token_store import token_index
 from opslog.llm.toxicity import score_documents
 
@@ -27,6 +28,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_near_dedup": op6_near_dedup,
