@@ -1,0 +1,72 @@
+import zlib
+
+import numpy as np
+
+from opslog.llm.toxicity import Settings, drop_toxic, fit, mixture_share, score_documents
+from tests.llm.conftest import ODD, documents
+
+
+def corpus(spark, words, n=600):
+    bad = ["scumbag", "vermin", "filth"]
+    rows, marks = [], []
+    for i in range(n):
+        toxic = i % 7 == 0
+        text = words(60)
+        if toxic:
+            text = text.replace(" ", f" {bad[i % 3]} ", 3)
+        rows.append((i, text))
+        if i % 2 == 0 or toxic:
+            marks.append((i, 1, int(toxic)))
+    return documents(spark, rows), spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+
+
+def test_held_out_accuracy(spark, words):
+    docs, labels = corpus(spark, words)
+    got = {r.doc_id: r for r in score_documents(docs, labels).collect()}
+    held = [r for r in got.values() if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in got if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert np.mean([r.predicted == (r.doc_id % 7 == 0) for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
+
+
+def test_held_out_labels_do_not_matter(spark, words):
+    docs, labels = corpus(spark, words, 200)
+    flipped = labels.selectExpr(
+        "doc_id", "quality",
+        "cast(if(crc32(cast(doc_id as string)) % 4 = 2, 1 - toxic, toxic) as int) as toxic")
+    key = lambda df: sorted((r.doc_id, r.score) for r in df.collect())
+    assert key(score_documents(docs, labels)) == key(score_documents(docs, flipped))
+
+
+def test_odd_rows_no_labels_and_clashing_columns(spark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    got = score_documents(documents(spark, ODD, extra=True), none).collect()
+    assert len(got) == len(ODD) and {r.score for r in got} == {got[0].score} and not any(r.predicted for r in got)
+    nulls = spark.createDataFrame([(None, 1, 1), (4, None, None), (5, 1, 1)], "doc_id bigint, quality int, toxic int")
+    assert score_documents(documents(spark, ODD), nulls).count() == len(ODD)
+    assert score_documents(documents(spark, []), nulls).count() == 0
+
+
+def test_stage_keeps_columns_and_clean_rows(spark, words):
+    docs, labels = corpus(spark, words, 300)
+    kept = drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert len(ids ^ {i for i in range(300) if i % 7}) <= 3
+
+
+def test_long_text_is_scored_whole(spark, words):
+    docs, labels = corpus(spark, words, 300)
+    tail = documents(spark, [(10_001, words(30_000) + " scumbag vermin filth")])
+    got = {r.doc_id: r.score for r in score_documents(docs.union(tail), labels).collect()}
+    assert got[10_001] > 0.3
+
+
+def test_share_of_positives_is_found():
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(4, 1, 4000), np.concatenate([rng.normal(4, 1, 400), rng.normal(0, 1, 3600)])
+    assert abs(mixture_share(p, u, 0.9) - 0.1) < 0.03
+
+
+def test_fit_without_one_side_gives_the_prior():
+    assert np.isclose(1 / (1 + np.exp(-fit([], [np.array([1], np.int32)], 0.2, Settings()).bias)), 0.2)
