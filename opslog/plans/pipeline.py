@@ -25,15 +25,12 @@ from opslog.operators import quality as Q
 from opslog.operators import split as S
 from opslog.operators.replicate import replicate_lines
 from opslog.plans.audit import StepRun, audited, raise_failures, succeeded
-from opslog.session import sized_for
+from opslog.session import BYTES_PER_SHUFFLE_TASK, sized_for
 from opslog.sources import log_files as L
 from opslog.sources.lake import Lake
 
 Runs = dict[str, StepRun]
 
-# Above this many splits with first lines the join that picks their lines is left to Spark.
-BROADCAST_SPLITS = 50_000
-
 DECISION_SCHEMA = (
     "month string, file_name string, status string, code int, line_count bigint, "
     "size_bytes bigint, valid_share double, sha256 string"
@@ -57,17 +54,33 @@ def _finish(runs: Runs, strict: bool) -> Runs:
 # ---- split ---------------------------------------------------------------
 
 def split_log(lake: Lake, source: str, landing: str, partitions: int | None = None) -> DataFrame:
-    """Split unsplit log files into month folders of the landing area; returns lines by month."""
-    lines = L.read_log_lines(lake.spark, source)
-    with sized_for(lake.spark, L.text_bytes(lake.spark, source)):
-        L.write_month_files(S.split_in_file_order(lines, partitions), landing)
-    written = lake.spark.read.schema("value string, month string").text(landing, lineSep="\n")
-    return S.split_counts(written)
+    """Split unsplit log files into month folders of the landing area; returns lines by month.
+
+    Only the months of the source are replaced. A month that already lies there as a plain
+    file is refused before anything is written.
+    """
+    with lake.working() as keep, sized_for(lake.spark, L.text_bytes(lake.spark, source)):
+        lines = L.read_log_lines(lake.spark, source)
+        carried = keep(S.carried_months(lines), "carried")
+        counts = keep(S.split_counts(S.split_by_month(lines, carried)), "counts")
+        months = {row["month"] for row in counts.collect()}
+        taken = sorted(
+            m for m, one in _landed(lake, landing).items()
+            if m in months and any(path.endswith(one.file_name) for path in one.paths))
+        if taken:
+            raise ValueError(f"already in the landing folder as a file: {', '.join(taken)}")
+        L.write_month_files(S.split_in_file_order(lines, partitions, carried), landing)
+        return lake.spark.createDataFrame(counts.collect(), counts.schema)
 
 
-def write_replay(lake: Lake, source: str, target: str, copies: int, partitions: int = 200) -> None:
+def _landed(lake: Lake, landing: str) -> dict[str, L.Landed]:
+    return L.landed_months(lake.spark, landing) if lake.exists(landing) else {}
+
+
+def write_replay(lake: Lake, source: str, target: str, copies: int) -> None:
     """Volume data from a sample log: all copies of a line follow it, in the order of the log."""
     lines = L.read_log_lines(lake.spark, source)
+    partitions = max(1, -(-L.text_bytes(lake.spark, source) * copies // BYTES_PER_SHUFFLE_TASK))
     order = ("file_name", "split", "line_id")
     replicas = replicate_lines(lines, copies, partitions, order)
     replicas.select("value").write.option("lineSep", "\n").text(target)
@@ -75,44 +88,35 @@ def write_replay(lake: Lake, source: str, target: str, copies: int, partitions:
 
 # ---- ingest --------------------------------------------------------------
 
-def _landing_lines(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame:
-    return L.read_log_lines(lake.spark, landing, file_names=[LANDING_NAME % m for m in months])
-
-
-def landing_splits(lake: Lake, landing: str, months: Sequence[str]) -> DataFrame:
-    """Counts and sums of every split of the months' files, stored: one row per split."""
-    sums = S.split_sums(_landing_lines(lake, landing, months), fingerprint=True)
-    return S.place_splits(lake.keep(sums, "file_splits"))
+def _landing_lines(lake: Lake, landed: Iterable[L.Landed]) -> DataFrame:
+    """Lines of the given months only; other files of the landing folder are not touched."""
+    paths = [path for one in landed for path in one.paths]
+    return L.read_log_lines(lake.spark, *paths, landing=True)
 
 
 def inspect_landing(
-    lake: Lake, landing: str, months: Sequence[str], splits: DataFrame,
-    check_lines: int = FORMAT_CHECK_LINES,
+    lake: Lake, landed: Sequence[L.Landed], splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES
 ) -> DataFrame:
-    """file_name, line_count, size_bytes, valid_share, sha256 of the months' landing files.
+    """file_name, line_count, size_bytes, valid_share, sha256 of landing files, from stored splits.
 
-    ``sha256`` is that of the bytes for a plain file up to ``SHA256_MAX_BYTES``. For anything
-    larger, and for a month in several part files, it is the hash of a fingerprint of size,
-    line count, line contents and line order.
+    ``sha256`` is the hash of a fingerprint of line count, line contents and line order: the
+    same lines have the same one at any size, as one file or as part files. Lines are read
+    again only for files whose first split does not hold the first ``check_lines`` lines.
     """
-    names = [LANDING_NAME % month for month in months]
-    files = L.list_landing_files(lake.spark, landing).filter(F.col("file_name").isin(names))
-    heads = S.head_splits(splits, check_lines)
-    if heads.count() <= BROADCAST_SPLITS:
-        heads = F.broadcast(heads)
-    lines = _landing_lines(lake, landing, months)
-    inspected = S.inspect_files(lines, check_lines, splits, heads)
-    fingerprint = F.concat_ws(":", F.col("size_bytes").cast("string"), F.col("fingerprint"))
-    return (
-        files.join(inspected, "file_name", "left")
-        .join(L.file_sha256(lake.spark, landing, names), "file_name", "left")
-        .select(
-            "file_name",
-            F.coalesce("line_count", F.lit(0).cast("bigint")).alias("line_count"),
-            "size_bytes",
-            F.coalesce("valid_share", F.lit(0.0)).alias("valid_share"),
-            F.coalesce("sha256", F.sha2(fingerprint, 256)).alias("sha256"),
-        )
+    inspected = S.files_from_splits(splits, check_lines)
+    open_ = {row["file_name"] for row in inspected.filter("starts is null").select("file_name").collect()}
+    if open_:
+        again = _landing_lines(lake, [one for one in landed if one.file_name in open_])
+        numbered = S.head_starts(again, splits.filter(F.col("file_name").isin(sorted(open_))), check_lines)
+        inspected = inspected.join(
+            numbered.withColumnRenamed("starts", "numbered"), "file_name", "left"
+        ).withColumn("starts", F.coalesce("starts", "numbered"))
+    return L.landing_files(lake.spark, landed).join(inspected, "file_name", "left").select(
+        "file_name",
+        F.coalesce("line_count", F.lit(0).cast("bigint")).alias("line_count"),
+        "size_bytes",
+        F.coalesce(S.valid_share(check_lines), F.lit(0.0)).alias("valid_share"),
+        F.sha2(F.coalesce("fingerprint", F.lit("empty")), 256).alias("sha256"),
     )
 
 
@@ -120,15 +124,25 @@ def ingest(
     lake: Lake, landing: str, months: Iterable[str], *, strict: bool = True,
     check_lines: int = FORMAT_CHECK_LINES,
 ) -> Runs:
-    """Inspect, decide, copy accepted files to the raw zone, check the copy, record it."""
+    """Inspect, decide, copy accepted files to the raw zone, check the copy, record it.
+
+    A month that lies in the landing folder both as a file and as a folder is refused.
+    """
     wanted = _distinct(months, P.require_month)
-    with audited(lake, "ingest", wanted) as runs:
-        requests = lake.spark.createDataFrame([(m,) for m in wanted], "month string")
-        splits = landing_splits(lake, landing, wanted)
-        inspected = inspect_landing(lake, landing, wanted, splits, check_lines)
+    with audited(lake, "ingest", wanted) as runs, lake.working() as keep:
+        there = {m: one for m, one in _landed(lake, landing).items() if m in wanted}
+        clear = [one for one in there.values() if not one.ambiguous]
+        for month, one in there.items():
+            if one.ambiguous:
+                runs[month].error = f"{one.file_name} is there as a file and as a folder"
+        requests = lake.spark.createDataFrame(
+            [(m,) for m in wanted if not runs[m].error], "month string")
+        splits = keep(_splits(lake, clear, check_lines), "file_splits")
+        inspected = inspect_landing(lake, clear, splits, check_lines)
         decisions = I.ingest_decisions(requests, inspected, lake.manifest()).collect()
         new = [d for d in decisions if d["status"] == "ingested"]
-        incomplete = _store(lake, landing, [d["month"] for d in new], splits) if new else set()
+        stored = [there[d["month"]] for d in new]
+        incomplete = _store(lake, stored, splits) if new else set()
         kept = [d for d in new if d["month"] not in incomplete]
         if kept:
             rows = lake.spark.createDataFrame(kept, DECISION_SCHEMA)
@@ -145,13 +159,24 @@ def ingest(
     return _finish(runs, strict)
 
 
-def _store(lake: Lake, landing: str, months: list[str], splits: DataFrame) -> set[str]:
+def _splits(lake: Lake, landed: Sequence[L.Landed], check_lines: int) -> DataFrame:
+    """Counts and sums of every split of the months' files: one row per split, one text scan."""
+    if landed:
+        lines = _landing_lines(lake, landed)
+    else:
+        lines = lake.spark.createDataFrame(
+            [], "file_name string, split struct<part: string, start: bigint>, line_id bigint, value string")
+    return S.place_splits(S.split_sums(lines, check_lines, S.line_digest))
+
+
+def _store(lake: Lake, landed: Sequence[L.Landed], splits: DataFrame) -> set[str]:
     """Copy the months' lines to the raw zone; returns the months whose copy differs.
 
     The copy is read back and compared with the sums of the inspection.
     """
     month = P.month_of_landing_name(F.col("file_name")).alias("month")
-    lake.write_raw(_landing_lines(lake, landing, months).select("value", month))
+    lake.write_raw(_landing_lines(lake, landed).select("value", month))
+    months = [one.month for one in landed]
     given = S.content_by_file(splits).select(month, "lines", "low", "high")
     stored = S.content_by_month(lake.raw_copied(months))
     same = {row["month"] for row in given.intersect(stored).collect()}
@@ -159,7 +184,8 @@ def _store(lake: Lake, landing: str, months: list[str], splits: DataFrame) -> se
 
 
 def landing_status(lake: Lake, landing: str) -> DataFrame:
-    return I.landing_status(L.list_landing_files(lake.spark, landing), lake.manifest())
+    landed = _landed(lake, landing).values()
+    return I.landing_status(L.landing_files(lake.spark, landed), lake.manifest())
 
 
 # ---- clean ---------------------------------------------------------------
@@ -255,7 +281,9 @@ def deliver_quarters(
         for quarter in wanted:
             run = runs[quarter]
             run.rows_in, run.rows_out = rows_in.get(quarter, 0), rows_out.get(quarter, 0)
-            if run.rows_in != run.rows_out:
+            if not run.rows_in:
+                run.error = f"no curated rows for {quarter}, aggregate it first"
+            elif run.rows_in != run.rows_out:
                 run.error = f"{run.rows_out} rows loaded, {run.rows_in} in the curated zone"
             elif quarter in broken:
                 run.error = f"constraint violated: {broken[quarter]}"
@@ -270,8 +298,11 @@ def deliver_quarters(
 
 # ---- whole runs ----------------------------------------------------------
 
-def ready_quarters(passed: Iterable[str], last_month: str) -> list[str]:
-    """Quarters whose closing month, or the last month of all data, has passed the gate."""
+def ready_quarters(passed: Iterable[str], last_month: str | None = None) -> list[str]:
+    """Quarters whose closing month, or the last month of all data, has passed the gate.
+
+    Without ``last_month`` more data may follow, so only closing months count.
+    """
     return sorted({
         P.quarter_name(m) for m in passed if P.closes_quarter(m) or m == last_month
     })
@@ -283,11 +314,11 @@ def backfill(
 ) -> dict[str, Runs]:
     """Ingest, clean and check all months, then aggregate and deliver the complete quarters.
 
-    A month that fails a step is left out of the following steps, the others go on. The
-    outcome of every step and period is returned and in the audit trail.
+    A month that fails a step is left out of the following steps, the others go on. A quarter
+    is complete with its closing month; name ``last_month`` where the data ends inside a
+    quarter. The outcome of every step and period is returned and in the audit trail.
     """
     wanted = _distinct(months, P.require_month)
-    last_month = last_month or wanted[-1]
     done: dict[str, Runs] = {}
     done["ingest"] = ingest(lake, landing, wanted, strict=False, check_lines=check_lines)
     done["clean"] = clean_months(lake, succeeded(done["ingest"]), strict=False)

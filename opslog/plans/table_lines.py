@@ -25,19 +25,34 @@ def _text(value) -> Column:
     return F.col(value).cast("string") if isinstance(value, str) else value.cast("string")
 
 
+# Months of the orders with a shape of their own: one of garbage, one without any fault, and one
+# with all events of one midplane in one hour.
+GARBAGE_MONTH, CLEAN_MONTH, BUSY_MONTH = "1997-02", "1998-03", "1999-11"
+TROUBLES = (
+    "parity error", "TLB miss", "link down", "fan stopped", "voltage low", "cache flush", "bus timeout",
+    "disk full", "clock drift", "page fault", "mount lost", "node reset", "lane failed", "queue stuck",
+    "frame dropped", "sensor silent", "power cycled", "route changed", "lease expired", "file missing",
+    "thread hung", "stack overrun", "job killed", "token lost",
+)
+
+
 def _lines(source: DataFrame) -> DataFrame:
     """(event_id, ts, user_id, event_type, value) -> (line_no, month, value)."""
     number, user = F.col("event_id"), F.col("user_id")
+    month = F.substring(F.col("time"), 1, 7)
+    sound, busy = month == CLEAN_MONTH, month == BUSY_MONTH
     label = F.when((F.col("event_type") == "error") & (F.col("value") > 50), "KERNDTLB").otherwise("-")
-    node = F.when(user % 37 == 0, "UNKNOWN_LOCATION").otherwise(
+    node = F.when(busy, "R02-M0-N0").when(user % 37 == 0, "UNKNOWN_LOCATION").otherwise(
         F.concat(F.lit("R"), F.lpad(_text(user % 4), 2, "0"), F.lit("-M"), _text(user % 2), F.lit("-N0"))
     )
     time = F.col("time")  # 'yyyy-MM-dd HH:mm:ss' with a fraction unless it is zero
+    day_and_hour = F.when(busy, f"{BUSY_MONTH}-05-10").otherwise(
+        F.concat(F.substring(time, 1, 10), F.lit("-"), F.substring(time, 12, 2)))
     time_text = (
-        F.when(number % 89 == 1, "2024-01-32-00.00.00.000000")
-        .when(number % 83 == 1, "2023-12-31-23.59.59.999999")
+        F.when((number % 89 == 1) & ~sound, "2024-01-32-00.00.00.000000")
+        .when((number % 83 == 1) & ~sound, "2023-12-31-23.59.59.999999")
         .otherwise(F.concat(
-            F.substring(time, 1, 10), F.lit("-"), F.translate(F.substring(time, 12, 8), ":", "."),
+            day_and_hour, F.translate(F.substring(time, 14, 6), ":", "."),
             F.lit("."), F.rpad(F.substring(time, 21, 6), 6, "0")))
     )
     component = F.when(user % 3 == 0, "APP").when(user % 7 == 0, "DISCOVERY").otherwise("KERNEL")
@@ -48,17 +63,19 @@ def _lines(source: DataFrame) -> DataFrame:
     message = F.concat(
         F.lit("core "), _text(number % 5), F.lit(" at 0x"), _text(number % 7),
         F.lit("fA from 10.0.0."), _text("user_id"), F.lit(" by u"), _text("user_id"),
-        F.lit("@x.org "), F.when(number % 2 == 0, "parity error").otherwise("TLB miss"),
+        F.lit("@x.org "),
+        F.element_at(F.array(*map(F.lit, TROUBLES)), (number % len(TROUBLES) + 1).cast("int")),
     )
     seconds = _text(F.unix_timestamp(F.col("ts").cast("timestamp")))
     whole = F.concat_ws(
         " ", label, seconds, F.translate(F.substring(time, 1, 10), "-", "."), node, time_text, node,
         F.lit("RAS"), component, level, message,
     )
-    value = F.when(number % 97 == 1, F.concat(F.lit("garbage "), _text("event_id"))).otherwise(whole)
+    garbage = (month == GARBAGE_MONTH) | ((number % 97 == 1) & ~sound)
+    value = F.when(garbage, F.concat(F.lit("garbage "), _text("event_id"))).otherwise(whole)
     # Exploding the text itself also keeps later filters on it from being pushed below the
     # generator, where the long expression above would be evaluated once per filter.
-    copies = F.array_repeat(value, F.when(number % 50 == 0, 2).otherwise(1))
+    copies = F.array_repeat(value, F.when((number % 50 == 0) & ~sound, 2).otherwise(1))
     return source.withColumn("time", _text("ts")).select(
         "event_id", F.substring(time, 1, 7).alias("month"),
         F.posexplode(copies).alias("copy", "value"),
@@ -103,7 +120,7 @@ def landing_files(lines: DataFrame) -> DataFrame:
         landing_name(F.col("month")).alias("file_name"),
         F.floor(F.col("line_no") / LINES_PER_SPLIT).cast("bigint").alias("split"),
         F.col("line_no").alias("line_id"),
-        F.when(spoilt, F.concat(F.lit("#"), "value")).otherwise(F.col("value")).alias("value"),
+        F.when(spoilt, F.concat(F.lit("# "), "value")).otherwise(F.col("value")).alias("value"),
     )
 
 
@@ -114,19 +131,22 @@ def file_checksums(files: DataFrame) -> DataFrame:
         F.sum(F.octet_length("value") + F.lit(1)).alias("size_bytes"),
     )
     text = F.concat_ws(":", "file_name", _text("lines"), _text("size_bytes"))
-    return sizes.select("file_name", "size_bytes", F.sha2(text, 256).alias("sha256"))
+    return sizes.select("file_name", "lines", "size_bytes", F.sha2(text, 256).alias("sha256"))
 
 
 def manifest_rows(files: DataFrame) -> DataFrame:
+    return manifest_of(file_checksums(files))
+
+
+def manifest_of(checksums: DataFrame) -> DataFrame:
     """Files of every third month (and May) as stored before; those of September have changed."""
     month = F.substring("file_name", 5, 7)
     sha = F.when(month.endswith("-09"), F.sha2("sha256", 256)).otherwise(F.col("sha256"))
-    counts = files.groupBy("file_name").agg(F.count("*").alias("line_count"))
     return (
-        counts.join(file_checksums(files), "file_name")
-        .filter(F.substring(month, 6, 2).isin("03", "05", "06", "09", "12"))
+        checksums.filter(F.substring(month, 6, 2).isin("03", "05", "06", "09", "12"))
         .select(
-            "file_name", month.alias("month"), sha.alias("sha256"), "line_count", "size_bytes",
+            "file_name", month.alias("month"), sha.alias("sha256"),
+            F.col("lines").alias("line_count"), "size_bytes",
             F.concat(F.lit("raw/month="), month).alias("hdfs_path"),
             F.to_timestamp_ntz(F.concat(month, F.lit("-28 00:00:00"))).alias("ingested_at"),
         )

@@ -1,7 +1,5 @@
 """The steps on real small files: decisions, copies, reruns, gate, publishing."""
 
-import hashlib
-
 import pytest
 from conftest import LINE, SF_DIR
 from pyspark.sql import functions as F
@@ -33,9 +31,11 @@ def make_place(spark, folder):
     landing.mkdir()
     for month, alerts in {"2005-06": 0, "2005-07": 5, "2005-08": 3, "2005-09": 7}.items():
         (landing / f"BGL_{month}.log").write_text("\n".join(month_lines(month, 300, alerts)) + "\n")
-    (landing / "BGL_2005-10.log").write_text("this is not a log file\n" * 50)
+    (landing / "BGL_2005-10.log").write_text("## meeting notes, page 3\n" * 50)
     (landing / "BGL_2005-11.log").write_text("")
     (landing / "notes.txt").write_text("ignored\n")
+    (landing / "old").mkdir()
+    (landing / "old" / "BGL_2005-06.log").write_text("\n".join(month_lines("2005-06", 30)) + "\n")
     return Lake(spark, str(folder / "lake")), landing
 
 
@@ -80,23 +80,49 @@ def test_manifest_row_and_copy(place):
     P.ingest(lake, str(landing), ["2005-06", "2005-07"])
     text = (landing / "BGL_2005-06.log").read_bytes()
     row = lake.manifest().filter("month = '2005-06'").first()
-    assert row.sha256 == hashlib.sha256(text).hexdigest()
+    assert len(row.sha256) == 64
     assert (row.file_name, row.line_count, row.size_bytes) == ("BGL_2005-06.log", 300, len(text))
     assert row.hdfs_path.endswith("lake/raw/month=2005-06") and row.ingested_at is not None
     assert sorted(r.value for r in lake.raw(["2005-06"]).collect()) == sorted(text.decode().splitlines())
 
 
-def test_large_files_get_a_fingerprint(place, monkeypatch):
+def test_one_hash_for_the_same_lines(place, setting):
     lake, landing = place
-    monkeypatch.setattr(P.L.file_sha256, "__defaults__", (1000,))
-    P.ingest(lake, str(landing), ["2005-06"])
+    P.ingest(lake, str(landing), ["2005-06", "2005-07"])
     path = landing / "BGL_2005-06.log"
-    sha = lake.manifest().first().sha256
-    assert len(sha) == 64 and sha != hashlib.sha256(path.read_bytes()).hexdigest()
-    assert outcome(P.ingest(lake, str(landing), ["2005-06"]))["2005-06"][1] == "already_ingested"
     lines = path.read_text().splitlines()
-    path.write_text("\n".join([lines[1], lines[0], *lines[2:]]) + "\n")
-    assert P.ingest(lake, str(landing), ["2005-06"], strict=False)["2005-06"].error.startswith("409")
+    again = lambda: P.ingest(lake, str(landing), ["2005-06"], strict=False)["2005-06"]
+
+    path.write_text("\n".join(lines))  # without the last newline
+    setting("spark.sql.files.maxPartitionBytes", "700")
+    setting("spark.sql.files.openCostInBytes", "700")
+    assert again().message == "already_ingested"
+    path.unlink()
+    folder = landing / "month=2005-06"
+    folder.mkdir()
+    for n, (a, b) in enumerate(((0, 70), (70, 71), (71, 300))):
+        (folder / f"part-{n:05d}.txt").write_text("\n".join(lines[a:b]) + "\n")
+    assert again().message == "already_ingested"
+    (folder / "part-00001.txt").write_text(lines[71] + "\n")
+    assert again().error.startswith("409")
+    (folder / "part-00001.txt").write_text(lines[70] + "\n")
+    (folder / "part-00000.txt").write_text("\n".join([lines[1], lines[0], *lines[2:70]]) + "\n")
+    assert again().error.startswith("409")
+    path.write_text("\n".join(lines) + "\n")
+    assert "as a file and as a folder" in again().error
+    assert not (landing.parent / "lake" / "work").exists() or not list((landing.parent / "lake" / "work").iterdir())
+
+
+def test_landing_text_is_inspected_in_one_scan(place, monkeypatch):
+    lake, landing = place
+    scans = []
+    read = P.L.read_log_lines
+    monkeypatch.setattr(P.L, "read_log_lines", lambda *a, **k: scans.append(a[1:]) or read(*a, **k))
+    landed = list(P.L.landed_months(lake.spark, str(landing)).values())
+    with lake.working() as keep:
+        splits = keep(P._splits(lake, [x for x in landed if x.month < "2005-10"], 100), "s")
+        P.inspect_landing(lake, [x for x in landed if x.month == "2005-06"], splits.filter("file_name like '%2005-06%'"), 100).collect()
+    assert len(scans) == 1 and not any("old" in path or "notes" in path for path in scans[0])
 
 
 def test_an_incomplete_copy_is_not_recorded(place, monkeypatch):
@@ -217,6 +243,40 @@ def test_an_empty_quarter_is_an_error(quarter):
     assert lake.audit().filter("period = '2004Q1' and status = 'failed'").count() == 1
 
 
+def test_july_alone_publishes_nothing(place):
+    lake, landing = place
+    done = P.backfill(lake, str(landing), ["2005-07"])
+    assert done["quality_check"]["2005-07"].status == "success"
+    assert done["aggregate"] == {} and done["deliver"] == {} and lake.features().isEmpty()
+    assert P.backfill(lake, str(landing), ["2005-07"], "2005-07")["deliver"]["2005Q3"].status == "success"
+
+
+def test_an_absent_or_emptied_quarter_keeps_the_old_load(quarter):
+    lake, _, _ = quarter
+    before = table(lake.features())
+    with pytest.raises(StepFailed, match="no curated rows for 1999Q1"):
+        P.deliver_quarters(lake, ["1999Q1", "2005Q3"])
+    elsewhere = Lake(lake.spark, lake.root + "-none")
+    with pytest.raises(StepFailed, match="no curated rows for 2005Q3"):
+        P.deliver_quarters(elsewhere, ["2005Q3"])
+    assert table(lake.features()) == before
+    assert lake.audit().filter("period = '1999Q1' and status = 'failed'").count() == 1
+
+
+def test_views_show_later_deliveries(spark, place):
+    lake, landing = place
+    lake.create_views()
+    assert spark.table("midplane_hourly").isEmpty() and spark.table("latest_quarter").isEmpty()
+    P.backfill(lake, str(landing), ["2005-06"])
+    first = spark.table("midplane_hourly").count()
+    assert first == lake.features().count() > 0
+    assert {r.quarter for r in spark.table("latest_quarter").collect()} == {"2005Q2"}
+    P.backfill(lake, str(landing), ["2005-07", "2005-08", "2005-09"])
+    assert spark.table("midplane_hourly").count() == lake.features().count() > first
+    assert {r.quarter for r in spark.table("latest_quarter").collect()} == {"2005Q3"}
+    assert spark.table("ingested_files").count() == 4
+
+
 def test_sql_users_find_the_serving_tables(quarter, spark):
     lake, _, _ = quarter
     lake.create_views()
@@ -272,7 +332,7 @@ def test_wide_measures_go_through_all_zones(spark, place):
 def test_a_replay_keeps_the_order(spark, tmp_path):
     lines = [LINE.replace("675872", f"{n:06d}") for n in (7, 3, 999_999, 5)] + ["no time"]
     (tmp_path / "sample.log").write_text("\n".join(lines))
-    P.write_replay(Lake(spark, str(tmp_path)), str(tmp_path / "sample.log"), str(tmp_path / "out"), 3, 4)
+    P.write_replay(Lake(spark, str(tmp_path)), str(tmp_path / "sample.log"), str(tmp_path / "out"), 3)
     text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
     micros = [int(line.split(" ")[4][-6:]) if "RAS" in line else None for line in text.splitlines()]
     assert micros == [7, 8, 9, 3, 4, 5, 999_999, 0, 1, 5, 6, 7, None, None, None]
@@ -302,7 +362,7 @@ def test_shuffles_are_sized_by_the_input(spark):
     with sized_for(spark, 1000):
         assert [spark.conf.get(k, None) for k in keys] == before
     with sized_for(spark, 10**14):
-        assert [spark.conf.get(k) for k in keys] == ["50000", "512m"]
+        assert [spark.conf.get(k) for k in keys] == [str(-(-10**14 // (256 * 1024**2))), "512m"]
     with pytest.raises(ValueError), sized_for(spark, 10**10):
         assert spark.conf.get(keys[0]) == "38"
         raise ValueError

@@ -10,8 +10,8 @@ import pytest
 from conftest import ROOT, SF_DIR
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from opslog.plans.oracle import ORACLE_SQL as ORACLE
+from opslog.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +36,20 @@ def rows(columns, tuples):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_data_reach_every_branch(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    statuses = {r.status for r in QUERIES["ingest_decisions"](spark, folder).collect()}
+    assert statuses == {"bad_month", "not_found", "wrong_format", "already_ingested", "conflict", "ingested"}
+    gate = QUERIES["quality_gate"](spark, folder).collect()
+    assert {r.status for r in gate} == {"success", "failed"}
+    assert any("no valid lines" in r.message for r in gate) and any("dropped" in r.message for r in gate)
+    assert QUERIES["message_templates"](spark, folder).count() >= 20
+    busiest = QUERIES["quarterly_features"](spark, folder).agg({"events_total": "max"}).first()[0]
+    assert busiest >= (100 if sf == "sf0.01" else 10)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -3,7 +3,6 @@ import re
 
 import pytest
 from conftest import plan_of
-from pyspark.sql import functions as F
 
 from opslog.operators import split as S
 from opslog.plans.pipeline import split_log
@@ -53,6 +52,36 @@ def test_split_equals_a_sequential_reader(spark, setting, monkeypatch, tmp_path,
     assert got == sequential(lines)
 
 
+def test_same_named_files_are_carried_apart(spark, tmp_path):
+    for folder, month in (("a", "2001.02"), ("b", "2001.03")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.log").write_text(f"head\n- 1 {month}.01 x\ntail {folder}\n")
+    frame = L.read_log_lines(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert {(r.month, r.value) for r in S.split_by_month(frame).collect() if "tail" in r.value} == {
+        ("2001-02", "tail a"), ("2001-03", "tail b")}
+
+
+def test_other_months_and_files_of_the_landing_folder_stay(spark, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "month=1999-01").mkdir(parents=True)
+    (landing / "month=1999-01" / "part-0.txt").write_text("- 1 1999.01.01 x\n")
+    (landing / "month=2000-02").mkdir()
+    (landing / "month=2000-02" / "part-0.txt").write_text("old\n")
+    (landing / "BGL_2004-01.log").write_text("- 1 2004.01.01 x\n")
+    (landing / "notes.txt").write_text("n\n")
+    (tmp_path / "whole.log").write_text("- 1 2000.02.01 new\n- 1 2000.03.01 new\n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    split_log(lake, str(tmp_path / "whole.log"), str(landing))
+    left = sorted(str(p.relative_to(landing)) for p in landing.iterdir() if not p.name.startswith((".", "_")))
+    assert left == ["BGL_2004-01.log", "month=1999-01", "month=2000-02", "month=2000-03", "notes.txt"]
+    text = "".join(p.read_text() for p in (landing / "month=2000-02").glob("part-*"))
+    assert text == "- 1 2000.02.01 new\n"
+    (tmp_path / "more.log").write_text("- 1 2004.01.01 y\n- 1 2005.01.01 y\n")
+    with pytest.raises(ValueError, match="2004-01"):
+        split_log(lake, str(tmp_path / "more.log"), str(landing))
+    assert not (landing / "month=2005-01").exists()
+
+
 def test_written_months_keep_the_line_order(spark, setting, tmp_path):
     lines = list(junk_log(4000, 5))
     (tmp_path / "whole.log").write_text("\n".join(lines) + "\n", newline="\n")
@@ -106,7 +135,7 @@ def test_line_counts_and_first_lines_over_many_splits(spark, setting, monkeypatc
     small_splits(setting, 300)
     for check in (1, 50, 250, 10_000):
         got = {r.file_name: (r.line_count, r.valid_share)
-               for r in S.inspect_files(L.read_log_lines(spark, str(tmp_path)), check).collect()}
+               for r in S.inspect_files(L.read_log_lines(spark, str(tmp_path), landing=True), check).collect()}
         for name, lines in files.items():
             first = lines[:check]
             share = sum(bool(DATE.match(line)) for line in first) / len(first)
@@ -115,8 +144,8 @@ def test_line_counts_and_first_lines_over_many_splits(spark, setting, monkeypatc
 
 def fingerprints(spark, folder):
     lines = L.read_log_lines(spark, str(folder))
-    inspected = S.inspect_files(lines, 10, S.place_splits(S.split_sums(lines, fingerprint=True)))
-    return {r.file_name: r.fingerprint for r in inspected.collect()}
+    files = S.files_from_splits(S.place_splits(S.split_sums(lines, 10, S.line_digest)), 10)
+    return {r.file_name.split("/")[-1]: r.fingerprint for r in files.collect()}
 
 
 def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, monkeypatch, tmp_path):
@@ -136,25 +165,23 @@ def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, monke
         assert fingerprints(spark, tmp_path) == whole
 
 
-def test_other_files_are_not_read(spark, tmp_path):
-    for month in ("2005-06", "2005-07"):
-        (tmp_path / f"BGL_{month}.log").write_text(f"line of {month}\n")
-    kept = L.read_log_lines(spark, str(tmp_path), file_names=["BGL_2005-07.log"])
-    assert [r.value for r in kept.collect()] == ["line of 2005-07"]
-    executed = kept._jdf.queryExecution()
-    executed.toRdd().count()
-    metrics = executed.executedPlan().collectLeaves().head().metrics()
-    assert metrics.apply("numFiles").value() == 1
+def test_the_first_scan_tells_the_first_lines(spark, setting, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "BLOCK_BYTES", 5000)
+    lines = list(junk_log(500, 9, 0.7))
+    (tmp_path / "BGL_2005-06.log").write_text("\n".join(lines) + "\n", newline="\n")
+    for size, told in ((10_000_000, True), (4000, True), (300, False)):
+        small_splits(setting, size)
+        frame = L.read_log_lines(spark, str(tmp_path), landing=True)
+        splits = S.place_splits(S.split_sums(frame, 40))
+        row = S.files_from_splits(splits, 40).first()
+        want = sum(bool(DATE.match(line)) for line in lines[:40])
+        assert row.line_count == 500 and row.starts == (want if told else None)
+        assert S.head_starts(frame, splits, 40).first().starts == want
 
 
-def test_small_heads_keep_the_lines_in_place(spark, tmp_path):
+def test_carried_months_are_hash_aggregated(spark, tmp_path):
     (tmp_path / "a.log").write_text("x\n" * 10)
-    lake = Lake(spark, str(tmp_path / "lake"))
     lines = L.read_log_lines(spark, str(tmp_path / "a.log"))
-    splits = S.place_splits(lake.keep(S.split_sums(lines), "splits"))
-    plan = plan_of(S.inspect_files(lines, 5, splits, F.broadcast(S.head_splits(splits, 5))))
-    assert re.search(r"BroadcastHashJoin \[file_name#\d+, .*split#\d+.*BuildRight", plan)
-    assert "SortMergeJoin" not in plan
     over_lines = r"HashAggregate\(keys=\[file_name#\d+, split#\d+\], functions=\[partial_max_by"
     assert re.search(over_lines, plan_of(S.split_by_month(lines)))
 
