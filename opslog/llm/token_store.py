@@ -7,10 +7,12 @@ through Spark from any store.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -177,7 +179,7 @@ class Encoder:
     special token's string is split here; any other text goes to the tokenizer as it is.
     """
 
-    LIMIT = 400_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -224,6 +226,13 @@ class Encoder:
         self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], np.uint32)])
 
 
+@cache
+def shared_encoder(path: str) -> Encoder:
+    """One encoder per worker process, so that later tasks find the pieces of earlier ones."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path)
+
+
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -244,10 +253,7 @@ def write_token_shards(docs: DataFrame, path: str | None = None) -> DataFrame:
     width = tasks_for(spark, rows.count(), ROWS_PER_TASK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(path or vocabulary_path())
+        encoder = shared_encoder(path or vocabulary_path())
         seq, ids, got, size = 0, [], [], 0
 
         def block() -> pa.RecordBatch:
