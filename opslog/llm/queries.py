@@ -14,6 +14,7 @@ from opslog.llm.language import identify_languages
 from opslog.llm.lattice import similar_vectors
 from opslog.llm.mixing import mix_documents
 from opslog.llm.near_dedup import near_duplicates
+from opslog.llm.oracle import EMBEDDING_NEAR_DEDUP, SUBSTRING_DEDUP
 from opslog.llm.sharding import plan_shards
 from opslog.llm.substring_dedup import remove_repeats
 from opslog.llm.token_store import token_index
@@ -73,4 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_ids": op10_token_ids,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": SUBSTRING_DEDUP,
+    "op9_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
+}

@@ -52,7 +52,7 @@ def test_components_of_no_edges(spark):
 
 def test_stored_keeps_schema_and_reads_the_setting(spark):
     df = spark.range(3).withColumn("x", F.lit(None).cast("string"))
-    assert stored(df, "t").schema == df.schema
+    assert stored(df, "t").dtypes == df.dtypes
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
