@@ -39,7 +39,6 @@ COMPONENT_MEASURES = {"kernel_events": "KERNEL", "app_events": "APP"}
 # ---- periods and files --------------------------------------------------
 MONTH_PATTERN = r"\d{4}-(0[1-9]|1[0-2])"
 QUARTER_PATTERN = r"\d{4}Q[1-4]"
-LANDING_GLOB = "BGL_*.log"
 LANDING_NAME = "BGL_%s.log"
 
 # ---- limits -------------------------------------------------------------
@@ -50,6 +49,11 @@ MESSAGE_LENGTH = 500
 RECENT_RUNS = 25
 TOP_MIDPLANES = 15
 
+# ---- texts of the gate --------------------------------------------------
+NO_VALID_LINES = "%s: no valid lines after cleaning"
+TOO_MANY_DROPPED = "%s: %s of lines dropped (limit %s)"
+DROP_RATE = "drop rate %s"
+
 # ---- audit vocabulary ---------------------------------------------------
 STEPS = ("ingest", "clean", "quality_check", "aggregate", "deliver")
 STATUSES = ("success", "failed")

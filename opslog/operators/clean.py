@@ -30,15 +30,20 @@ def keep_valid_lines(raw: DataFrame) -> DataFrame:
     line, and everything else is cut out of the line afterwards. Copies of one hot line are
     already merged before the shuffle.
     """
+    kept = raw
+    for rule in _rules():
+        kept = kept.filter(rule)
+    return kept.select("value").distinct()
+
+
+def _rules() -> list[Column]:
     value = F.col("value")
-    return (
-        raw.filter(~F.col("month").startswith("0000"))  # there is no year zero
-        .filter(L.is_log_line(value))
-        .filter(F.substring(event_text(value), 1, 7) == F.col("month"))
-        .filter(L.event_time(event_text(value)).isNotNull())
-        .select("value")
-        .distinct()
-    )
+    return [
+        ~F.col("month").startswith("0000"),  # there is no year zero
+        L.is_log_line(value),
+        F.substring(event_text(value), 1, 7) == F.col("month"),
+        L.event_time(event_text(value)).isNotNull(),
+    ]
 
 
 def mask_pii(text: Column) -> Column:
@@ -98,10 +103,14 @@ def clean(raw: DataFrame, *, gather_months: bool = False) -> DataFrame:
     return to_events(lines)
 
 
-def rows_per_month(raw: DataFrame, events: DataFrame) -> DataFrame:
-    """Rows in and out by month; a month without a clean row has 0."""
-    rows_in = raw.groupBy("month").agg(F.count("*").alias("raw_lines"))
-    rows_out = events.groupBy("month").agg(F.count("*").alias("clean_rows"))
-    return rows_in.join(rows_out, "month", "left").select(
-        "month", "raw_lines", F.coalesce("clean_rows", F.lit(0).cast("bigint")).alias("clean_rows")
-    )
+def rows_per_month(raw: DataFrame) -> DataFrame:
+    """Rows in and out by month, from one scan; a month without a clean row has 0.
+
+    Copies of a line are merged before the shuffle, and each distinct line is tested once.
+    """
+    valid = F.lit(True)
+    for rule in _rules():
+        valid = F.when(valid, rule).otherwise(F.lit(False))
+    per_line = raw.groupBy("month", "value").agg(F.count("*").alias("copies"))
+    return per_line.groupBy("month").agg(
+        F.sum("copies").alias("raw_lines"), F.count_if(valid).alias("clean_rows"))

@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslog.fixed import (
+    DROP_RATE,
     FEATURE_COLUMNS,
     MANIFEST_SCHEMA,
     MAX_DROP_RATE,
+    NO_VALID_LINES,
     STATUSES,
     STEPS,
+    TOO_MANY_DROPPED,
     column_names,
 )
 
@@ -33,12 +36,11 @@ def quality_gate(counts: DataFrame, max_drop_rate: float = MAX_DROP_RATE) -> Dat
         F.col("raw_lines") > 0, F.lit(1.0) - F.col("clean_rows") / F.col("raw_lines")
     )
     empty, too_many = F.col("clean_rows") == 0, F.col("drop_rate") > max_drop_rate
+    limit = F.lit(f"{max_drop_rate:.0%}")
     message = (
-        F.when(empty, F.concat("month", F.lit(": no valid lines after cleaning")))
-        .when(too_many, F.concat(
-            "month", F.lit(": "), percent(F.col("drop_rate"), 2),
-            F.lit(f" of lines dropped (limit {max_drop_rate:.0%})")))
-        .otherwise(F.concat(F.lit("drop rate "), percent(F.col("drop_rate"), 3)))
+        F.when(empty, F.format_string(NO_VALID_LINES, "month"))
+        .when(too_many, F.format_string(TOO_MANY_DROPPED, "month", percent(F.col("drop_rate"), 2), limit))
+        .otherwise(F.format_string(DROP_RATE, percent(F.col("drop_rate"), 3)))
     )
     return (
         counts.withColumn("drop_rate", rate)

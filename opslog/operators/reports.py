@@ -107,13 +107,15 @@ def latest_quarter(features: DataFrame) -> DataFrame:
     return features.filter(F.col("quarter") == newest)
 
 
+def midplane_sums(features: DataFrame) -> DataFrame:
+    """Alerts and events by quarter and midplane."""
+    return features.groupBy("quarter", "midplane").agg(
+        F.sum("alerts").alias("alerts"), F.sum("events_total").alias("events"))
+
+
 def midplane_ranking(features: DataFrame) -> DataFrame:
     """Alerts and events by quarter and midplane, most alerts first within a quarter."""
-    return (
-        features.groupBy("quarter", "midplane")
-        .agg(F.sum("alerts").alias("alerts"), F.sum("events_total").alias("events"))
-        .orderBy("quarter", F.desc("alerts"), F.desc("events"), "midplane")
-    )
+    return midplane_sums(features).orderBy("quarter", F.desc("alerts"), F.desc("events"), "midplane")
 
 
 def top_midplanes(features: DataFrame, quarter: str, count: int = TOP_MIDPLANES) -> DataFrame:

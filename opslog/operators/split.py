@@ -78,12 +78,13 @@ def carried_months(lines: DataFrame) -> DataFrame:
     )
 
 
-def lines_with_carry(lines: DataFrame) -> DataFrame:
+def lines_with_carry(lines: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """The lines plus, at the head of every split, a marker row that holds the carried month.
 
-    The marker travels with its split, so the carried month needs no join and no broadcast.
+    The marker travels with its split, so the carried month needs no join and no broadcast. A
+    caller that has stored ``carried`` saves the scan that computes it.
     """
-    marker = carried_months(lines).select(
+    marker = (carried_months(lines) if carried is None else carried).select(
         "file_name", "split", F.lit(-1).cast("bigint").alias("line_id"),
         F.lit(None).cast("string").alias("value"), F.col("month").alias("carried"),
     )
@@ -110,11 +111,13 @@ def fill_months(with_carry: DataFrame) -> DataFrame:
     )
 
 
-def split_by_month(lines: DataFrame) -> DataFrame:
-    return fill_months(lines_with_carry(lines))
+def split_by_month(lines: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    return fill_months(lines_with_carry(lines, carried))
 
 
-def split_in_file_order(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+def split_in_file_order(
+    lines: DataFrame, partitions: int | None = None, carried: DataFrame | None = None
+) -> DataFrame:
     """``split_by_month`` for writing: partitions and rows follow the order of the files.
 
     Ranges over (file, split) already keep a split in one task, so the window needs no second
@@ -122,7 +125,7 @@ def split_in_file_order(lines: DataFrame, partitions: int | None = None) -> Data
     month the line order stays.
     """
     keys = ["file_name", "split"]
-    spread = lines_with_carry(lines)
+    spread = lines_with_carry(lines, carried)
     ranged = (
         spread.repartitionByRange(partitions, *keys) if partitions
         else spread.repartitionByRange(*keys)
@@ -134,9 +137,19 @@ def split_counts(lines_by_month: DataFrame) -> DataFrame:
     return lines_by_month.groupBy("month").agg(F.count("*").alias("line_count"))
 
 
-def split_sums(lines: DataFrame, fingerprint: bool = False) -> DataFrame:
-    """One row per split with its line count and, for a fingerprint, sums of line hashes."""
-    measures = {"lines": F.count("*")} | (_split_sums() if fingerprint else {})
+def split_sums(
+    lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES, digest: Digest | None = None
+) -> DataFrame:
+    """One row per split: line count, first position, and how many of its lines that stand
+    among the first ``check_lines`` of the scan task start like a log line.
+
+    With a ``digest`` there are also sums of line hashes for a fingerprint.
+    """
+    position = _position(F.col("line_id"))
+    counted = (position < check_lines) & starts_like_log_line(F.col("value"))
+    measures = {"lines": F.count("*"), "first": F.min(position), "starts": F.count_if(counted)}
+    if digest is not None:
+        measures |= _split_sums(digest)
     return lines.groupBy("file_name", "split").agg(
         *(measure.alias(name) for name, measure in measures.items())
     )
@@ -152,46 +165,61 @@ def place_splits(sums: DataFrame) -> DataFrame:
     )
 
 
-def head_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
-    """Splits that can hold one of the first ``check_lines`` lines, in most files only one."""
-    return splits.filter(F.col("lines_before") < check_lines).select(
-        "file_name", "split", "lines_before"
-    )
-
+def files_from_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
+    """file_name, line_count, fingerprint where there are sums, and starts.
 
-def inspect_files(
-    lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES,
-    splits: DataFrame | None = None, heads: DataFrame | None = None,
-) -> DataFrame:
-    """Line count, and the share of the first ``check_lines`` lines that start like a log line.
-
-    Only lines of ``heads`` are numbered. A caller that has stored ``splits`` passes it and, if
-    it is small, a broadcast ``heads``: then the lines themselves are not shuffled. With
-    ``split_sums(lines, fingerprint=True)`` there is also a fingerprint: a text that depends
-    on the lines and their order but not on where splits begin. It needs ids without gaps
-    inside a split, as the file reader gives them.
+    ``starts`` is the number of valid lines among the first ``check_lines`` of the file if the
+    splits tell it, which they do when the first split was alone in its scan task from the
+    start on and holds all of these lines; else it is null.
     """
-    splits = place_splits(split_sums(lines)) if splits is None else splits
-    heads = head_splits(splits, check_lines) if heads is None else heads
-    totals = {"line_count": F.sum("lines")}
+    head = F.col("lines_before") == 0
+    told = head & (F.col("first") == 0) & ((F.col("lines") >= check_lines) | (F.col("lines") == F.col("all_lines")))
+    totals = {"line_count": F.sum("lines"), "starts": F.max(F.when(told, F.col("starts")))}
     if "placed" in splits.columns:
         totals["fingerprint"] = _fingerprint()
-    counts = splits.groupBy("file_name").agg(*(total.alias(name) for name, total in totals.items()))
+    all_lines = splits.groupBy("file_name").agg(F.sum("lines").alias("all_lines"))
+    return splits.join(all_lines, "file_name").groupBy("file_name").agg(
+        *(total.alias(name) for name, total in totals.items()))
+
+
+def head_starts(
+    lines: DataFrame, splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES
+) -> DataFrame:
+    """``starts`` by numbering the lines of the splits that hold the first ``check_lines``."""
+    heads = splits.filter(F.col("lines_before") < check_lines).select("file_name", "split", "lines_before")
     in_split = F.row_number().over(Window.partitionBy("file_name", "split").orderBy("line_id"))
-    valid = (
+    return (
         lines.join(heads, ["file_name", "split"])
         .withColumn("line_no", F.col("lines_before") + in_split)
         .filter(F.col("line_no") <= check_lines)
         .groupBy("file_name")
-        .agg(F.avg(starts_like_log_line(F.col("value")).cast("double")).alias("valid_share"))
+        .agg(F.count_if(starts_like_log_line(F.col("value"))).alias("starts"))
     )
-    return counts.join(valid, "file_name")
+
+
+def valid_share(check_lines: int = FORMAT_CHECK_LINES) -> Column:
+    return F.col("starts") / F.least(F.col("line_count"), F.lit(check_lines))
+
+
+def inspect_files(lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
+    """Line count, and the share of the first ``check_lines`` lines that start like a log line."""
+    splits = place_splits(split_sums(lines, check_lines))
+    counts = files_from_splits(splits, check_lines).drop("starts")
+    return counts.join(head_starts(lines, splits, check_lines), "file_name").select(
+        "file_name", "line_count", valid_share(check_lines).alias("valid_share"))
 
 
 # Sums of line hashes for the fingerprint. Products stay below 2^62 because both factors are
 # reduced by this prime, and a split has far fewer than 2^31 lines.
 _PRIME = 2**31 - 1
 
+# The hash of a line under a seed, as a bigint.
+Digest = Callable[[Column, int], Column]
+
+
+def line_digest(value: Column, seed: int) -> Column:
+    return F.xxhash64(value, F.lit(seed)) if seed else F.xxhash64(value)
+
 
 def _modulo(number: Column) -> Column:
     return F.pmod(number, F.lit(_PRIME).cast("bigint"))
@@ -199,12 +227,11 @@ def _modulo(number: Column) -> Column:
 
 def _position(line_id: Column) -> Column:
     """Row number inside the scan task: the lower 33 bits of the generated id."""
-    return _modulo(line_id.bitwiseAND(F.lit(2**33 - 1).cast("bigint")))
+    return line_id.bitwiseAND(F.lit(2**33 - 1).cast("bigint"))
 
 
-def _content_sums() -> dict[str, Column]:
+def _content_sums(digest: Column) -> dict[str, Column]:
     """Line count and the two halves of the sum of line hashes; a half fits a bigint for 2^31 lines."""
-    digest = F.xxhash64("value")
     return {
         "lines": F.count("*"),
         "low": F.sum(digest.bitwiseAND(F.lit(2**32 - 1).cast("bigint"))),
@@ -218,8 +245,9 @@ def _content_totals() -> dict[str, Column]:
 
 def content_by_month(lines: DataFrame) -> DataFrame:
     """Order-free content of ``value`` by ``month``, summed per task first."""
+    sums = _content_sums(line_digest(F.col("value"), 0))
     per_task = lines.groupBy("month", F.spark_partition_id().alias("task")).agg(
-        *(measure.alias(name) for name, measure in _content_sums().items())
+        *(measure.alias(name) for name, measure in sums.items())
     )
     return per_task.groupBy("month").agg(*(t.alias(n) for n, t in _content_totals().items()))
 
@@ -229,19 +257,27 @@ def content_by_file(splits: DataFrame) -> DataFrame:
     return splits.groupBy("file_name").agg(*(t.alias(n) for n, t in _content_totals().items()))
 
 
-def _split_sums() -> dict[str, Column]:
-    digest = F.xxhash64("value")
-    return _content_sums() | {
-        "plain": F.sum(_modulo(digest)),
-        "placed": F.sum(_modulo(_modulo(digest) * _position(F.col("line_id")))),
-        "first": _position(F.min("line_id")),
-    }
+# Two order terms under different seeds: together 62 bits.
+_ORDER_SEEDS = {"": 0, "_again": 1}
+
+
+def _split_sums(digest: Digest) -> dict[str, Column]:
+    value, position = F.col("value"), _modulo(_position(F.col("line_id")))
+    sums = {k: v for k, v in _content_sums(digest(value, 0)).items() if k != "lines"}
+    for name, seed in _ORDER_SEEDS.items():
+        hashed = _modulo(digest(value, seed))
+        sums |= {f"plain{name}": F.sum(hashed), f"placed{name}": F.sum(_modulo(hashed * position))}
+    return sums
 
 
 def _fingerprint() -> Column:
-    """'lines:low:high:order'. ``order`` is the sum of hash x line number in the file: moving
-    the first line of a split to its place in the file shifts ``placed`` by a multiple of ``plain``."""
-    shift = _modulo(F.col("lines_before") - F.col("first")) * _modulo(F.col("plain"))
-    order = F.sum(_modulo(F.col("placed") + _modulo(shift)).cast("decimal(38,0)"))
-    parts = [*_content_totals().values(), order % F.lit(_PRIME)]
+    """'lines:low:high:order:order'. An order term is the sum of hash x line number in the file:
+    moving the first line of a split to its place in the file shifts ``placed`` by a multiple of
+    ``plain``. It does not depend on where splits begin, nor on a newline after the last line."""
+    orders = []
+    for name in _ORDER_SEEDS:
+        shift = _modulo(F.col("lines_before") - F.col("first")) * _modulo(F.col(f"plain{name}"))
+        order = F.sum(_modulo(F.col(f"placed{name}") + _modulo(shift)).cast("decimal(38,0)"))
+        orders.append(order % F.lit(_PRIME))
+    parts = [*_content_totals().values(), *orders]
     return F.concat_ws(":", *(part.cast("string") for part in parts))

@@ -228,6 +228,20 @@ def inspect_files(spark, sf_dir):
     return S.inspect_files(_landing(spark, sf_dir), CHECK_LINES)
 
 
+def _md5_digest(value, seed: int):
+    """A line hash that other SQL engines have too; the pipeline uses a faster one."""
+    text = F.concat(F.lit(f"{seed}:"), value) if seed else value
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def file_fingerprints(spark, sf_dir):
+    """The content hash of every landing file, over splits as they come."""
+    in_split = Window.partitionBy("file_name", "split").orderBy("line_id")
+    lines = _landing(spark, sf_dir).withColumn("line_id", F.row_number().over(in_split).cast("bigint") - 1)
+    splits = S.place_splits(S.split_sums(lines, CHECK_LINES, _md5_digest))
+    return S.files_from_splits(splits, CHECK_LINES).select("file_name", "line_count", "fingerprint")
+
+
 def landing_status(spark, sf_dir):
     files = _landing(spark, sf_dir)
     return I.landing_status(files, B.manifest_rows(files))
@@ -332,7 +346,7 @@ _REGISTERED: tuple[Query, ...] = (
     rows_per_month, quality_gate,
     quarter_of, months_of_quarter, period_checks, quarters_ready, quarter_events,
     hourly_features, quarterly_features, alert_next_hour, feature_violations,
-    deliver, split_by_month, split_counts, inspect_files, landing_status, ingest_decisions,
+    deliver, split_by_month, split_counts, inspect_files, file_fingerprints, landing_status, ingest_decisions,
     manifest_kpis, manifest_violations, feature_kpis, pipeline_kpis, audit_rows, audit_violations,
     latest_runs, status_grid, lines_per_month, recent_runs, quarters, latest_quarter,
     midplane_ranking, top_midplanes, feature_rows, midplane_kpis,
