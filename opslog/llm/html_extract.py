@@ -110,7 +110,11 @@ def labelled_pages(count: int, seed: int) -> list[tuple[str, list[str]]]:
         body = f"<h1>{said(2, 10, rng.random() < 0.5)}</h1>" if rng.random() < 0.8 else ""
         for _ in range(rng.randint(1, 9)):
             turn = rng.random()
-            if turn < 0.66:
+            if turn < 0.04:
+                # Articles carry licence lines of their own.
+                main.append(rng.choice(["All rights reserved.", f"© {phrase(1, 3)}", f"Copyright (c) {phrase(2, 6)}"]))
+                body += f"<p>{main[-1]}</p>"
+            elif turn < 0.66:
                 body += rng.choice(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<div>{}</div>", "<p>{}</p>"]).format(said(1, 90))
             elif turn < 0.74:
                 body += f"<h2>{said(1, 7, False)}</h2>"
@@ -134,8 +138,8 @@ def labelled_pages(count: int, seed: int) -> list[tuple[str, list[str]]]:
             body = f'<main><article class="{rng.choice(MAIN_NAMES)}">{body}</article></main>'
         elif frame == "cell":
             body = f"<table><tr><td>{body}</td></tr></table>"
-        before = [boiler(k) for k in rng.sample(["nav", "header", "notice", "advert", "form", "nav"], rng.randint(1, 4))]
-        after = [boiler(k) for k in rng.sample(["footer", "sidebar", "comments", "share", "advert", "notice"], rng.randint(1, 4))]
+        before = [boiler(k) for k in rng.sample(["nav", "header", "notice", "advert", "form", "nav"], rng.randint(0, 4))]
+        after = [boiler(k) for k in rng.sample(["footer", "sidebar", "comments", "share", "advert", "notice"], rng.randint(0, 4))]
         pages.append((f"<html><head><title>t</title></head><body>{''.join(before)}{body}{''.join(after)}</body></html>", main))
     return pages
 
