@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import spans
+from opslog.llm.common import small, spans
 from opslog.llm.words import BATCH_CHARS, words
 
 TOPICS = 8
@@ -41,7 +41,7 @@ def with_topics(docs: DataFrame) -> DataFrame:
     tie. A text without a word has topic -1.
     """
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             tokens, topics = _topic_rows(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(tokens), pa.array(topics)],
@@ -90,7 +90,7 @@ def calibrated(cells: list[tuple], targets: Mapping[str, Mapping] | None = None)
     for i, name in enumerate(MARGINS):
         values = sorted({c[i] for c in cells}, key=lambda v: (v is not None, v))
         place = {v: j for j, v in enumerate(values)}
-        level = np.array([place[c[i]] for c in cells])
+        level = np.array([place[c[i]] for c in cells], np.int64)
         if targets and name in targets:
             goal = np.array([float(targets[name].get(v, 0.0)) for v in values])
         else:

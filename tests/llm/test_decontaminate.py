@@ -14,8 +14,9 @@ def corpus(words):
     rows, truth = [], set()
     for d in range(120):
         text = words(50 + d * 7 % 400)
-        for i in ([d % 60] if d % 4 == 0 else []) + ([(d + 7) % 60] if d % 12 == 0 else []):
-            at = len(text) // 2 if d % 8 else 0
+        for n, i in enumerate(([d % 60] if d % 4 == 0 else []) + ([(d + 7) % 60] if d % 12 == 0 else [])):
+            # A second item goes to the end, not into the first one.
+            at = len(text) if n else len(text) // 2 if d % 8 else 0
             shown = tests[i][1].upper().replace(" ", "  ") if d % 3 == 0 else tests[i][1]
             text = text[:at] + " . " + shown + " . " + text[at:]
             truth.add((d, i))
