@@ -23,7 +23,7 @@ from opslog.session import build_session  # noqa: E402
 
 HEADLINE = (
     "parse_lines", "clean", "clean_months", "mask_pii", "log_template", "hourly_features",
-    "quarterly_features", "alert_next_hour", "alert_next_hour_join", "quality_gate",
+    "quarterly_features", "alert_next_hour", "quality_gate",
     "split_by_month", "inspect_files", "ingest_decisions", "deliver", "replicate_lines",
     "latest_runs", "status_grid", "lines_per_month", "midplane_ranking", "latest_quarter",
 )

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 from opslog.fixed import (
     AUDIT_SCHEMA,
     EVENT_SCHEMA,
+    FEATURE_COLUMNS,
     FEATURE_SCHEMA,
     MANIFEST_SCHEMA,
     PUBLISH_SCHEMA,
+    column_names,
 )
 from opslog.operators.publish import visible_features
-from opslog.operators.reports import latest_quarter
 
 
 @dataclass(frozen=True)
@@ -84,11 +86,44 @@ class Lake:
         return visible_features(self.loads(), self.published())
 
     def create_views(self) -> None:
-        """Temporary views for SQL users, under the names of the serving tables."""
-        self.features().createOrReplaceTempView("midplane_hourly")
-        latest_quarter(self.features()).createOrReplaceTempView("latest_quarter")
-        self.manifest().createOrReplaceTempView("ingested_files")
-        self.audit().createOrReplaceTempView("pipeline_runs")
+        """Temporary views for SQL users, under the names of the serving tables.
+
+        They are stored as SQL text over the table folders, so the files are listed anew at
+        each read and a later delivery shows up in an older view.
+        """
+        tables = {
+            "ingested_files": ("ops/ingested_files", MANIFEST_SCHEMA),
+            "pipeline_runs": ("ops/pipeline_runs", AUDIT_SCHEMA),
+            "published_quarters": ("serving/published", PUBLISH_SCHEMA),
+            "delivered_hours": ("serving/midplane_hourly", f"{self.feature_schema}, load_id string"),
+        }
+        for name, (folder, schema) in tables.items():
+            if not self.exists(self.path(folder)):
+                self._write_empty(folder, schema)
+            columns = ", ".join(column_names(schema))
+            self.spark.sql(
+                f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM parquet.`{self.path(folder)}`")
+        columns = ", ".join(f"h.{c}" for c in FEATURE_COLUMNS)
+        self.spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY VIEW midplane_hourly AS
+            SELECT {columns} FROM delivered_hours h JOIN (
+                SELECT quarter, max_by(load_id, struct(published_at, load_id)) AS load_id
+                FROM published_quarters GROUP BY quarter) p
+            ON h.quarter = p.quarter AND h.load_id = p.load_id""")
+        self.spark.sql("""
+            CREATE OR REPLACE TEMPORARY VIEW latest_quarter AS
+            SELECT * FROM midplane_hourly
+            WHERE quarter = (SELECT max(quarter) FROM published_quarters WHERE row_count > 0)""")
+
+    def _write_empty(self, folder: str, schema: str) -> None:
+        """A table without rows, in the folder layout that later rows get."""
+        keys = [k for k in ("quarter", "load_id") if folder == "serving/midplane_hourly"]
+        rows = self.spark.createDataFrame([], schema).drop(*keys)
+        rows.write.mode("append").parquet(self.path(folder, *(f"{k}=none" for k in keys)))
+
+    def exists(self, path: str) -> bool:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
     def raw_bytes(self, months: Sequence[str]) -> int:
         """Size of the stored months according to the manifest."""
@@ -103,20 +138,29 @@ class Lake:
         """Overwrite exactly the requested partitions; other partitions stay.
 
         A dynamic overwrite leaves a partition alone for which there is no row at all, so such
-        a requested partition is emptied afterwards. The observation is only asked whether a
-        partition got any row: a retried task may be counted twice, but never not at all.
+        a requested partition is emptied afterwards. Each period of the requested time is a
+        bit, 64 in one observed measure; it is only asked whether a partition got any row, so
+        a retried task may be counted twice without harm.
         """
         seen = Observation()
-        observed = rows.observe(seen, *(
-            F.count_if(F.col(key) == value).alias(f"n{i}") for i, value in enumerate(requested)
+        per_year = 4 if "Q" in requested[0] else 12
+        place = {value: int(value[:4]) * per_year + int(value[5:]) for value in requested}
+        base = min(place.values())
+        number = F.expr(
+            f"cast(substr({key}, 1, 4) as int) * {per_year} + cast(substr({key}, 6) as int) - {base}")
+        counted = rows.observe(seen, *(
+            F.bit_or(F.when(F.floor(number / 64) == word, F.call_function(
+                "shiftleft", F.lit(1).cast("bigint"), F.pmod(number, F.lit(64))))).alias(f"w{word}")
+            for word in range((max(place.values()) - base) // 64 + 1)
         ))
         (
-            observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(key).parquet(self.path(folder))
         )
         empty = self.spark.createDataFrame([], rows.drop(key).schema)
-        for i, value in enumerate(requested):
-            if not seen.get[f"n{i}"]:
+        for value in requested:
+            word, bit = divmod(place[value] - base, 64)
+            if not (seen.get[f"w{word}"] or 0) >> bit & 1:
                 empty.write.mode("overwrite").parquet(self.path(folder, f"{key}={value}"))
 
     def write_processed(self, events: DataFrame, months: Sequence[str]) -> None:
@@ -150,16 +194,23 @@ class Lake:
             .parquet(self.path("serving/midplane_hourly"))
         )
 
-    def keep(self, rows: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate result once and read it back.
+    @contextmanager
+    def working(self) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+        """A function that writes an intermediate result once and reads it back.
 
-        It goes to the shared checkpoint folder of the cluster, so it survives lost executors;
-        without that setting it goes under the lake. Each call has its own folder.
+        The results lie under the lake, which all executors share, and are removed at the end.
         """
-        folder = self.spark.conf.get("spark.checkpoint.dir", None) or self.path("work")
-        target = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        rows.write.parquet(target)
-        return self.spark.read.schema(rows.schema).parquet(target)
+        target = self.path("work", uuid.uuid4().hex)
+
+        def keep(rows: DataFrame, name: str) -> DataFrame:
+            rows.write.parquet(f"{target}/{name}")
+            return self.spark.read.schema(rows.schema).parquet(f"{target}/{name}")
+
+        try:
+            yield keep
+        finally:
+            place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
     def append(self, rows: DataFrame, folder: str) -> None:
         """Add a few operational rows as one file."""

@@ -2,27 +2,23 @@
 
 A month arrives either as one file ``BGL_<month>.log`` or, as the month split writes it, as a
 folder ``month=<month>`` of part files whose names keep the line order. Both have the same
-logical ``file_name``.
+logical ``file_name``. Nothing below other folders of the landing area is looked at.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from fnmatch import fnmatchcase
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslog.fixed import LANDING_GLOB, LANDING_NAME, MONTH_PATTERN
+from opslog.fixed import LANDING_NAME, MONTH_PATTERN
 from opslog.functions.periods import landing_name
-from opslog.session import pin_file_splits
-
-# Larger files would have to fit into one row; they get a fingerprint of their lines instead.
-SHA256_MAX_BYTES = 512 * 1024 * 1024
-
 
 _MONTH_FOLDER = "month="
+LANDING_SCHEMA = "file_name string, size_bytes bigint"
 
 
 def _logical_name(path: Column) -> Column:
@@ -33,83 +29,91 @@ def _logical_name(path: Column) -> Column:
     ).otherwise(F.substring_index(tail, "/", -1))
 
 
-def read_log_lines(
-    spark: SparkSession, *paths: str, file_names: Sequence[str] | None = None
-) -> DataFrame:
-    """Every line of the files, keyed so that (split, line_id) is the order inside a file.
+def read_log_lines(spark: SparkSession, *paths: str, landing: bool = False) -> DataFrame:
+    """Every line of the given files, or of the files right in the given folders.
 
-    Lines end at a newline only. ``file_names`` keeps whole files by their logical name; the
-    test is on file metadata, so Spark drops the other files before reading. The id counts the
-    lines of a split in file order, without gaps. Byte positions identify a split, so the same
-    split has the same key in every scan of the same files.
+    (split, line_id) is the order inside a file. Lines end at a newline only. The id counts
+    the lines of a scan task in file order, without gaps. Path and byte position identify a
+    split, so the same split has the same key in every scan of the same files. With
+    ``landing`` the part files of a month are one file; otherwise each path is a file.
     """
-    pin_file_splits(spark)
-    lines = spark.read.text(list(paths), lineSep="\n", recursiveFileLookup=True)
-    name = _logical_name(F.col("_metadata.file_path"))
-    if file_names is not None:
-        lines = lines.filter(name.isin(list(file_names)))
-    return lines.select(
-        name.alias("file_name"),
-        F.struct(
-            F.col("_metadata.file_name").alias("part"),
-            F.col("_metadata.file_block_start").alias("start"),
-        ).alias("split"),
+    path = F.col("_metadata.file_path")
+    return spark.read.text(list(paths), lineSep="\n").select(
+        (_logical_name(path) if landing else path).alias("file_name"),
+        F.struct(path.alias("part"), F.col("_metadata.file_block_start").alias("start")).alias("split"),
         F.monotonically_increasing_id().alias("line_id"),
         "value",
     )
 
 
-def list_landing_files(spark: SparkSession, folder: str) -> DataFrame:
-    """file_name (logical) and size_bytes of what lies in the landing folder; nothing is opened.
+@dataclass(frozen=True)
+class Landed:
+    """What lies in the landing folder for one month."""
 
-    Spark scans leave out empty files, so the names come from the file listing itself: one
-    per month, however many part files a month has.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    names = {name for path in files.inputFiles() if (name := _name_from_listing(path))}
-    listed = spark.createDataFrame([(name,) for name in sorted(names)], "file_name string")
-    sizes = files.groupBy(_logical_name(F.col("path")).alias("file_name")).agg(
-        F.sum("length").alias("size_bytes")
-    )
-    return listed.join(sizes, "file_name", "left").select(
-        "file_name", F.coalesce("size_bytes", F.lit(0).cast("bigint")).alias("size_bytes")
-    )
+    month: str
+    paths: tuple[str, ...]
+    size_bytes: int
 
+    @property
+    def file_name(self) -> str:
+        return LANDING_NAME % self.month
 
-def _name_from_listing(path: str) -> str | None:
-    folder, name = path.split("/")[-2:]
-    if part := re.fullmatch(rf"{_MONTH_FOLDER}({MONTH_PATTERN})", folder):
-        return LANDING_NAME % part[1]
-    return name if fnmatchcase(name, LANDING_GLOB) else None
+    @property
+    def ambiguous(self) -> bool:
+        """Both a file and a folder: it is not known which of them is meant."""
+        return len(self.paths) > 1
 
 
-def text_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files below the paths, from their listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def _folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def file_sha256(
-    spark: SparkSession, folder: str, file_names: Sequence[str], max_bytes: int = SHA256_MAX_BYTES
-) -> DataFrame:
-    """SHA-256 of the exact bytes of plain landing files of up to ``max_bytes``.
+def landed_months(spark: SparkSession, folder: str) -> dict[str, Landed]:
+    """The months of the landing folder, from its own listing: one entry per month.
 
-    The reader opens a file only after the name and the length have been tested.
+    Files are not opened, and part files are only summed up by the file system.
     """
-    files = spark.read.format("binaryFile").load(folder)
-    chosen = files.filter(F.col("_metadata.file_name").isin(list(file_names))).filter(
-        F.col("length") <= max_bytes
-    )
-    return chosen.select(
-        F.col("_metadata.file_name").alias("file_name"), F.sha2("content", 256).alias("sha256")
-    )
+    found: dict[str, list[tuple[str, int]]] = {}
+    prefix, suffix = map(re.escape, LANDING_NAME.split("%s"))
+    system, place = _folder(spark, folder)
+    for entry in system.listStatus(place):
+        name = entry.getPath().getName()
+        pattern = rf"{_MONTH_FOLDER}({MONTH_PATTERN})" if entry.isDirectory() else rf"{prefix}({MONTH_PATTERN}){suffix}"
+        if month := re.fullmatch(pattern, name):
+            size = system.getContentSummary(entry.getPath()).getLength()
+            found.setdefault(month[1], []).append((entry.getPath().toString(), size))
+    return {
+        month: Landed(month, tuple(sorted(path for path, _ in parts)), sum(size for _, size in parts))
+        for month, parts in found.items()
+    }
+
+
+def landing_files(spark: SparkSession, landed: Iterable[Landed]) -> DataFrame:
+    """file_name (logical) and size_bytes, empty files included."""
+    rows = sorted((one.file_name, one.size_bytes) for one in landed)
+    return spark.createDataFrame(rows, LANDING_SCHEMA)
+
+
+def text_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below the paths, from their listing."""
+    total = 0
+    for path in paths:
+        system, place = _folder(spark, path)
+        total += system.getContentSummary(place).getLength()
+    return total
 
 
 def write_month_files(lines_by_month: DataFrame, folder: str) -> None:
-    """One folder per month; part file names and rows keep the line order of the input."""
+    """One folder per month; part file names and rows keep the line order of the input.
+
+    Only the folders of the months in the input are replaced; everything else in ``folder``
+    stays as it is.
+    """
     (
         lines_by_month.select("value", "month")
-        .write.mode("overwrite").partitionBy("month").option("lineSep", "\n").text(folder)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month").option("lineSep", "\n").text(folder)
     )
 
 

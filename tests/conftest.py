@@ -23,6 +23,7 @@ def spark():
         SparkSession.builder.master("local[4]").appName("opslog-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
