@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,14 @@ def spans(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, without copying: bounds what a task holds
+    as Python objects at once."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the undirected graph of ``edges`` (a, b: long); component is the
     smallest node. Minimum labels travel along the edges and are shortened by pointer jumps,

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import spans
+from opslog.llm.common import small, spans
 from opslog.llm.words import BATCH_CHARS, characters, grams_of, words_of
 
 BITS = 20
@@ -44,7 +44,7 @@ def features_of(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _collect_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         texts, kinds = batch["text"].to_pylist(), batch["positive"].to_pylist()
         rows = []
         for a, b in spans([len(t or "") for t in texts], BATCH_CHARS):
@@ -113,7 +113,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     spread = (p - u) / np.sqrt(p * (1 - p) / n_p + u * (1 - u) / n_u)
     spread[in_p < settings.min_positive] = 0
     chosen = np.argsort(-np.abs(spread))[:settings.features]
-    chosen = chosen[np.abs(spread[chosen]) > 3]
+    chosen = chosen[np.abs(spread[chosen]) > 2.5]
     place = np.full(1 << BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
 
@@ -175,7 +175,7 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             scores = score_texts(batch["text"].to_pylist(), shipped.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores)], names=[*batch.schema.names, "toxic_score"])

@@ -15,7 +15,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 2**64)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Characters handled at once; a longer text is handled alone and whole.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
