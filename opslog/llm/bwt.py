@@ -18,28 +18,32 @@ class Bwt:
 def build(text: np.ndarray, starts: np.ndarray, base: int, depth: int) -> Bwt:
     """The transform of strings in ``text`` (symbols from 1, each string ended by 0).
 
-    Suffixes are ordered by their first ``depth`` symbols, ending at their string's end, and
-    otherwise by place; rank doubling over whole arrays. ``base`` is added to the places.
+    Suffixes are ordered by at least their first ``depth`` symbols, or up to the end of their
+    string; the order of equal ones is open. Eight symbols are packed into one number, then
+    ranks are doubled, over whole arrays. ``base`` is added to the places.
     """
     n = len(text)
-    rank = text.astype(np.int64)
+    place = np.arange(n)
     end = np.flatnonzero(text == 0)
     # The end of the string of each place; a suffix never reads past it.
-    stop = end[np.searchsorted(end, np.arange(n))]
-    known = 1
-    order = np.argsort(text, kind="stable")
-    while known < depth:
-        ahead = np.minimum(np.arange(n) + known, stop)
-        key = rank * np.int64(n + 257) + np.where(np.arange(n) + known <= stop, rank[ahead] + 1, 0)
-        order = np.argsort(key, kind="stable")
+    room = end[np.searchsorted(end, place)] - place
+    padded = np.concatenate([text, np.zeros(8, text.dtype)])
+    bits = np.uint64(8 * text.itemsize)
+    known = 64 // int(bits)
+    key = np.zeros(n, np.uint64)
+    for j in range(known):
+        key = key << bits | np.where(j <= room, padded[j:j + n], 0).astype(np.uint64)
+    while True:
+        order = np.argsort(key)
         new = np.ones(n, np.int64)
         new[1:] = key[order][1:] != key[order][:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new)
-        known *= 2
-        if rank.max() == n:
+        if known >= depth or rank[order[-1]] == n:
             break
-    before = np.empty(n, np.uint16)
+        key = rank * np.int64(n + 1) + np.where(known <= room, rank[place + np.minimum(known, room)], 0)
+        known *= 2
+    before = np.empty_like(text)
     before[1:] = text[:-1]
     before[starts] = 0
     return Bwt(before[order], order + base)
@@ -55,26 +59,22 @@ def merge(shards: list[Bwt], depth: int) -> tuple[np.ndarray, np.ndarray]:
     the source changes; after ``depth`` rounds an interval holds the suffixes whose first
     ``depth`` symbols are equal, which is a run of common prefixes of at least that length.
     """
-    symbols = np.concatenate([s.symbol for s in shards])
-    places = np.concatenate([s.at for s in shards])
-    firsts = np.cumsum([0] + [len(s.symbol) for s in shards])
-    n = len(symbols)
-    source = np.repeat(np.arange(len(shards), dtype=np.uint8), np.diff(firsts))
-    row = np.arange(n)
+    sizes = [len(s.symbol) for s in shards]
+    n = sum(sizes)
+    source = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
     interval = np.zeros(n, np.int32)
+    symbol = np.empty(n, np.result_type(*(s.symbol for s in shards)))
+    border = np.zeros(n, bool)
     for _ in range(depth):
-        symbol = symbols[row]
+        for i, shard in enumerate(shards):
+            symbol[source == i] = shard.symbol
         deal = np.argsort(symbol, kind="stable")
-        symbol, part = symbol[deal], interval[deal]
+        dealt, part = symbol[deal], interval[deal]
         source = source[deal]
-        border = np.empty(n, bool)
-        border[0] = False
-        border[1:] = (symbol[1:] != symbol[:-1]) | (part[1:] != part[:-1])
+        np.not_equal(part[1:], part[:-1], out=border[1:])
+        border[1:] |= dealt[1:] != dealt[:-1]
         interval = np.cumsum(border, dtype=np.int32)
-        if len(shards) == 1:
-            row = np.arange(n)
-        else:
-            row = np.empty(n, np.int64)
-            for s in range(len(shards)):
-                row[source == s] = np.arange(firsts[s], firsts[s + 1])
-    return places[row], interval
+    places = np.empty(n, np.int64)
+    for i, shard in enumerate(shards):
+        places[source == i] = shard.at
+    return places, interval

@@ -1,6 +1,6 @@
 """Removal of repeated 50-byte strings with merged Burrows-Wheeler transforms (operator 3).
 
-Equal strings of 50 bytes pick the same anchor: the 12 bytes in them with the smallest hash.
+Equal strings of 50 bytes pick the same anchor: the 20 bytes in them with the smallest hash.
 A piece is a run of starts in one text with one anchor, together with the bytes up to the end
 of its last string. Strings can only be equal in pieces with equal anchors, so pieces are dealt
 out by anchor. Equal pieces shrink to the one in the smallest document; for anchors with more
@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.llm import bwt
-from opslog.llm.common import spans, stored, tasks_for
+from opslog.llm.common import small, spans, stored, tasks_for
 from opslog.llm.words import BASE, BASE_INVERSE, mix, powers
 
 LENGTH = 50
-ANCHOR = 12
+ANCHOR = 20
 WINDOW = LENGTH - ANCHOR + 1
 BATCH_BYTES = 1 << 21
 PLACE_BITS = 31
@@ -32,8 +32,7 @@ BYTES_PER_BUCKET = 6_000_000
 MERGE_SYMBOLS = 400_000
 #: Kinds of pieces of one anchor that are still merged in one task.
 CROWD = 4_096
-PIECE = np.dtype([("anchor", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("raw", "<i8"), ("start", "<u4"),
-                  ("runs", "<u2"), ("at", "<u2")])
+PIECE = np.dtype([("anchor", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("raw", "<i8"), ("start", "<u4"), ("runs", "u1")])
 INTERVALS = "doc_id bigint, raw bigint, cover binary"
 BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
@@ -76,9 +75,8 @@ def pieces(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     at = chosen[first]
     out["anchor"] = code[at]
     out["runs"] = last - first
-    out["at"] = at - first
     stop = last - 1 + LENGTH
-    out["kind"] = mix((sums[stop] - sums[first]) * inverse[first] + out["at"].astype(np.uint64) * np.uint64(7919)
+    out["kind"] = mix((sums[stop] - sums[first]) * inverse[first] + (at - first).astype(np.uint64) * np.uint64(7919)
                       + out["runs"].astype(np.uint64))
     which = text_of[first]
     out["start"] = first - (ends - sizes)[which]
@@ -108,22 +106,46 @@ def _cover_rows(doc: np.ndarray, raw: np.ndarray, first: np.ndarray, stop: np.nd
     order = np.lexsort((first, raw, doc))
     doc, raw = doc[order], raw[order]
     pairs = np.stack([first[order], stop[order]], 1).astype("<i4")
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (raw[1:] != raw[:-1])])) if len(doc) else np.zeros(0, int)
-    ends = np.append(new[1:], len(doc))
+    change = np.ones(len(doc), bool)
+    change[1:] = (doc[1:] != doc[:-1]) | (raw[1:] != raw[:-1])
+    new = np.flatnonzero(change)
+    ends = np.append(new, len(doc))[1:]
     return pa.record_batch([
         pa.array(doc[new], pa.int64()), pa.array(raw[new], pa.int64()),
         pa.array([pairs[a:b].tobytes() for a, b in zip(new, ends, strict=True)], pa.binary()),
     ], names=["doc_id", "raw", "cover"])
 
 
+def _pack(got: np.ndarray) -> bytes:
+    """Pieces column by column, documents as differences: what shuffles compress well.
+
+    Of the anchor only the upper half goes along; with the bucket that is enough to tell
+    groups apart, and groups may even collide, since kinds are compared in full.
+    """
+    parts = [(got["anchor"] >> np.uint64(32)).astype("<u4"), got["kind"], np.diff(got["doc"], prepend=np.int64(0)),
+             np.diff(got["raw"], prepend=np.int64(0)), got["start"], got["runs"]]
+    return np.int64(len(got)).tobytes() + b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
+
+
+def _unpack(raw: bytes, bucket: int) -> np.ndarray:
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    out, at = np.zeros(n, PIECE), 8
+    for name, kind in (("anchor", "<u4"), ("kind", "<u8"), ("doc", "<i8"), ("raw", "<i8"), ("start", "<u4"), ("runs", "u1")):
+        column = np.frombuffer(raw, kind, n, at)
+        at += column.nbytes
+        out[name] = np.cumsum(column) if name in ("doc", "raw") else column
+    out["anchor"] |= np.uint64(bucket) << np.uint64(32)
+    return out
+
+
 def _scan(buckets: int):
-    """Pieces of all texts, packed by bucket of their anchor, and what is settled at once.
+    """Pieces of all texts, packed by bucket of their anchor, and covers settled at once.
 
     Within a batch a kind of piece is sent only for its smallest document, so a passage in
     very many documents comes to a bucket once per batch.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, 4_000):
             texts = batch["body"].to_pylist()
             ids, raws = batch["doc_id"].to_numpy(), batch["raw"].to_numpy()
             for a, b in spans([len(t) for t in texts], BATCH_BYTES):
@@ -131,15 +153,16 @@ def _scan(buckets: int):
                 got["doc"], got["raw"] = ids[a:b][which], raws[a:b][which]
                 sent, settled = smallest_of_kind(got)
                 bucket = (sent["anchor"] % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
+                order = np.lexsort((sent["start"], sent["raw"], sent["doc"], bucket))
                 sent, bucket = sent[order], bucket[order]
                 first = np.flatnonzero(np.diff(bucket, prepend=-1))
                 ends = np.append(first[1:], len(bucket))
-                packed = [sent[x:y].tobytes() for x, y in zip(first, ends, strict=True)]
+                packed = [_pack(sent[x:y]) for x, y in zip(first, ends, strict=True)]
                 cover = _covers(settled)
                 none = pa.nulls(len(packed), pa.int64())
+                anywhere = mix(cover["doc_id"].to_numpy().view(np.uint64)) % np.uint64(buckets)
                 yield pa.record_batch([
-                    pa.concat_arrays([pa.array(bucket[first], pa.int64()), pa.nulls(len(cover), pa.int64())]),
+                    pa.concat_arrays([pa.array(bucket[first], pa.int64()), pa.array(anywhere.astype(np.int64), pa.int64())]),
                     pa.concat_arrays([pa.array(packed, pa.binary()), pa.nulls(len(cover), pa.binary())]),
                     pa.concat_arrays([none, cover["doc_id"]]), pa.concat_arrays([none, cover["raw"]]),
                     pa.concat_arrays([pa.nulls(len(packed), pa.binary()), cover["cover"]]),
@@ -163,10 +186,14 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: covers of equal pieces, and the pieces whose anchor has several kinds."""
-    for _, rows in _by_bucket(batches, ["packed"]):
-        got = np.concatenate([np.frombuffer(r[0], PIECE) for r in rows])
+    for bucket, rows in _by_bucket(batches, ["packed", "doc_id", "raw", "cover"]):
+        got = np.concatenate([np.zeros(0, PIECE), *(_unpack(r[0], bucket) for r in rows if r[0] is not None)])
         left, settled = smallest_of_kind(got)
-        cover = _covers(settled)
+        known = [r[1:] for r in rows if r[0] is None]
+        cover = pa.Table.from_batches([_covers(settled), pa.record_batch(
+            [pa.array([k[0] for k in known], pa.int64()), pa.array([k[1] for k in known], pa.int64()),
+             pa.array([k[2] for k in known], pa.binary())], names=["doc_id", "raw", "cover"])]).combine_chunks()
+        cover = cover.to_batches()[0] if len(cover) else _covers(settled)
         n = len(left)
         new = np.ones(n, bool)
         new[1:] = left["anchor"][1:] != left["anchor"][:-1]
@@ -193,8 +220,13 @@ def repeated(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     """For each piece the starts of its strings that a smaller document of the pieces has."""
     sizes = np.array([len(s) + 1 for s in strings])
     begins = np.cumsum(sizes) - sizes
-    text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.uint16) + 1
-    text[begins + sizes - 1] = 0
+    text = np.frombuffer(b"\xff".join(strings) + b"\xff", np.uint8)
+    if int((text == 0xFF).sum()) == len(strings):
+        # UTF-8 has no byte 255, so 0 is free for the ends.
+        text = text + np.uint8(1)
+    else:
+        text = text.astype(np.uint16) + 1
+        text[begins + sizes - 1] = 0
     half = max(1, len(strings) // 2)
     shards = []
     for a, b in ((0, half), (half, len(strings))):
@@ -251,21 +283,21 @@ def _merge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the asked pieces of each text."""
-    for batch in batches:
+    for batch in small(batches):
         out = []
         for doc, raw, body, asks in zip(*(batch[n].to_pylist() for n in ("doc_id", "raw", "body", "asks")), strict=True):
             for ask in asks:
                 s = ask["start"]
-                out.append((ask["anchor"], doc, raw, s, body[s:s + ask["runs"] + LENGTH - 1], ask["crowded"]))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 6
+                out.append((ask["anchor"], doc, raw, s, body[s:s + ask["runs"] + LENGTH - 1]))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 5
         yield pa.record_batch([
             pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-            pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.bool_()),
-        ], names=["anchor", "doc_id", "raw", "start", "piece", "crowded"])
+            pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.binary()),
+        ], names=["anchor", "doc_id", "raw", "start", "piece"])
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         ids, sizes, removed, runs, digest, kept = [], [], [], [], [], []
         for doc, body, covers in zip(*(batch[n].to_pylist() for n in ("doc_id", "body", "covers")), strict=True):
             left, n_runs = body, 0
@@ -297,31 +329,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("body")
     ).withColumn("raw", F.xxhash64("body"))
-    known = rows.where("doc_id is not null")
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        # The id tells the rows apart; the hash of the text is only for ids that repeat.
+        rows = rows.withColumn("raw", F.lit(0).cast("long"))
+    known = rows.where(f"doc_id is not null and octet_length(body) >= {LENGTH}")
     total = known.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     buckets = tasks_for(spark, total, BYTES_PER_BUCKET)
     scanned = known.mapInArrow(
         _scan(buckets), "bucket bigint, packed binary, doc_id bigint, raw bigint, cover binary")
-    scanned = stored(scanned, "pieces")
-    dealt = scanned.where("bucket is not null").select("bucket", "packed")
     settled = stored(
-        dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        scanned.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
             _settle, INTERVALS + ", anchor bigint, start int, runs int, crowded boolean"), "settled")
-    asked = settled.where("anchor is not null").groupBy("doc_id", "raw").agg(
-        F.collect_list(F.struct("anchor", "start", "runs", "crowded")).alias("asks"))
-    fetched = stored(
-        known.join(asked, ["doc_id", "raw"]).select("doc_id", "raw", "body", "asks").mapInArrow(
-            _fetch, "anchor bigint, doc_id bigint, raw bigint, start bigint, piece binary, crowded boolean"),
-        "fetched")
+    asked = settled.where("anchor is not null")
+
+    def fetched(some: DataFrame) -> DataFrame:
+        asks = some.groupBy("doc_id", "raw").agg(F.collect_list(F.struct("anchor", "start", "runs")).alias("asks"))
+        return known.join(asks, ["doc_id", "raw"]).select("doc_id", "raw", "body", "asks").mapInArrow(
+            _fetch, "anchor bigint, doc_id bigint, raw bigint, start bigint, piece binary")
+
     merged = (
-        fetched.where("not crowded").select("anchor", "doc_id", "raw", "start", "piece")
-        .repartition(buckets, "anchor").sortWithinPartitions("anchor").mapInArrow(_merge_pieces, INTERVALS))
-    crowds = fetched.where("crowded")
-    covers = (
-        scanned.where("cover is not null").select("doc_id", "raw", "cover")
-        .union(settled.where("cover is not null").select("doc_id", "raw", "cover"))
-        .union(merged).union(_crowded(crowds))
-    )
+        fetched(asked.where("not crowded")).repartition(buckets, "anchor").sortWithinPartitions("anchor")
+        .mapInArrow(_merge_pieces, INTERVALS))
+    covers = settled.where("cover is not null").select("doc_id", "raw", "cover").union(merged)
+    if not asked.where("crowded").isEmpty():
+        covers = covers.union(_crowded(fetched(asked.where("crowded"))))
     gathered = covers.groupBy("doc_id", "raw").agg(F.collect_list("cover").alias("covers"))
     return rows.join(gathered, ["doc_id", "raw"], "left").select("doc_id", "body", "covers").mapInArrow(
         _keep, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
