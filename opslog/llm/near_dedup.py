@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import components, spans, stored, tasks_for
+from opslog.llm.common import components, small, spans, stored, tasks_for
 from opslog.llm.words import BATCH_CHARS, STEP, mix, powers, shingles, words
 
 
@@ -20,8 +20,9 @@ class Settings:
 
     Two texts meet if one whole sample agrees. At similarity 0.8 a sample agrees with
     probability of about 0.8**4, so 24 samples miss a pair about three times in a million.
-    ``worth`` and ``close`` are numbers of samples whose first shingle agrees: from the first
-    on a pair is verified, from the second on one text stands for another under a key.
+    ``worth`` and ``close`` are numbers of equal shingles, rank by rank, of the 96 in all
+    samples; 57 are expected at similarity 0.8 and 84 at 0.95. From ``worth`` on a pair is
+    verified, from ``close`` on one text stands for another under a key.
     """
 
     k: int = 5
@@ -29,13 +30,14 @@ class Settings:
     sketches: int = 24
     order: int = 4
     expected: int = 14
-    close: int = 20
-    worth: int = 9
+    close: int = 84
+    worth: int = 33
     crowd: int = 8
+    leaders: int = 1_024
+    nearest: int = 3
 
 
 ROWS_PER_TASK = 1_000_000
-ORDERS = 6
 
 
 def text_keys(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
@@ -62,7 +64,9 @@ def occurrence_labelled(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
 
 
 def sketches(values: np.ndarray, ptr: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(sample keys, one byte of each minimum), texts by rows; all zero for an empty text.
+    """(sample keys, one byte of each shingle of a sample from the smallest hash on), by text.
+
+    All are zero for an empty text.
 
     A sample takes the ``order`` labelled shingles with the smallest hashes and hashes them
     in the order in which they stand in the text. Only shingles below a value that about
@@ -71,9 +75,9 @@ def sketches(values: np.ndarray, ptr: np.ndarray, settings: Settings) -> tuple[n
     docs = len(ptr) - 1
     sizes = np.diff(ptr)
     keys = np.zeros((docs, settings.sketches), np.uint64)
-    small = np.zeros((docs, settings.sketches), np.uint8)
+    small = np.zeros((docs, settings.sketches, settings.order), np.uint8)
     if not len(values):
-        return keys, small
+        return keys, small.reshape(docs, -1)
     share = np.minimum(1.0, settings.expected / np.maximum(sizes, 1))
     limit = np.full(docs, 2**64 - 1, np.uint64)
     limit[share < 1] = (share[share < 1] * 2.0**64).astype(np.uint64)
@@ -97,10 +101,10 @@ def sketches(values: np.ndarray, ptr: np.ndarray, settings: Settings) -> tuple[n
         at, doc = at[by], doc[by]
         first = np.searchsorted(doc, np.arange(docs))
         rank = np.arange(len(doc)) - first[doc]
-        full = np.flatnonzero(sizes > 0)
-        small[full, j] = (h[at[first[full]]] >> np.uint64(11)).astype(np.uint8)
         chosen = rank < settings.order
-        at = np.sort(at[chosen])
+        at = at[chosen]
+        small[doc[chosen], j, rank[chosen]] = (h[at] >> np.uint64(11)).astype(np.uint8)
+        at = np.sort(at)
         doc = doc_of[at]
         first = np.searchsorted(doc, np.arange(docs))
         place = np.arange(len(doc)) - first[doc]
@@ -109,7 +113,7 @@ def sketches(values: np.ndarray, ptr: np.ndarray, settings: Settings) -> tuple[n
             mine = at[place == r]
             key[doc_of[mine]] = mix(key[doc_of[mine]] * STEP + values[mine])
         keys[:, j] = np.where(sizes > 0, key, 0)
-    return keys, small
+    return keys, small.reshape(docs, -1)
 
 
 class _Leaders:
@@ -118,20 +122,25 @@ class _Leaders:
     def __init__(self, settings: Settings) -> None:
         self.settings = settings
         self.nodes: list[int] = []
-        self.bytes = np.zeros((4, settings.sketches), np.uint8)
+        self.bytes = np.zeros((4, settings.sketches * settings.order), np.uint8)
 
     def meet(self, small: np.ndarray) -> tuple[list[int], bool]:
-        """(leaders worth verifying, whether the nearest one stands for the text).
+        """(the nearest leaders that are worth verifying, whether one stands for the text).
 
-        If one stands for the text it is the only one to verify.
+        A few leaders per key keep the pairs in proportion to the texts; a text meets other
+        leaders under its other keys. Past ``leaders`` leaders of a key only a text that is
+        near none of them becomes one.
         """
         n = len(self.nodes)
         if not n:
             return [], False
         agree = (self.bytes[:n] == small).sum(1)
-        if agree.max() >= self.settings.close:
-            return [self.nodes[int(agree.argmax())]], True
-        return [self.nodes[i] for i in np.flatnonzero(agree >= self.settings.worth)], False
+        most = agree.max()
+        if most < self.settings.worth:
+            return [], False
+        inside = most >= self.settings.close or n >= self.settings.leaders
+        order = np.argsort(-agree, kind="stable")[:self.settings.nearest]
+        return [self.nodes[i] for i in order.tolist() if agree[i] >= self.settings.worth], bool(inside)
 
     def add(self, node: int, small: np.ndarray) -> None:
         if len(self.nodes) == len(self.bytes):
@@ -153,8 +162,8 @@ def _sketch(settings: Settings):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        crowds: dict[int, _Leaders] = {}
-        for batch in batches:
+        crowds: dict[int, list[tuple[int, bytes]]] = {}
+        for batch in small(batches):
             texts = batch["text"].to_pylist()
             keys_of, counts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
             key_out, node_out, small_out, pair_out = [], [], [], set()
@@ -163,24 +172,24 @@ def _sketch(settings: Settings):
                 nodes = text_keys(hashes, word_ptr).view(np.int64)
                 keys_of[a:b], counts[a:b] = nodes, np.diff(word_ptr)
                 values, ptr = shingles(hashes, word_ptr, settings.k)
-                keys, small = sketches(occurrence_labelled(values, ptr), ptr, settings)
+                keys, agreeing = sketches(occurrence_labelled(values, ptr), ptr, settings)
                 rows = keys.view(np.int64).tolist()
                 for i, node in enumerate(nodes.tolist()):
                     if ptr[i] == ptr[i + 1] or node in seen:
                         continue
                     seen.add(node)
+                    mine = agreeing[i].tobytes()
                     for key in rows[i]:
-                        crowd = crowds.get(key)
-                        if crowd is None:
-                            crowd = crowds[key] = _Leaders(settings)
-                        if len(crowd.nodes) < settings.crowd:
-                            crowd.add(node, small[i])
+                        crowd = crowds.setdefault(key, [])
+                        if len(crowd) < settings.crowd:
+                            crowd.append((node, mine))
                         else:
-                            near, inside = crowd.meet(small[i])
-                            if inside:
-                                pair_out.update((n, node) for n in near)
+                            every = np.frombuffer(b"".join(c[1] for c in crowd), np.uint8).reshape(len(crowd), -1)
+                            agree = (every == agreeing[i]).sum(1)
+                            if agree.max() >= settings.close:
+                                pair_out.add((crowd[int(agree.argmax())][0], node))
                                 continue
-                        key_out.append(key), node_out.append(node), small_out.append(small[i].tobytes())
+                        key_out.append(key), node_out.append(node), small_out.append(mine)
             pairs = list(pair_out)
             none = [None] * len(texts)
             rest = [None] * (len(key_out) + len(pairs))
@@ -202,7 +211,7 @@ def _bucket_pairs(settings: Settings):
         key_now, leaders, waiting = None, None, None
         for batch in batches:
             keys, nodes, small = (batch[c].to_pylist() for c in ("key", "node", "small"))
-            out: set[tuple[int, int]] = set()
+            out: dict[tuple[int, int], int] = {}
             for key, node, raw in zip(keys, nodes, small, strict=True):
                 if key != key_now:
                     key_now, leaders, waiting = key, None, (node, raw)
@@ -212,12 +221,15 @@ def _bucket_pairs(settings: Settings):
                     leaders.add(waiting[0], np.frombuffer(waiting[1], np.uint8))
                 mine = np.frombuffer(raw, np.uint8)
                 near, inside = leaders.meet(mine)
-                out.update((min(o, node), max(o, node)) for o in near if o != node)
+                for place, o in enumerate(near):
+                    pair = min(o, node), max(o, node)
+                    if o != node:
+                        out[pair] = min(place, out.get(pair, place))
                 if not inside:
                     leaders.add(node, mine)
-            rows = list(out)
-            yield pa.record_batch([pa.array([x for x, _ in rows], pa.int64()),
-                                   pa.array([y for _, y in rows], pa.int64())], names=["a", "b"])
+            yield pa.record_batch([
+                pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64()),
+                pa.array(list(out.values()), pa.int32())], names=["a", "b", "place"])
     return run
 
 
@@ -298,7 +310,7 @@ def _multiset_bound(a: np.ndarray, b: np.ndarray) -> float:
 
 def _verify(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, 200):
             left, right = batch["left"].to_pylist(), batch["right"].to_pylist()
             keep = np.zeros(len(left), bool)
             for s, e in spans([len(x) + len(y) for x, y in zip(left, right, strict=True)], BATCH_CHARS):
@@ -328,7 +340,9 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
 
     A group of copies shrinks to one text before anything is compared, and a group of near
     copies to a few rows per task; within a sample key a text meets the leaders of the key,
-    not every other text.
+    not every other text. A link between two texts of which neither leads under a common key
+    is only found through others; classes are made for that, since copies of one text are
+    linked to its leaders.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text").withColumn("raw", F.xxhash64("text"))
@@ -339,24 +353,37 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
         .agg(F.min(F.struct("doc_id", "raw")).alias("head")).select("node", "head.*"), "heads")
     keyed = found.where("key is not null").select("key", "node", "small")
     width = tasks_for(spark, keyed.count(), ROWS_PER_TASK)
-    # Some different orders, so that not the same texts lead under every key.
-    turn = F.xxhash64("node", F.pmod("key", F.lit(ORDERS)))
-    buckets = keyed.repartition(width, "key").sortWithinPartitions("key", turn)
+    # A different order under each key, so that not the same texts lead everywhere.
+    buckets = keyed.repartition(width, "key").sortWithinPartitions("key", F.xxhash64("node", "key"))
     pairs = stored(
-        buckets.mapInArrow(_bucket_pairs(settings), "a bigint, b bigint").union(
-            found.where("other is not null").select(F.least("node", "other"), F.greatest("node", "other")))
-        .where("a != b").distinct(), "pairs")
+        buckets.mapInArrow(_bucket_pairs(settings), "a bigint, b bigint, place int").union(
+            found.where("other is not null").select(
+                F.least("node", "other"), F.greatest("node", "other"), F.lit(0)))
+        .where("a != b").groupBy("a", "b").agg(F.min("place").alias("place")), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bodies = heads.join(wanted, "node").join(rows, ["doc_id", "raw"]).select("node", "text")
     if not _repeated(slim).isEmpty():
         bodies = bodies.dropDuplicates(["node"])
     bodies = stored(bodies, "bodies")
-    texts = (
-        pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-        .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+
+    def verified(some: DataFrame) -> DataFrame:
+        texts = (
+            some.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+            .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        )
+        return stored(texts.select("a", "b", "left", "right").mapInArrow(
+            _verify(settings), "a bigint, b bigint"), "links")
+
+    # The nearest leaders first; of the others only pairs that can still join two classes.
+    links = verified(pairs.where("place = 0").select("a", "b"))
+    so_far = components(links)
+    apart = (
+        pairs.where("place > 0")
+        .join(so_far.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a", "left")
+        .join(so_far.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b", "left")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
     )
-    links = stored(texts.select("a", "b", "left", "right").mapInArrow(_verify(settings), "a bigint, b bigint"), "links")
-    groups = components(links)
+    groups = components(links.union(verified(stored(apart, "apart"))))
     named = heads.join(groups, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
