@@ -377,15 +377,21 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     # The nearest leaders first; of the others only pairs that can still join two classes.
     links = verified(pairs.where("place = 0").select("a", "b"))
     so_far = components(links)
-    apart = (
+    apart = stored(
         pairs.where("place > 0")
         .join(so_far.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a", "left")
         .join(so_far.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b", "left")
-        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    )
-    groups = components(links.union(verified(stored(apart, "apart"))))
-    named = heads.join(groups, "node", "left").select(
-        "node", "doc_id", F.coalesce("component", "node").alias("component"))
+        .select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"))
+        .where("of_a != of_b"), "apart")
+    # Only the classes that new links join are looked at again, not their members.
+    bridges = apart.join(verified(apart.select("a", "b")), ["a", "b"]).select(
+        F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    merged = components(bridges).select(F.col("node").alias("before"), F.col("component").alias("after"))
+    named = (
+        heads.join(so_far, "node", "left")
+        .select("node", "doc_id", F.coalesce("component", "node").alias("before"))
+        .join(merged, "before", "left")
+        .select("node", "doc_id", F.coalesce("after", "before").alias("component")))
     names = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     classes = named.join(names, "component").select("node", "class_id")
     whole = slim.where("n_words > 0 and doc_id is not null").join(classes, "node").select("doc_id", "raw", "class_id")
