@@ -25,7 +25,7 @@ from opslog.llm.words import BASE, BASE_INVERSE, mix, powers
 LENGTH = 50
 ANCHOR = 20
 WINDOW = LENGTH - ANCHOR + 1
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 19
 PLACE_BITS = 31
 BYTES_PER_BUCKET = 6_000_000
 #: Symbols of pieces whose transforms are merged at once, in shards of half of that.
