@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -127,9 +128,8 @@ class _Leaders:
     def meet(self, small: np.ndarray) -> tuple[list[int], bool]:
         """(the nearest leaders that are worth verifying, whether one stands for the text).
 
-        A few leaders per key keep the pairs in proportion to the texts; a text meets other
-        leaders under its other keys. Past ``leaders`` leaders of a key only a text that is
-        near none of them becomes one.
+        This only finds most links at little cost; the texts of a key that are then still in
+        different classes are all compared (:func:`_between`).
         """
         n = len(self.nodes)
         if not n:
@@ -153,8 +153,8 @@ SKETCHED = "doc_id bigint, raw bigint, node bigint, n_words bigint, key bigint,
 
 
 def _sketch(settings: Settings):
-    """One row per text (doc_id, raw, node, n_words), per sample (key, node, small), and per
-    pair found inside the task (node, other).
+    """One row per text (doc_id, raw, node, n_words, small once per node of the task), per
+    sample (key, node, small), and per pair found inside the task (node, other).
 
     Equal texts of one task are sketched once. Once ``crowd`` texts of the task share a key,
     a further text that one of them stands for sends only the pair; so a large group of near
@@ -167,6 +167,7 @@ def _sketch(settings: Settings):
             texts = batch["text"].to_pylist()
             keys_of, counts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
             key_out, node_out, small_out, pair_out = [], [], [], set()
+            small_of: list[bytes | None] = [None] * len(texts)
             for a, b in spans([len(t or "") for t in texts], BATCH_CHARS):
                 hashes, word_ptr = words(texts[a:b])
                 nodes = text_keys(hashes, word_ptr).view(np.int64)
@@ -178,7 +179,7 @@ def _sketch(settings: Settings):
                     if ptr[i] == ptr[i + 1] or node in seen:
                         continue
                     seen.add(node)
-                    mine = agreeing[i].tobytes()
+                    mine = small_of[a + i] = agreeing[i].tobytes()
                     for key in rows[i]:
                         crowd = crowds.setdefault(key, [])
                         if len(crowd) < settings.crowd:
@@ -200,7 +201,7 @@ def _sketch(settings: Settings):
                 pa.array(counts.tolist() + rest, pa.int64()),
                 pa.array(none + key_out + [None] * len(pairs), pa.int64()),
                 pa.array(none + [None] * len(key_out) + [p[0] for p in pairs], pa.int64()),
-                pa.array(none + small_out + [None] * len(pairs), pa.binary()),
+                pa.array(small_of + small_out + [None] * len(pairs), pa.binary()),
             ], names=["doc_id", "raw", "node", "n_words", "key", "other", "small"])
     return run
 
@@ -233,6 +234,58 @@ def _bucket_pairs(settings: Settings):
     return run
 
 
+PAIRS_PER_BATCH = 50_000
+
+
+def _between(settings: Settings):
+    """Rows come sorted by group. All pairs of texts of a group that are in different classes
+    and worth verifying; the place of a pair is its rank among those of one of the two texts.
+    """
+    def pairs_of(rows: list[tuple]) -> tuple[list, list, list]:
+        node, of, small = np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), b"".join(r[3] for r in rows)
+        _, inverse, sizes = np.unique(of, return_inverse=True, return_counts=True)
+        # Small classes first: each text only meets the texts of the classes behind its own.
+        order = np.lexsort((of, sizes[inverse]))
+        node, of = node[order], of[order]
+        every = np.frombuffer(small, np.uint8).reshape(len(rows), -1)[order]
+        ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of))
+        a_out, b_out, place_out = [], [], []
+        for i, end in enumerate(np.repeat(ends, np.diff(ends, prepend=0)).tolist()):
+            if end == len(of):
+                break
+            agree = (every[end:] == every[i]).sum(1)
+            met = np.flatnonzero(agree >= settings.worth)
+            met = met[np.argsort(-agree[met], kind="stable")]
+            others = node[end + met]
+            a_out += np.minimum(others, node[i]).tolist()
+            b_out += np.maximum(others, node[i]).tolist()
+            place_out += range(len(met))
+        return a_out, b_out, place_out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in itertools.chain(batches, [None]):
+            out: tuple[list, list, list] = ([], [], [])
+            more = zip(*(c.to_pylist() for c in batch.columns), strict=True) if batch is not None else [None]
+            for row in more:
+                if rows and (row is None or row[0] != rows[0][0]):
+                    for x, y in zip(out, pairs_of(rows), strict=True):
+                        x.extend(y)
+                    rows = []
+                    if len(out[0]) >= PAIRS_PER_BATCH:
+                        yield _pairs_batch(out)
+                        out = ([], [], [])
+                if row is not None:
+                    rows.append(row)
+            yield _pairs_batch(out)
+    return run
+
+
+def _pairs_batch(out: tuple[list, list, list]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())],
+                           names=["a", "b", "place"])
+
+
 def _prefix_hashes(a: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(a) + 1, np.uint64)
     np.cumsum(mix(a) * powers(int(STEP), len(a)), out=sums[1:])
@@ -339,10 +392,9 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     one run and only joins equal texts.
 
     A group of copies shrinks to one text before anything is compared, and a group of near
-    copies to a few rows per task; within a sample key a text meets the leaders of the key,
-    not every other text. A link between two texts of which neither leads under a common key
-    is only found through others; classes are made for that, since copies of one text are
-    linked to its leaders.
+    copies to a few rows per task. Within a sample key a text first meets the leaders of the
+    key; then all texts that share a key and are still in different classes are compared, and
+    those worth it verified.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text").withColumn("raw", F.xxhash64("text"))
@@ -360,13 +412,14 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
             found.where("other is not null").select(
                 F.least("node", "other"), F.greatest("node", "other"), F.lit(0)))
         .where("a != b").groupBy("a", "b").agg(F.min("place").alias("place")), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    bodies = heads.join(wanted, "node").join(rows, ["doc_id", "raw"]).select("node", "text")
-    if not _repeated(slim).isEmpty():
-        bodies = bodies.dropDuplicates(["node"])
-    bodies = stored(bodies, "bodies")
+    again = not _repeated(slim).isEmpty()
+
+    def bodies_of(some: DataFrame) -> DataFrame:
+        wanted = some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
+        bodies = heads.join(wanted, "node").join(rows, ["doc_id", "raw"]).select("node", "text")
+        return stored(bodies.dropDuplicates(["node"]) if again else bodies, "bodies")
 
-    def verified(some: DataFrame) -> DataFrame:
+    def verified(some: DataFrame, bodies: DataFrame) -> DataFrame:
         texts = (
             some.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
             .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
@@ -374,27 +427,60 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
         return stored(texts.select("a", "b", "left", "right").mapInArrow(
             _verify(settings), "a bigint, b bigint"), "links")
 
+    def settled(some: DataFrame, bodies: DataFrame, classes: DataFrame) -> DataFrame:
+        """``classes`` joined by the links among ``some`` (a, b, place).
+
+        Pairs are verified place by place, four times as far each round; those that lie in
+        one class by then are left out, all others are verified.
+        """
+        reach = 1
+        while True:
+            apart = stored(
+                some.join(classes.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
+                .join(classes.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
+                .where("of_a != of_b").select("a", "b", "place", "of_a", "of_b"), "apart")
+            first = apart.agg(F.min("place")).first()[0]
+            if first is None:
+                return classes
+            reach = max(reach, first + 1)
+            now = apart.where(F.col("place") < reach)
+            # Only the classes that new links join are looked at again, not their members.
+            bridges = now.join(verified(now.select("a", "b"), bodies), ["a", "b"]).select(
+                F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+            merged = components(bridges).select(F.col("node").alias("before"), F.col("component").alias("after"))
+            classes = stored(
+                classes.withColumnRenamed("component", "before").join(merged, "before", "left")
+                .select("node", F.coalesce("after", "before").alias("component")), "classes")
+            some = apart.where(F.col("place") >= reach).select("a", "b", "place")
+            reach *= 4
+
     # The nearest leaders first; of the others only pairs that can still join two classes.
-    links = verified(pairs.where("place = 0").select("a", "b"))
-    so_far = components(links)
-    apart = stored(
-        pairs.where("place > 0")
-        .join(so_far.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a", "left")
-        .join(so_far.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b", "left")
-        .select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b"))
-        .where("of_a != of_b"), "apart")
-    # Only the classes that new links join are looked at again, not their members.
-    bridges = apart.join(verified(apart.select("a", "b")), ["a", "b"]).select(
-        F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    merged = components(bridges).select(F.col("node").alias("before"), F.col("component").alias("after"))
-    named = (
-        heads.join(so_far, "node", "left")
-        .select("node", "doc_id", F.coalesce("component", "node").alias("before"))
-        .join(merged, "before", "left")
-        .select("node", "doc_id", F.coalesce("after", "before").alias("component")))
+    bodies = bodies_of(pairs)
+    links = verified(pairs.where("place = 0").select("a", "b"), bodies)
+    classes = stored(
+        heads.select("node").join(components(links), "node", "left")
+        .select("node", F.coalesce("component", "node").alias("component")), "classes")
+    classes = settled(pairs.where("place > 0"), bodies, classes)
+    # Then all texts that share a key and are still in different classes.
+    tagged = stored(found.where("key is not null").select("key", "node").join(classes, "node"), "tagged")
+    mixed = (
+        tagged.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high").select("key"))
+    looks = found.where("key is null and small is not null").select("node", "small")
+    groups = (
+        tagged.join(mixed, "key").dropDuplicates(["key", "node"])
+        .join(looks.dropDuplicates(["node"]), "node").select("key", "node", "component", "small"))
+    crossing = stored(
+        groups.repartition(width, "key").sortWithinPartitions("key")
+        .mapInArrow(_between(settings), "a bigint, b bigint, place int")
+        .groupBy("a", "b").agg(F.min("place").alias("place"))
+        .join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "crossing")
+    if not crossing.isEmpty():
+        classes = settled(crossing, bodies_of(crossing), classes)
+    named = heads.select("node", "doc_id").join(classes, "node")
     names = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    classes = named.join(names, "component").select("node", "class_id")
-    whole = slim.where("n_words > 0 and doc_id is not null").join(classes, "node").select("doc_id", "raw", "class_id")
+    ids = named.join(names, "component").select("node", "class_id")
+    whole = slim.where("n_words > 0 and doc_id is not null").join(ids, "node").select("doc_id", "raw", "class_id")
     alone = slim.where("n_words = 0 or doc_id is null").select("doc_id", "raw", F.col("doc_id").alias("class_id"))
     return whole.union(alone)
 
