@@ -36,6 +36,7 @@ class Settings:
     crowd: int = 8
     leaders: int = 1_024
     nearest: int = 3
+    block: int = 2_048
 
 
 ROWS_PER_TASK = 1_000_000
@@ -157,8 +158,9 @@ def _sketch(settings: Settings):
     sample (key, node, small), and per pair found inside the task (node, other).
 
     Equal texts of one task are sketched once. Once ``crowd`` texts of the task share a key,
-    a further text that one of them stands for sends only the pair; so a large group of near
-    copies sends a few rows per task, and small groups are left to the next stage.
+    a further text that one of them stands for sends the pair, and its key without a sketch,
+    which the leaders of the key do not see: so a large group of near copies sends them a few
+    rows per task. Such a text is compared under the key once its links are verified.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -189,6 +191,7 @@ def _sketch(settings: Settings):
                             agree = (every == agreeing[i]).sum(1)
                             if agree.max() >= settings.close:
                                 pair_out.add((crowd[int(agree.argmax())][0], node))
+                                key_out.append(key), node_out.append(node), small_out.append(None)
                                 continue
                         key_out.append(key), node_out.append(node), small_out.append(mine)
             pairs = list(pair_out)
@@ -240,13 +243,16 @@ PAIRS_PER_BATCH = 50_000
 def _between(settings: Settings):
     """Rows come sorted by group. All pairs of texts of a group that are in different classes
     and worth verifying; the place of a pair is its rank among those of one of the two texts.
+    A group is a key and two of its blocks, or one with itself.
     """
     def pairs_of(rows: list[tuple]) -> tuple[list, list, list]:
-        node, of, small = np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), b"".join(r[3] for r in rows)
+        left, right = rows[0][1:3]
+        block, node, of = (np.array([r[c] for r in rows]) for c in (3, 4, 5))
+        small = b"".join(r[6] for r in rows)
         _, inverse, sizes = np.unique(of, return_inverse=True, return_counts=True)
         # Small classes first: each text only meets the texts of the classes behind its own.
         order = np.lexsort((of, sizes[inverse]))
-        node, of = node[order], of[order]
+        block, node, of = block[order], node[order], of[order]
         every = np.frombuffer(small, np.uint8).reshape(len(rows), -1)[order]
         ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of))
         a_out, b_out, place_out = [], [], []
@@ -254,7 +260,8 @@ def _between(settings: Settings):
             if end == len(of):
                 break
             agree = (every[end:] == every[i]).sum(1)
-            met = np.flatnonzero(agree >= settings.worth)
+            # Two texts of one block meet where it is compared with itself.
+            met = np.flatnonzero((agree >= settings.worth) & ((left == right) | (block[end:] != block[i])))
             met = met[np.argsort(-agree[met], kind="stable")]
             others = node[end + met]
             a_out += np.minimum(others, node[i]).tolist()
@@ -268,7 +275,7 @@ def _between(settings: Settings):
             out: tuple[list, list, list] = ([], [], [])
             more = zip(*(c.to_pylist() for c in batch.columns), strict=True) if batch is not None else [None]
             for row in more:
-                if rows and (row is None or row[0] != rows[0][0]):
+                if rows and (row is None or row[:3] != rows[0][:3]):
                     for x, y in zip(out, pairs_of(rows), strict=True):
                         x.extend(y)
                     rows = []
@@ -392,7 +399,7 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     one run and only joins equal texts.
 
     A group of copies shrinks to one text before anything is compared, and a group of near
-    copies to a few rows per task. Within a sample key a text first meets the leaders of the
+    copies sends the leaders a few rows per task. Within a sample key a text first meets the leaders of the
     key; then all texts that share a key and are still in different classes are compared, and
     those worth it verified.
     """
@@ -403,7 +410,7 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     heads = stored(
         slim.where("n_words > 0 and doc_id is not null").groupBy("node")
         .agg(F.min(F.struct("doc_id", "raw")).alias("head")).select("node", "head.*"), "heads")
-    keyed = found.where("key is not null").select("key", "node", "small")
+    keyed = found.where("key is not null and small is not null").select("key", "node", "small")
     width = tasks_for(spark, keyed.count(), ROWS_PER_TASK)
     # A different order under each key, so that not the same texts lead everywhere.
     buckets = keyed.repartition(width, "key").sortWithinPartitions("key", F.xxhash64("node", "key"))
@@ -464,14 +471,20 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     # Then all texts that share a key and are still in different classes.
     tagged = stored(found.where("key is not null").select("key", "node").join(classes, "node"), "tagged")
     mixed = (
-        tagged.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high").select("key"))
+        tagged.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .where("low < high").select("key", F.ceil(F.col("n") / settings.block).cast("int").alias("blocks")))
     looks = found.where("key is null and small is not null").select("node", "small")
-    groups = (
-        tagged.join(mixed, "key").dropDuplicates(["key", "node"])
-        .join(looks.dropDuplicates(["node"]), "node").select("key", "node", "component", "small"))
+    blocked = (
+        tagged.join(stored(mixed, "mixed"), "key").dropDuplicates(["key", "node"])
+        .join(looks.dropDuplicates(["node"]), "node")
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")))
+    # A key with many texts is cut into blocks, and each pair of blocks is a group of its own.
+    groups = blocked.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")).select(
+        "key", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"),
+        "block", "node", "component", "small")
+    by = ["key", "left", "right"]
     crossing = stored(
-        groups.repartition(width, "key").sortWithinPartitions("key")
+        groups.repartition(width, *by).sortWithinPartitions(*by)
         .mapInArrow(_between(settings), "a bigint, b bigint, place int")
         .groupBy("a", "b").agg(F.min("place").alias("place"))
         .join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "crossing")

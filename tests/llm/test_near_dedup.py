@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from opslog.llm.near_dedup import aligned_similarity, drop_near_duplicates, near_duplicates
+from opslog.llm.near_dedup import Settings, aligned_similarity, drop_near_duplicates, near_duplicates
 from tests.llm.conftest import ODD, documents
 
 
@@ -148,3 +148,13 @@ def test_heavily_edited_copies_find_every_partner(spark, words):
     rows = [(i, edited(base, rng, 3, words)) for i in range(500)]
     got = {r.doc_id: r.class_id for r in near_duplicates(documents(spark, rows)).collect()}
     assert got == linked_classes(rows)
+
+
+def test_a_text_keeps_its_keys_where_another_stands_for_it(spark, words):
+    """One task, where nearly every text has a stand-in; keys with several blocks."""
+    rng = random.Random(9)
+    base = words(150)
+    rows = [(i, edited(base, rng, 3, words)) for i in range(200)]
+    settings = Settings(crowd=1, close=40, leaders=1, block=16)
+    got = {r.doc_id: r.class_id for r in near_duplicates(documents(spark, rows).coalesce(1), settings).collect()}
+    assert got == linked_classes(rows)
