@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from opslog.llm.alignment import align_tokens
+from opslog.llm.chat import conversation_digests, format_conversations
 from opslog.llm.common import table
 from opslog.llm.decontaminate import leaked_passages
 from opslog.llm.html_extract import extract_pages
@@ -15,6 +17,7 @@ from opslog.llm.lattice import similar_vectors
 from opslog.llm.mixing import mix_documents
 from opslog.llm.near_dedup import near_duplicates
 from opslog.llm.oracle import EMBEDDING_NEAR_DEDUP, SUBSTRING_DEDUP
+from opslog.llm.periodic import planted_text, periodic_runs
 from opslog.llm.sharding import plan_shards
 from opslog.llm.substring_dedup import remove_repeats
 from opslog.llm.token_store import token_index
@@ -61,6 +64,22 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(table(spark, sf_dir, "documents"))
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select(*added.columns).unionByName(added)
+    return conversation_digests(format_conversations(turns))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(planted_text(table(spark, sf_dir, "documents")), keep_text=False).drop("runs", "collapsed")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -72,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_ids": op10_token_ids,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
