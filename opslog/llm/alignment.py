@@ -27,9 +27,9 @@ from opslog.llm.common import small, spans, stored
 #: Characters of a block; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 22
 #: Characters aligned at once inside a block.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 #: Pieces of text whose tokens a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 
 #: A cut before a space or newline that follows no white space: neither vocabulary has a token
 #: across it. Checked against the pieces of the second vocabulary when it is opened.

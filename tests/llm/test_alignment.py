@@ -97,7 +97,7 @@ def answers(docs):
 @pytest.mark.parametrize("block_chars", [200, 1 << 22])
 def test_alignment_equals_a_plain_loop(spark, whole, words, monkeypatch, block_chars):
     monkeypatch.setattr(alignment, "BLOCK_CHARS", block_chars)
-    monkeypatch.setattr(alignment, "BATCH_CHARS", min(block_chars, 1 << 20))
+    monkeypatch.setattr(alignment, "BATCH_CHARS", min(block_chars, 1 << 18))
     rows = [(i, t) for i, t in enumerate(NASTY + random_texts(60) + [words(40) for _ in range(20)])] + ODD
     assert answers(documents(spark, rows, extra=True).repartition(3)) == plain(rows, whole)
 
