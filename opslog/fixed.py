@@ -81,6 +81,12 @@ AUDIT_SCHEMA = (
     "finished_at timestamp"
 )
 PUBLISH_SCHEMA = "quarter string, load_id string, row_count bigint, published_at timestamp"
+# Own tables: what became of each load of a processed month, and what curated quarters are made of.
+VERDICT_SCHEMA = (
+    "month string, load_id string, status string, message string, sequence bigint, decided_at timestamp"
+)
+BUILD_SCHEMA = "quarter string, build_id string, month string, load_id string, sequence bigint"
+VERDICTS = ("pending", "passed", "failed")
 
 
 def column_names(schema: str) -> list[str]:

@@ -32,6 +32,7 @@ class StepRun:
     rows_out: int | None = None
     message: str | None = None
     error: str | None = None
+    load_id: str | None = None
 
     @property
     def status(self) -> str:

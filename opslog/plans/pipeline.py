@@ -9,13 +9,23 @@ false only reports, so that one bad month does not stop the others.
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.fixed import FORMAT_CHECK_LINES, LANDING_NAME, MAX_DROP_RATE, PUBLISH_SCHEMA
+from opslog.fixed import (
+    AUDIT_SCHEMA,
+    BUILD_SCHEMA,
+    FORMAT_CHECK_LINES,
+    MANIFEST_SCHEMA,
+    MAX_DROP_RATE,
+    PUBLISH_SCHEMA,
+    VERDICT_SCHEMA,
+)
 from opslog.functions import periods as P
 from opslog.operators import clean as C
 from opslog.operators import features as H
@@ -23,10 +33,12 @@ from opslog.operators import ingest as I
 from opslog.operators import publish as D
 from opslog.operators import quality as Q
 from opslog.operators import split as S
+from opslog.operators import verdicts as V
 from opslog.operators.replicate import replicate_lines
 from opslog.plans.audit import StepRun, audited, raise_failures, succeeded
 from opslog.session import BYTES_PER_SHUFFLE_TASK, sized_for
 from opslog.sources import log_files as L
+from opslog.sources.claims import Claim
 from opslog.sources.lake import Lake
 
 Runs = dict[str, StepRun]
@@ -51,6 +63,44 @@ def _finish(runs: Runs, strict: bool) -> Runs:
     return runs
 
 
+@contextmanager
+def _claimed(
+    lake: Lake, runs: Runs, names: Callable[[str], list[str]] = lambda period: [period]
+) -> Iterator[dict[str, list[Claim]]]:
+    """Claim what every period works on; a period that another run works on fails.
+
+    Yields the claims of the periods that may go on.
+    """
+    wanted = {period: names(period) for period, run in runs.items() if not run.error}
+    flat = {name for some in wanted.values() for name in some}
+    with lake.claims.hold(flat, lake.claim_seconds, lake.claim_wait) as held:
+        for period, some in wanted.items():
+            if taken := [name for name in some if name not in held]:
+                holder = lake.claims.holder(taken[0])
+                runs[period].error = f"{taken[0]} is claimed by {holder.owner if holder else 'another run'}"
+        yield {p: [held[n] for n in some] for p, some in wanted.items() if not runs[p].error}
+
+
+def _still_held(lake: Lake, claims: dict[str, list[Claim]], runs: Runs, periods: Iterable[str]) -> list[str]:
+    """The periods whose claims did not run out; the others fail before anything of them shows."""
+    kept = []
+    for period in periods:
+        if all(lake.claims.is_held(claim) for claim in claims[period]):
+            kept.append(period)
+        else:
+            runs[period].error = f"the claim on {period} ran out, run it again"
+    return kept
+
+
+def _log_verdicts(lake: Lake, rows: list[tuple[str, str, str, str | None]]) -> None:
+    """Append (month, load_id, status, message) to the verdicts."""
+    if rows:
+        first = time.time_ns()
+        frame = lake.spark.createDataFrame(
+            [(*row, first + i, None) for i, row in enumerate(rows)], VERDICT_SCHEMA)
+        lake.append(frame.withColumn("decided_at", F.current_timestamp()), "ops/month_verdicts")
+
+
 # ---- split ---------------------------------------------------------------
 
 def split_log(lake: Lake, source: str, landing: str, partitions: int | None = None) -> DataFrame:
@@ -126,29 +176,34 @@ def ingest(
 ) -> Runs:
     """Inspect, decide, copy accepted files to the raw zone, check the copy, record it.
 
+    The months are claimed before the manifest is read, so of two runs that ingest a month at
+    the same time one stores it and the other fails, or waits and finds it stored.
     A month that lies in the landing folder both as a file and as a folder is refused.
     """
     wanted = _distinct(months, P.require_month)
-    with audited(lake, "ingest", wanted) as runs, lake.working() as keep:
-        there = {m: one for m, one in _landed(lake, landing).items() if m in wanted}
+    with audited(lake, "ingest", wanted) as runs, _claimed(lake, runs) as claims, lake.working() as keep:
+        there = {m: one for m, one in _landed(lake, landing).items() if m in claims}
         clear = [one for one in there.values() if not one.ambiguous]
         for month, one in there.items():
             if one.ambiguous:
                 runs[month].error = f"{one.file_name} is there as a file and as a folder"
         requests = lake.spark.createDataFrame(
-            [(m,) for m in wanted if not runs[m].error], "month string")
+            [(m,) for m in claims if not runs[m].error], "month string")
         splits = keep(_splits(lake, clear, check_lines), "file_splits")
         inspected = inspect_landing(lake, clear, splits, check_lines)
         decisions = I.ingest_decisions(requests, inspected, lake.manifest()).collect()
         new = [d for d in decisions if d["status"] == "ingested"]
         stored = [there[d["month"]] for d in new]
         incomplete = _store(lake, stored, splits) if new else set()
-        kept = [d for d in new if d["month"] not in incomplete]
-        if kept:
-            rows = lake.spark.createDataFrame(kept, DECISION_SCHEMA)
+        whole = [d["month"] for d in new if d["month"] not in incomplete]
+        recorded = set(_still_held(lake, claims, runs, whole))
+        if recorded:
+            rows = lake.spark.createDataFrame([d for d in new if d["month"] in recorded], DECISION_SCHEMA)
             lake.append(I.new_manifest_rows(rows, lake.path("raw")), "ops/ingested_files")
         for decision in decisions:
             run = runs[decision["month"]]
+            if run.error:
+                continue
             if decision["status"] not in I.ACCEPTED:
                 run.error = f"{decision['code']} {decision['status']}: {decision['file_name']}"
             elif decision["month"] in incomplete:
@@ -191,21 +246,27 @@ def landing_status(lake: Lake, landing: str) -> DataFrame:
 # ---- clean ---------------------------------------------------------------
 
 def clean_months(lake: Lake, months: Iterable[str], *, strict: bool = True) -> Runs:
-    """Raw text -> clean events of the processed zone, one job for all months."""
+    """Raw text -> clean events of the processed zone, one job for all months.
+
+    A load that is being written is pending in the verdicts, until the gate has judged it.
+    """
     wanted = _distinct(months, P.require_month)
-    with audited(lake, "clean", wanted) as runs:
-        rows_in = _counts(lake.raw(wanted), "month")
-        for month in wanted:
+    with audited(lake, "clean", wanted) as runs, _claimed(lake, runs) as claims:
+        rows_in = _counts(lake.raw(list(claims)), "month")
+        for month in claims:
             runs[month].rows_in = rows_in.get(month)
             if month not in rows_in:
                 runs[month].error = f"{month} is not in the raw zone"
-        present = [m for m in wanted if m in rows_in]
+        present = [m for m in claims if m in rows_in]
         if present:
+            for month in present:
+                runs[month].load_id = uuid.uuid4().hex
+            _log_verdicts(lake, [(m, runs[m].load_id, V.PENDING, None) for m in present])
             events = C.clean(lake.raw(present), gather_months=len(present) > 1)
             with sized_for(lake.spark, lake.raw_bytes(present)):
                 lake.write_processed(events, present)
             rows_out = _counts(lake.processed(present), "month")
-            for month in present:
+            for month in _still_held(lake, claims, runs, present):
                 runs[month].rows_out = rows_out.get(month, 0)
     return _finish(runs, strict)
 
@@ -213,7 +274,10 @@ def clean_months(lake: Lake, months: Iterable[str], *, strict: bool = True) -> R
 def check_quality(
     lake: Lake, cleaned: Runs, *, strict: bool = True, max_drop_rate: float = MAX_DROP_RATE
 ) -> Runs:
-    """Fail months that lost too many lines. Only the small counts of ``clean_months`` are used."""
+    """Fail months that lost too many lines. Only the small counts of ``clean_months`` are used.
+
+    The verdict on each load is stored: it decides which quarters are complete.
+    """
     counted = {m: r for m, r in cleaned.items() if r.rows_out is not None}
     with audited(lake, "quality_check", sorted(counted)) as runs:
         counts = lake.spark.createDataFrame(
@@ -227,30 +291,68 @@ def check_quality(
                 run.error = verdict["message"]
             else:
                 run.message = verdict["message"]
+        _log_verdicts(lake, [
+            (m, counted[m].load_id or uuid.uuid4().hex, V.FAILED if run.error else V.PASSED, run.error or run.message)
+            for m, run in runs.items()])
     return _finish(runs, strict)
 
 
 # ---- aggregate -----------------------------------------------------------
 
-def aggregate_quarters(lake: Lake, quarters: Iterable[str], *, strict: bool = True) -> Runs:
-    """Processed events -> hourly features of the curated zone, one job for all quarters."""
+def _gaps(
+    lake: Lake, quarters: Sequence[str], first_month: str | None, last_month: str | None,
+    built: DataFrame | None = None,
+) -> dict[str, str]:
+    """For each quarter that is not complete, which months are missing and why."""
+    asked = lake.spark.createDataFrame([(q,) for q in quarters], "quarter string")
+    current = V.current_verdicts(lake.verdicts())
+    missing: dict[str, list[str]] = {}
+    for row in V.quarter_gaps(asked, current, first_month or lake.first_month(), last_month, built).orderBy("month").collect():
+        missing.setdefault(row["quarter"], []).append(f"{row['month']} {row['reason']}")
+    return {quarter: "; ".join(months) for quarter, months in missing.items()}
+
+
+def aggregate_quarters(
+    lake: Lake, quarters: Iterable[str], *, strict: bool = True, first_month: str | None = None,
+    last_month: str | None = None, allow_incomplete: bool = False,
+) -> Runs:
+    """Processed events -> hourly features of the curated zone, one job for all quarters.
+
+    Only months whose newest load passed the gate are used. A quarter with another month is
+    refused, unless ``allow_incomplete`` asks for it; the audit says which months are missing
+    and why. Months before ``first_month`` (by default the first month of the lake) or after
+    ``last_month`` are not asked for.
+    """
     wanted = _distinct(quarters, P.require_quarter)
-    with audited(lake, "aggregate", wanted) as runs:
-        months = [m for q in wanted for m in P.month_names(q)]
-        by_month = _counts(lake.processed(months), "month")
-        for quarter in wanted:
-            rows = sum(by_month.get(m, 0) for m in P.month_names(quarter))
-            runs[quarter].rows_in = rows
-            if rows == 0:
-                runs[quarter].error = f"no processed data for {quarter}, run its months first"
-        present = [q for q in wanted if runs[q].rows_in]
+    with audited(lake, "aggregate", wanted) as runs, _claimed(lake, runs, lambda q: [q, *P.month_names(q)]) as claims:
+        months = [m for q in claims for m in P.month_names(q)]
+        passed = {
+            row["month"]: row["load_id"] for row in V.current_verdicts(lake.verdicts())
+            .filter(F.col("month").isin(months) & (F.col("status") == V.PASSED)).collect()}
+        by_month = _counts(lake.processed(list(passed)), "month")
+        gaps = _gaps(lake, list(claims), first_month, last_month)
+        for quarter in claims:
+            run = runs[quarter]
+            run.rows_in = sum(by_month.get(m, 0) for m in P.month_names(quarter))
+            if quarter in gaps and not allow_incomplete:
+                run.error = f"{quarter} is not complete: {gaps[quarter]}"
+            elif run.rows_in == 0:
+                run.error = f"no processed data for {quarter}, run its months first"
+            elif quarter in gaps:
+                run.message = f"without {gaps[quarter]}"
+        present = [q for q in claims if not runs[q].error]
         if present:
-            months = [m for q in present for m in P.month_names(q)]
-            features = H.hourly_features(lake.processed(months), lake.measure_type)
-            with sized_for(lake.spark, lake.raw_bytes(months)):
+            used = [m for q in present for m in P.month_names(q) if m in passed]
+            features = H.hourly_features(lake.processed(used), lake.measure_type)
+            with sized_for(lake.spark, lake.raw_bytes(used)):
                 lake.write_curated(features, present)
             rows_out = _counts(lake.curated(present), "quarter")
-            for quarter in present:
+            kept = _still_held(lake, claims, runs, present)
+            build, first = uuid.uuid4().hex, time.time_ns()
+            rows = [(q, build, m, passed[m], first) for q in kept for m in P.month_names(q) if m in passed]
+            if rows:
+                lake.append(lake.spark.createDataFrame(rows, BUILD_SCHEMA), "ops/quarter_builds")
+            for quarter in kept:
                 runs[quarter].rows_out = rows_out.get(quarter, 0)
     return _finish(runs, strict)
 
@@ -258,27 +360,33 @@ def aggregate_quarters(lake: Lake, quarters: Iterable[str], *, strict: bool = Tr
 # ---- deliver -------------------------------------------------------------
 
 def deliver_quarters(
-    lake: Lake, quarters: Iterable[str], *, strict: bool = True, load_id: str | None = None
+    lake: Lake, quarters: Iterable[str], *, strict: bool = True, load_id: str | None = None,
+    first_month: str | None = None, last_month: str | None = None, allow_incomplete: bool = False,
 ) -> Runs:
     """Load curated features for readers; a quarter becomes visible as a whole or not at all.
 
     The rows are written under a new load id that nobody reads. Only after the counts and the
-    constraints hold, one publish row per quarter switches readers over.
+    constraints hold, one publish row per quarter switches readers over. A quarter is refused
+    if its curated rows are not made from the newest, passed load of each of its months; the
+    last three arguments are those of ``aggregate_quarters``.
     """
     wanted = _distinct(quarters, P.require_quarter)
     load_id = load_id or uuid.uuid4().hex
-    with audited(lake, "deliver", wanted) as runs:
-        curated = lake.curated(wanted)
+    with audited(lake, "deliver", wanted) as runs, _claimed(lake, runs) as claims:
+        asked = list(claims)
+        curated = lake.curated(asked)
         lake.add_load(D.delivery_rows(curated, load_id))
         loaded = lake.loads().filter(
-            F.col("quarter").isin(wanted) & (F.col("load_id") == load_id)
+            F.col("quarter").isin(asked) & (F.col("load_id") == load_id)
         )
         rows_in, rows_out = _counts(curated, "quarter"), _counts(loaded, "quarter")
         broken = {
             row["quarter"]: row["rule"] for row in Q.feature_violations(loaded, by="quarter")
             .filter(F.col("violations") > 0).collect()
         }
-        for quarter in wanted:
+        gaps = {} if allow_incomplete else _gaps(
+            lake, asked, first_month, last_month, V.newest_builds(lake.builds()))
+        for quarter in asked:
             run = runs[quarter]
             run.rows_in, run.rows_out = rows_in.get(quarter, 0), rows_out.get(quarter, 0)
             if not run.rows_in:
@@ -287,10 +395,12 @@ def deliver_quarters(
                 run.error = f"{run.rows_out} rows loaded, {run.rows_in} in the curated zone"
             elif quarter in broken:
                 run.error = f"constraint violated: {broken[quarter]}"
-        good = [(q, load_id, runs[q].rows_out) for q in wanted if not runs[q].error]
-        if good:
+            elif quarter in gaps:
+                run.error = f"{quarter} is not complete: {gaps[quarter]}"
+        kept = _still_held(lake, claims, runs, [q for q in asked if not runs[q].error])
+        if kept:
             rows = lake.spark.createDataFrame(
-                good, "quarter string, load_id string, row_count bigint"
+                [(q, load_id, runs[q].rows_out) for q in kept], "quarter string, load_id string, row_count bigint"
             ).withColumn("published_at", F.current_timestamp())
             lake.append(rows, "serving/published")
     return _finish(runs, strict)
@@ -310,20 +420,45 @@ def ready_quarters(passed: Iterable[str], last_month: str | None = None) -> list
 
 def backfill(
     lake: Lake, landing: str, months: Iterable[str], last_month: str | None = None,
-    check_lines: int = FORMAT_CHECK_LINES,
+    check_lines: int = FORMAT_CHECK_LINES, *, first_month: str | None = None, allow_incomplete: bool = False,
 ) -> dict[str, Runs]:
     """Ingest, clean and check all months, then aggregate and deliver the complete quarters.
 
     A month that fails a step is left out of the following steps, the others go on. A quarter
-    is complete with its closing month; name ``last_month`` where the data ends inside a
-    quarter. The outcome of every step and period is returned and in the audit trail.
+    of these months is tried once its closing month has passed the gate, now or earlier; name
+    ``last_month`` where the data ends inside a quarter. It is published only if all its
+    months have passed, from ``first_month`` on: the first month of the lake or of the landing
+    folder, if none is given. ``allow_incomplete`` publishes it without the missing months.
+    The outcome of every step and period is returned and in the audit trail.
     """
     wanted = _distinct(months, P.require_month)
     done: dict[str, Runs] = {}
     done["ingest"] = ingest(lake, landing, wanted, strict=False, check_lines=check_lines)
     done["clean"] = clean_months(lake, succeeded(done["ingest"]), strict=False)
     done["quality_check"] = check_quality(lake, done["clean"], strict=False)
-    quarters = ready_quarters(succeeded(done["quality_check"]), last_month)
-    done["aggregate"] = aggregate_quarters(lake, quarters, strict=False)
-    done["deliver"] = deliver_quarters(lake, succeeded(done["aggregate"]), strict=False)
+    known = [m for m in (first_month or lake.first_month(), *([] if first_month else _landed(lake, landing))) if m]
+    bounds = {"first_month": min(known, default=None), "last_month": last_month, "allow_incomplete": allow_incomplete}
+    passed = succeeded(done["quality_check"])
+    touched = {P.quarter_name(m) for m in passed}
+    ever = [
+        row["month"] for row in V.current_verdicts(lake.verdicts()).filter(F.col("status") == V.PASSED)
+        .filter(F.col("month").isin([m for q in touched for m in P.month_names(q)])).collect()]
+    quarters = [q for q in ready_quarters(ever, last_month) if q in touched]
+    done["aggregate"] = aggregate_quarters(lake, quarters, strict=False, **bounds)
+    done["deliver"] = deliver_quarters(lake, succeeded(done["aggregate"]), strict=False, **bounds)
     return done
+
+
+# ---- upkeep --------------------------------------------------------------
+
+#: Tables that grow by one file with every step.
+LOGS = {
+    "ops/ingested_files": MANIFEST_SCHEMA, "ops/pipeline_runs": AUDIT_SCHEMA,
+    "ops/month_verdicts": VERDICT_SCHEMA, "ops/quarter_builds": BUILD_SCHEMA,
+    "serving/published": PUBLISH_SCHEMA,
+}
+
+
+def compact_logs(lake: Lake) -> dict[str, int]:
+    """Rewrite the operational tables into few files; returns how many files each one had."""
+    return {folder: lake.compact(folder, schema) for folder, schema in LOGS.items()}

@@ -13,24 +13,36 @@ from pyspark.sql import functions as F
 
 from opslog.fixed import (
     AUDIT_SCHEMA,
+    BUILD_SCHEMA,
     EVENT_SCHEMA,
     FEATURE_COLUMNS,
     FEATURE_SCHEMA,
     MANIFEST_SCHEMA,
     PUBLISH_SCHEMA,
+    VERDICT_SCHEMA,
     column_names,
 )
 from opslog.operators.publish import visible_features
+from opslog.sources import files
+from opslog.sources.claims import Claims
+
+_FIRST_VERSION = "version=000000"
 
 
 @dataclass(frozen=True)
 class Lake:
     """``measure_type`` is that of the feature counts in all tables: "int", or "bigint" where one
-    midplane can have over two billion events an hour."""
+    midplane can have over two billion events an hour.
+
+    A step holds exclusive claims on its months or quarters for at most ``claim_seconds``; it
+    waits ``claim_wait`` seconds for one that another run holds, then the period fails.
+    """
 
     spark: SparkSession
     root: str
     measure_type: str = "int"
+    claim_seconds: float = 2 * 3600
+    claim_wait: float = 0
 
     @property
     def feature_schema(self) -> str:
@@ -39,6 +51,10 @@ class Lake:
     def path(self, *parts: str) -> str:
         return "/".join((self.root.rstrip("/"), *parts))
 
+    @property
+    def claims(self) -> Claims:
+        return Claims(self.spark, self.path("ops/claims"))
+
     # ---- reading --------------------------------------------------------
 
     def _table(self, folder: str, schema: str) -> DataFrame:
@@ -50,6 +66,15 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _version(self, folder: str) -> str:
+        """The newest version of an operational table. Versions only come from ``compact``."""
+        there = [e.name for e in files.entries(self.spark, self.path(folder)) if e.name.startswith("version=")]
+        return max(there, default=_FIRST_VERSION)
+
+    def _log(self, folder: str, schema: str) -> DataFrame:
+        """An operational table: rows that were appended, in its newest version."""
+        return self._table(f"{folder}/{self._version(folder)}", schema)
+
     def raw(self, months: Sequence[str]) -> DataFrame:
         """``value`` and ``month`` of the given months; only their folders are read."""
         schema = "value string, month string"
@@ -69,13 +94,26 @@ class Lake:
         return self._table("curated", self.feature_schema).filter(F.col("quarter").isin(list(quarters)))
 
     def manifest(self) -> DataFrame:
-        return self._table("ops/ingested_files", MANIFEST_SCHEMA)
+        return self._log("ops/ingested_files", MANIFEST_SCHEMA)
 
     def audit(self) -> DataFrame:
-        return self._table("ops/pipeline_runs", AUDIT_SCHEMA)
+        return self._log("ops/pipeline_runs", AUDIT_SCHEMA)
+
+    def verdicts(self) -> DataFrame:
+        """What became of every load of a processed month, oldest first by ``sequence``."""
+        return self._log("ops/month_verdicts", VERDICT_SCHEMA)
+
+    def builds(self) -> DataFrame:
+        """Which load of which month went into the curated rows of a quarter."""
+        return self._log("ops/quarter_builds", BUILD_SCHEMA)
+
+    def first_month(self) -> str | None:
+        """The earliest month that was ever stored or cleaned."""
+        months = self.manifest().select("month").unionByName(self.verdicts().select("month"))
+        return months.agg(F.min("month")).first()[0]
 
     def published(self) -> DataFrame:
-        return self._table("serving/published", PUBLISH_SCHEMA)
+        return self._log("serving/published", PUBLISH_SCHEMA)
 
     def loads(self) -> DataFrame:
         """All delivered rows, visible or not, with their load_id."""
@@ -101,8 +139,9 @@ class Lake:
             if not self.exists(self.path(folder)):
                 self._write_empty(folder, schema)
             columns = ", ".join(column_names(schema))
-            self.spark.sql(
-                f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM parquet.`{self.path(folder)}`")
+            source = f"parquet.`{self.path(folder)}`"
+            newest = "" if name == "delivered_hours" else f" WHERE version = (SELECT max(version) FROM {source})"
+            self.spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM {source}{newest}")
         columns = ", ".join(f"h.{c}" for c in FEATURE_COLUMNS)
         self.spark.sql(f"""
             CREATE OR REPLACE TEMPORARY VIEW midplane_hourly AS
@@ -117,13 +156,15 @@ class Lake:
 
     def _write_empty(self, folder: str, schema: str) -> None:
         """A table without rows, in the folder layout that later rows get."""
-        keys = [k for k in ("quarter", "load_id") if folder == "serving/midplane_hourly"]
-        rows = self.spark.createDataFrame([], schema).drop(*keys)
-        rows.write.mode("append").parquet(self.path(folder, *(f"{k}=none" for k in keys)))
+        rows = self.spark.createDataFrame([], schema)
+        if folder == "serving/midplane_hourly":
+            place = self.path(folder, "quarter=none", "load_id=none")
+            rows.drop("quarter", "load_id").write.mode("append").parquet(place)
+        else:
+            self.append(rows, folder)
 
     def exists(self, path: str) -> bool:
-        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+        return files.exists(self.spark, path)
 
     def raw_bytes(self, months: Sequence[str]) -> int:
         """Size of the stored months according to the manifest."""
@@ -188,10 +229,12 @@ class Lake:
         return lines.filter(F.col("month").isin(list(months)))
 
     def add_load(self, delivery: DataFrame) -> None:
+        """Rows of a new load. A load written again replaces itself, and loads of other runs,
+        written at the same time, are not touched."""
         (
             delivery.hint("rebalance", F.col("quarter"), F.col("load_id"))
-            .write.mode("append").partitionBy("quarter", "load_id")
-            .parquet(self.path("serving/midplane_hourly"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("quarter", "load_id").parquet(self.path("serving/midplane_hourly"))
         )
 
     @contextmanager
@@ -209,9 +252,60 @@ class Lake:
         try:
             yield keep
         finally:
-            place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            files.remove(self.spark, target)
 
     def append(self, rows: DataFrame, folder: str) -> None:
-        """Add a few operational rows as one file."""
-        rows.coalesce(1).write.mode("append").parquet(self.path(folder))
+        """Add a few operational rows as one file.
+
+        The file is written aside and moved into the table as one step, so runs that append at
+        the same time do not meet in a temporary folder of the table.
+        """
+        with self._aside(rows.coalesce(1)) as written, self._table_claim(folder):
+            version = self.path(folder, self._version(folder))
+            for entry in written:
+                files.move(self.spark, entry.path, f"{version}/{entry.name}")
+
+    def compact(self, folder: str, schema: str, target_bytes: int = 128 * 1024**2) -> int:
+        """Rewrite an operational table into few files under a new version; returns the number
+        of files it had.
+
+        The new version appears by one rename. Appends wait meanwhile. The version before stays
+        for readers that have listed it, until the next compaction.
+        """
+        with self._table_claim(folder):
+            version = self._version(folder)
+            there = [e for e in files.entries(self.spark, self.path(folder, version)) if _is_data(e)]
+            if len(there) < 2:
+                return len(there)
+            rows = self._table(f"{folder}/{version}", schema)
+            size = files.size(self.spark, self.path(folder, version))
+            aside = self.path("work", uuid.uuid4().hex)
+            rows.repartition(max(1, -(-size // target_bytes))).write.parquet(aside)
+            new = f"version={int(version.split('=')[1]) + 1:06d}"
+            files.move(self.spark, aside, self.path(folder, new))
+            for entry in files.entries(self.spark, self.path(folder)):
+                if entry.name.startswith("version=") and entry.name < version:
+                    files.remove(self.spark, entry.path)
+            return len(there)
+
+    @contextmanager
+    def _aside(self, rows: DataFrame) -> Iterator[list[files.Entry]]:
+        aside = self.path("work", uuid.uuid4().hex)
+        try:
+            rows.write.parquet(aside)
+            yield [e for e in files.entries(self.spark, aside) if _is_data(e)]
+        finally:
+            files.remove(self.spark, aside)
+
+    @contextmanager
+    def _table_claim(self, folder: str) -> Iterator[None]:
+        """Appends and compactions of a table come one after another; both are short."""
+        name = "table-" + folder.replace("/", "-")
+        with self.claims.hold([name], seconds=600, wait=900) as held:
+            if name not in held:
+                raise TimeoutError(f"{folder} is claimed by another run")
+            yield
+
+
+def _is_data(entry: files.Entry) -> bool:
+    return not entry.name.startswith(("_", "."))
