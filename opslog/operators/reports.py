@@ -101,12 +101,32 @@ def quarters(features: DataFrame) -> DataFrame:
     return features.select("quarter").distinct().orderBy("quarter")
 
 
-def latest_quarter(features: DataFrame) -> DataFrame:
-    """Rows of the newest quarter; on a table partitioned by quarter only that folder is read."""
-    newest = features.agg(F.max("quarter")).scalar()
+def latest_quarter(features: DataFrame, published: DataFrame | None = None) -> DataFrame:
+    """Rows of the newest quarter of a stored table; only the folder of that quarter is read.
+
+    The publish log tells the newest quarter where there is one, without a look at the table.
+    """
+    if published is None:
+        newest = features.agg(F.max("quarter")).scalar()
+    else:
+        newest = published.filter(F.col("row_count") > 0).agg(F.max("quarter")).scalar()
     return features.filter(F.col("quarter") == newest)
 
 
+def newest_of(features: DataFrame) -> DataFrame:
+    """Rows of the newest quarter of features that are being computed, not read.
+
+    A plain filter on the quarter would be pushed below the aggregates on one side only, and
+    the features would be computed twice. So the quarter is compared together with the label,
+    which is known after the last shuffle, and the newest quarter is taken from whole rows:
+    both sides are one plan up to there, and its shuffles are reused.
+    """
+    row = F.max(F.struct("quarter", *(c for c in features.columns if c != "quarter")))
+    newest = features.agg(row.alias("row")).select("row.quarter").scalar()
+    label = F.coalesce("alert_next_hour", F.lit(False))
+    return features.filter(F.struct(F.col("quarter"), label) >= F.struct(newest, F.lit(False)))
+
+
 def midplane_sums(features: DataFrame) -> DataFrame:
     """Alerts and events by quarter and midplane."""
     return features.groupBy("quarter", "midplane").agg(

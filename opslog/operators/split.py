@@ -3,55 +3,26 @@
 ``split`` is the byte position where a file split starts and ``line_id`` grows along the lines
 of a split, so (split, line_id) is the order of a file. A split is bounded by
 ``spark.sql.files.maxPartitionBytes``; a file is not, so nothing here sorts a whole file in one
-task: only one small row per split is ordered by file, and that in two levels.
+task: only one small row per split is ordered by file, about a million rows for 100 TB.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from opslog.fixed import FORMAT_CHECK_LINES
 from opslog.functions.lines import dated_month, starts_like_log_line
 
 
-# Splits are ordered in two levels so that no task sees all splits of a very large file: blocks
-# of splits inside a file, and splits inside a block.
-SPLITS_PER_BLOCK = 1024
-BLOCK_BYTES = SPLITS_PER_BLOCK * 128 * 1024**2
-
-
-def _block(splits: DataFrame) -> Column:
-    """A coarser key with the same order as ``split``."""
-    if isinstance(splits.schema["split"].dataType, StructType):
-        return F.struct(
-            F.col("split.part").alias("part"),
-            F.floor(F.col("split.start") / F.lit(BLOCK_BYTES)).alias("start"),
-        )
-    return F.floor(F.col("split") / F.lit(SPLITS_PER_BLOCK))
-
-
-def _earlier_in_file(
-    splits: DataFrame, block_total: Column, earlier: Callable[[str], Column], name: str
-) -> DataFrame:
-    """Summarise, for every split, column ``name`` of the splits before it in the file.
-
-    ``earlier`` is the window aggregate. It gives ``within`` from the splits before in the same
-    block, and ``across`` from the totals of the blocks before.
-    """
-    blocked = splits.withColumn("block", _block(splits))
-    rows_before = (Window.unboundedPreceding, -1)
-    in_block = Window.partitionBy("file_name", "block").orderBy("split").rowsBetween(*rows_before)
-    in_file = Window.partitionBy("file_name").orderBy("block").rowsBetween(*rows_before)
-    totals = blocked.groupBy("file_name", "block").agg(block_total.alias("total"))
-    across = totals.select("file_name", "block", earlier("total").over(in_file).alias("across"))
+def _splits_before() -> Window:
+    """The splits of the same file before the one at hand."""
     return (
-        blocked.withColumn("within", earlier(name).over(in_block))
-        .join(across, ["file_name", "block"])
-        .drop("block")
+        Window.partitionBy("file_name").orderBy("split")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
 
 
@@ -62,17 +33,14 @@ def carried_months(lines: DataFrame) -> DataFrame:
     all lines before merging them, with a number it merges them in a hash map.
     """
     month = F.replace(dated_month(F.col("value")), F.lit("-"), F.lit("")).cast("int")
-    number, dated = F.col("number"), F.col("number").isNotNull()
     last_in_split = (
         lines.select("file_name", "split", "line_id", month.alias("number"))
         .groupBy("file_name", "split")
-        .agg(F.max_by("number", F.when(dated, F.col("line_id"))).alias("number"))
+        .agg(F.max_by("number", F.when(F.col("number").isNotNull(), F.col("line_id"))).alias("number"))
     )
-    text = F.lpad(F.coalesce("within", "across").cast("string"), 6, "0")
-    return _earlier_in_file(
-        last_in_split, F.max_by(number, F.when(dated, F.col("split"))),
-        lambda column: F.last(column, ignorenulls=True), "number",
-    ).select(
+    before = F.last("number", ignorenulls=True).over(_splits_before())
+    text = F.lpad(F.col("before").cast("string"), 6, "0")
+    return last_in_split.withColumn("before", before).select(
         "file_name", "split",
         F.concat(F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2)).alias("month"),
     )
@@ -93,20 +61,24 @@ def lines_with_carry(lines: DataFrame, carried: DataFrame | None = None) -> Data
     ).unionByName(marker)
 
 
-def fill_months(with_carry: DataFrame) -> DataFrame:
+def fill_months(with_carry: DataFrame, task_keys: list[str] | None = None) -> DataFrame:
     """Give every line the month of the nearest dated line at or before it.
 
-    Lines before the first dated line of a file have none and are dropped.
+    Lines before the first dated line of a file have none and are dropped. ``task_keys`` name
+    columns whose groups hold whole splits; by default each split is a group.
     """
+    keys = ["file_name", "split"]
     so_far = (
-        Window.partitionBy("file_name", "split").orderBy("line_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    own = F.coalesce("carried", dated_month(F.col("value")))
+        Window.partitionBy(*task_keys).orderBy(*keys, "line_id") if task_keys
+        else Window.partitionBy(*keys).orderBy("line_id")
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The marker of a split ends what an earlier split of the group carried, also with no month.
+    marker = F.when(F.col("line_id") < 0, F.coalesce("carried", F.lit("")))
+    own = F.coalesce(marker, dated_month(F.col("value")))
     return (
         with_carry.withColumn("own", own)
         .withColumn("month", F.last("own", ignorenulls=True).over(so_far))
-        .filter((F.col("line_id") >= 0) & F.col("month").isNotNull())
+        .filter((F.col("line_id") >= 0) & (F.col("month") != ""))
         .select("month", "file_name", "split", "line_id", "value")
     )
 
@@ -115,22 +87,99 @@ def split_by_month(lines: DataFrame, carried: DataFrame | None = None) -> DataFr
     return fill_months(lines_with_carry(lines, carried))
 
 
+@dataclass(frozen=True)
+class SplitOrder:
+    """The place of every split in the order of the files, as an id of an output partition.
+
+    All files of a scan are cut at multiples of ``step`` bytes, so the place follows from the
+    split itself and from the number of splits in the files before: ``bases`` has one entry
+    (file_name, part, splits before it) per file, in order.
+    """
+
+    bases: tuple[tuple[str, str, int], ...]
+    step: int
+    count: int
+
+    @staticmethod
+    def of(splits: DataFrame) -> SplitOrder | None:
+        """From one row per split (file_name, split). Only one row per file reaches the driver;
+        with more files than ``FILES_AT_ONCE`` there is no order of this kind."""
+        start = F.col("split.start")
+        files = splits.groupBy("file_name", F.col("split.part").alias("part")).agg(
+            F.max(start).alias("last"), F.min(F.when(start > 0, start)).alias("step"))
+        rows = files.orderBy("file_name", "part").limit(FILES_AT_ONCE + 1).collect()
+        if len(rows) > FILES_AT_ONCE:
+            return None
+        step, count, bases = min((r["step"] for r in rows if r["step"]), default=1), 0, []
+        for row in rows:
+            bases.append((row["file_name"], row["part"], count))
+            count += row["last"] // step + 1
+        return SplitOrder(tuple(bases), step, max(count, 1))
+
+    def partitions(self, wanted: int) -> int:
+        return -(-self.count // self._per(wanted))
+
+    def _per(self, wanted: int) -> int:
+        return -(-self.count // max(1, wanted))
+
+    def arrange(self, lines: DataFrame, wanted: int) -> DataFrame:
+        """One exchange by the known place; adds ``place``. About ``wanted`` partitions.
+
+        The join has one row per file on its small side, at most ``FILES_AT_ONCE``.
+        """
+        known = lines.sparkSession.createDataFrame(
+            [(part, base) for _, part, base in self.bases], "known_part string, splits_before bigint")
+        ordinal = F.col("splits_before") + F.floor(F.col("split.start") / F.lit(self.step))
+        return (
+            lines.join(F.broadcast(known), F.col("split.part") == F.col("known_part"))
+            .withColumn("place", F.floor(ordinal / F.lit(self._per(wanted))).cast("int"))
+            .drop("known_part", "splits_before")
+            .repartitionById(self.partitions(wanted), "place")
+        )
+
+
+class Tally:
+    """Exact counts of the values of a column, taken while its rows pass on to something else.
+
+    Spark's sketch of the most frequent values is exact while it holds all of them; ``counts``
+    is None if there were too many, or if the counts do not add up to all rows.
+    """
+
+    MOST = 10_000
+
+    def __init__(self, value: Column) -> None:
+        self.value, self.seen = value, Observation()
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        sketch = F.call_function("approx_top_k", self.value, F.lit(self.MOST), F.lit(10 * self.MOST))
+        return rows.observe(self.seen, sketch.alias("top"), F.count(self.value).alias("all"))
+
+    def counts(self) -> dict[str, int] | None:
+        got = self.seen.get
+        found = {row["item"]: row["count"] for row in got["top"] or [] if row["item"] is not None}
+        return found if len(found) < self.MOST and sum(found.values()) == got["all"] else None
+
+
+#: Files whose names are sent to every executor at once: some 15 MB of paths.
+FILES_AT_ONCE = 100_000
+
+
 def split_in_file_order(
-    lines: DataFrame, partitions: int | None = None, carried: DataFrame | None = None
+    lines: DataFrame, partitions: int, carried: DataFrame, order: SplitOrder | None = None
 ) -> DataFrame:
     """``split_by_month`` for writing: partitions and rows follow the order of the files.
 
-    Ranges over (file, split) already keep a split in one task, so the window needs no second
-    shuffle. Month comes first in the final sort because the writer groups by it; within a
-    month the line order stays.
+    With an ``order`` the exchange needs no sample of the lines; without one it is by range.
+    Either keeps a split in one task, so the window needs no second shuffle. Month comes first
+    in the final sort because the writer groups by it; within a month the line order stays.
     """
-    keys = ["file_name", "split"]
     spread = lines_with_carry(lines, carried)
-    ranged = (
-        spread.repartitionByRange(partitions, *keys) if partitions
-        else spread.repartitionByRange(*keys)
-    )
-    return fill_months(ranged).sortWithinPartitions("month", "file_name", "split", "line_id")
+    keys = ["file_name", "split"]
+    if order is None:
+        filled = fill_months(spread.repartitionByRange(partitions, *keys))
+    else:
+        filled = fill_months(order.arrange(spread, partitions), ["place"])
+    return filled.sortWithinPartitions("month", *keys, "line_id")
 
 
 def split_counts(lines_by_month: DataFrame) -> DataFrame:
@@ -140,14 +189,17 @@ def split_counts(lines_by_month: DataFrame) -> DataFrame:
 def split_sums(
     lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES, digest: Digest | None = None
 ) -> DataFrame:
-    """One row per split: line count, first position, and how many of its lines that stand
-    among the first ``check_lines`` of the scan task start like a log line.
+    """One row per split: line count, bytes with line ends, first position, and how many of its
+    lines that stand among the first ``check_lines`` of the scan task start like a log line.
 
     With a ``digest`` there are also sums of line hashes for a fingerprint.
     """
     position = _position(F.col("line_id"))
     counted = (position < check_lines) & starts_like_log_line(F.col("value"))
-    measures = {"lines": F.count("*"), "first": F.min(position), "starts": F.count_if(counted)}
+    measures = {
+        "lines": F.count("*"), "bytes": F.sum(F.octet_length("value") + F.lit(1)),
+        "first": F.min(position), "starts": F.count_if(counted),
+    }
     if digest is not None:
         measures |= _split_sums(digest)
     return lines.groupBy("file_name", "split").agg(
@@ -156,57 +208,64 @@ def split_sums(
 
 
 def place_splits(sums: DataFrame) -> DataFrame:
-    """Add the number of lines in the file before each split."""
-    none = F.lit(0).cast("bigint")
-    lines_before = F.coalesce("within", none) + F.coalesce("across", none)
-    return (
-        _earlier_in_file(sums, F.sum("lines"), F.sum, "lines")
-        .withColumn("lines_before", lines_before).drop("within", "across")
-    )
+    """Add the number of lines in the file before each split, and in the whole file."""
+    whole = Window.partitionBy("file_name")
+    before = F.coalesce(F.sum("lines").over(_splits_before()), F.lit(0).cast("bigint"))
+    return sums.withColumn("lines_before", before).withColumn("all_lines", F.sum("lines").over(whole))
 
 
 def files_from_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
-    """file_name, line_count, fingerprint where there are sums, and starts.
+    """file_name, line_count, size_bytes, fingerprint where there are sums, and starts.
 
     ``starts`` is the number of valid lines among the first ``check_lines`` of the file if the
     splits tell it, which they do when the first split was alone in its scan task from the
-    start on and holds all of these lines; else it is null.
+    start on and holds all of these lines; else it is null. The first split travels through
+    the aggregate as a struct, so nothing is joined back.
     """
-    head = F.col("lines_before") == 0
-    told = head & (F.col("first") == 0) & ((F.col("lines") >= check_lines) | (F.col("lines") == F.col("all_lines")))
-    totals = {"line_count": F.sum("lines"), "starts": F.max(F.when(told, F.col("starts")))}
+    head = F.max(F.when(F.col("lines_before") == 0, F.struct("first", "lines", "starts")))
+    totals = {"line_count": F.sum("lines"), "size_bytes": F.sum("bytes"), "head": head}
     if "placed" in splits.columns:
         totals["fingerprint"] = _fingerprint()
-    all_lines = splits.groupBy("file_name").agg(F.sum("lines").alias("all_lines"))
-    return splits.join(all_lines, "file_name").groupBy("file_name").agg(
-        *(total.alias(name) for name, total in totals.items()))
+    files = splits.groupBy("file_name").agg(*(total.alias(name) for name, total in totals.items()))
+    whole = (F.col("head.lines") >= check_lines) | (F.col("head.lines") == F.col("line_count"))
+    told = (F.col("head.first") == 0) & whole
+    return files.withColumn("starts", F.when(told, F.col("head.starts"))).drop("head")
 
 
-def head_starts(
-    lines: DataFrame, splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES
-) -> DataFrame:
-    """``starts`` by numbering the lines of the splits that hold the first ``check_lines``."""
-    heads = splits.filter(F.col("lines_before") < check_lines).select("file_name", "split", "lines_before")
+def _head_lines(lines: DataFrame, splits: DataFrame, check_lines: int, *extra: str) -> DataFrame:
+    """The first ``check_lines`` lines of every file, from the splits that hold them."""
+    heads = splits.filter(F.col("lines_before") < check_lines).select(
+        "file_name", "split", "lines_before", *extra)
     in_split = F.row_number().over(Window.partitionBy("file_name", "split").orderBy("line_id"))
     return (
         lines.join(heads, ["file_name", "split"])
         .withColumn("line_no", F.col("lines_before") + in_split)
         .filter(F.col("line_no") <= check_lines)
-        .groupBy("file_name")
-        .agg(F.count_if(starts_like_log_line(F.col("value"))).alias("starts"))
     )
 
 
+def head_starts(
+    lines: DataFrame, splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES
+) -> DataFrame:
+    """``starts`` by numbering the lines of the splits that hold the first ``check_lines``."""
+    return _head_lines(lines, splits, check_lines).groupBy("file_name").agg(
+        F.count_if(starts_like_log_line(F.col("value"))).alias("starts"))
+
+
 def valid_share(check_lines: int = FORMAT_CHECK_LINES) -> Column:
     return F.col("starts") / F.least(F.col("line_count"), F.lit(check_lines))
 
 
 def inspect_files(lines: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
-    """Line count, and the share of the first ``check_lines`` lines that start like a log line."""
-    splits = place_splits(split_sums(lines, check_lines))
-    counts = files_from_splits(splits, check_lines).drop("starts")
-    return counts.join(head_starts(lines, splits, check_lines), "file_name").select(
-        "file_name", "line_count", valid_share(check_lines).alias("valid_share"))
+    """Line count, size, and the share of the first ``check_lines`` lines that start like a
+    log line. The lines are read twice: for the splits, and the splits at the head again."""
+    splits = place_splits(split_sums(lines, check_lines)).withColumn(
+        "size_bytes", F.sum("bytes").over(Window.partitionBy("file_name")))
+    heads = _head_lines(lines, splits, check_lines, "all_lines", "size_bytes")
+    return heads.groupBy("file_name").agg(
+        F.max("all_lines").alias("line_count"), F.max("size_bytes").alias("size_bytes"),
+        F.count_if(starts_like_log_line(F.col("value"))).alias("starts"),
+    ).select("file_name", "line_count", "size_bytes", valid_share(check_lines).alias("valid_share"))
 
 
 # Sums of line hashes for the fingerprint. Products stay below 2^62 because both factors are

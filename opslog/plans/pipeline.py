@@ -27,6 +27,7 @@ from opslog.fixed import (
     VERDICT_SCHEMA,
 )
 from opslog.functions import periods as P
+from opslog.functions.lines import dated_month
 from opslog.operators import clean as C
 from opslog.operators import features as H
 from opslog.operators import ingest as I
@@ -107,20 +108,28 @@ def split_log(lake: Lake, source: str, landing: str, partitions: int | None = No
     """Split unsplit log files into month folders of the landing area; returns lines by month.
 
     Only the months of the source are replaced. A month that already lies there as a plain
-    file is refused before anything is written.
+    file is refused before anything is written. The text is read twice: once for the month
+    carried into each split, with the set of months, and once for the write, which counts.
     """
     with lake.working() as keep, sized_for(lake.spark, L.text_bytes(lake.spark, source)):
         lines = L.read_log_lines(lake.spark, source)
-        carried = keep(S.carried_months(lines), "carried")
-        counts = keep(S.split_counts(S.split_by_month(lines, carried)), "counts")
-        months = {row["month"] for row in counts.collect()}
+        dates = S.Tally(dated_month(F.col("value")))
+        carried = keep(S.carried_months(dates.watch(lines)), "carried")
+        months = dates.counts()
+        if months is None:
+            counts = keep(S.split_counts(S.split_by_month(lines, carried)), "counts")
+            months = {row["month"]: row["line_count"] for row in counts.collect()}
         taken = sorted(
             m for m, one in _landed(lake, landing).items()
             if m in months and any(path.endswith(one.file_name) for path in one.paths))
         if taken:
             raise ValueError(f"already in the landing folder as a file: {', '.join(taken)}")
-        L.write_month_files(S.split_in_file_order(lines, partitions, carried), landing)
-        return lake.spark.createDataFrame(counts.collect(), counts.schema)
+        width = partitions or int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+        ordered = S.split_in_file_order(lines, width, carried, S.SplitOrder.of(carried))
+        written = S.Tally(F.col("month"))
+        L.write_month_files(written.watch(ordered), landing)
+        counted = written.counts() or months
+        return lake.spark.createDataFrame(sorted(counted.items()), "month string, line_count bigint")
 
 
 def _landed(lake: Lake, landing: str) -> dict[str, L.Landed]:
@@ -172,13 +181,15 @@ def inspect_landing(
 
 def ingest(
     lake: Lake, landing: str, months: Iterable[str], *, strict: bool = True,
-    check_lines: int = FORMAT_CHECK_LINES,
+    check_lines: int = FORMAT_CHECK_LINES, keep_order: bool = True,
 ) -> Runs:
     """Inspect, decide, copy accepted files to the raw zone, check the copy, record it.
 
     The months are claimed before the manifest is read, so of two runs that ingest a month at
     the same time one stores it and the other fails, or waits and finds it stored.
-    A month that lies in the landing folder both as a file and as a folder is refused.
+    A month that lies in the landing folder both as a file and as a folder is refused. Part
+    files of the raw zone and their lines are in the order of the landing lines; this takes
+    one exchange of the text, which ``keep_order=False`` saves.
     """
     wanted = _distinct(months, P.require_month)
     with audited(lake, "ingest", wanted) as runs, _claimed(lake, runs) as claims, lake.working() as keep:
@@ -194,7 +205,7 @@ def ingest(
         decisions = I.ingest_decisions(requests, inspected, lake.manifest()).collect()
         new = [d for d in decisions if d["status"] == "ingested"]
         stored = [there[d["month"]] for d in new]
-        incomplete = _store(lake, stored, splits) if new else set()
+        incomplete = _store(lake, stored, splits, keep_order) if new else set()
         whole = [d["month"] for d in new if d["month"] not in incomplete]
         recorded = set(_still_held(lake, claims, runs, whole))
         if recorded:
@@ -224,14 +235,24 @@ def _splits(lake: Lake, landed: Sequence[L.Landed], check_lines: int) -> DataFra
     return S.place_splits(S.split_sums(lines, check_lines, S.line_digest))
 
 
-def _store(lake: Lake, landed: Sequence[L.Landed], splits: DataFrame) -> set[str]:
+def _store(
+    lake: Lake, landed: Sequence[L.Landed], splits: DataFrame, keep_order: bool = True
+) -> set[str]:
     """Copy the months' lines to the raw zone; returns the months whose copy differs.
 
     The copy is read back and compared with the sums of the inspection.
     """
     month = P.month_of_landing_name(F.col("file_name")).alias("month")
-    lake.write_raw(_landing_lines(lake, landed).select("value", month))
+    lines = _landing_lines(lake, landed).select("*", month)
     months = [one.month for one in landed]
+    placed = splits.filter(F.col("file_name").isin([one.file_name for one in landed]))
+    with sized_for(lake.spark, sum(one.size_bytes for one in landed)):
+        if keep_order and (order := S.SplitOrder.of(placed)) is not None:
+            width = int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+            lines = order.arrange(lines, width).sortWithinPartitions("month", "split", "line_id")
+        elif keep_order:
+            lines = lines.repartitionByRange("month", "split").sortWithinPartitions("month", "split", "line_id")
+        lake.write_raw(lines)
     given = S.content_by_file(splits).select(month, "lines", "low", "high")
     stored = S.content_by_month(lake.raw_copied(months))
     same = {row["month"] for row in given.intersect(stored).collect()}

@@ -17,6 +17,7 @@ from opslog.operators import publish as D
 from opslog.operators import quality as Q
 from opslog.operators import reports as R
 from opslog.operators import split as S
+from opslog.operators import verdicts as V
 from opslog.operators.replicate import replicate_lines
 from opslog.plans import table_lines as B
 
@@ -163,6 +164,36 @@ def quarters_ready(spark, sf_dir):
     return months.select("month", P.ready_quarter(F.col("month"), last).alias("quarter"))
 
 
+def quarter_gaps(spark, sf_dir):
+    """What keeps the quarters of the data from being complete, from the gate of every month.
+
+    Each month has load 'a' with the verdict of the gate; no load in the Junes of even years;
+    a later unchecked load 'b' in February; and in October a load 'b' that passed, after which
+    a late failure of 'a' came in. The data is said to run from 1995-02 to 2001-07.
+    """
+    gate = quality_gate(spark, sf_dir).select("month", "status", "message")
+    month = F.col("month")
+    verdict = F.when(F.col("status") == "success", "passed").otherwise("failed")
+
+    def row(load: str, status, message, sequence: int):
+        status = F.lit(status) if isinstance(status, str) else status
+        return F.struct(F.lit(load).alias("load_id"), status.alias("status"),
+                        message.alias("message"), F.lit(sequence).cast("bigint").alias("sequence"))
+
+    nothing = F.lit(None).cast("string")
+    first = [row("a", "pending", nothing, 1), row("a", verdict, F.col("message"), 2)]
+    rows = (
+        F.when(month.endswith("-06") & (F.substring(month, 1, 4).cast("int") % 2 == 0), F.array())
+        .when(month.endswith("-02"), F.array(*first, row("b", "pending", nothing, 3)))
+        .when(month.endswith("-10"), F.array(*first, row("b", "pending", nothing, 3), row(
+            "a", "failed", F.lit("too late"), 4), row("b", "passed", nothing, 5)))
+        .otherwise(F.array(*first))
+    )
+    verdicts = gate.select("month", F.inline(rows))
+    quarters = gate.select(P.quarter_of(month).alias("quarter")).distinct()
+    return V.quarter_gaps(quarters, V.current_verdicts(verdicts), "1995-02", "2001-07")
+
+
 def quarter_events(spark, sf_dir):
     months = P.month_names(QUARTER)
     return _order_events(spark, sf_dir).filter(F.col("month").isin(months))
@@ -225,7 +256,7 @@ def split_counts(spark, sf_dir):
 
 
 def inspect_files(spark, sf_dir):
-    return S.inspect_files(_landing(spark, sf_dir), CHECK_LINES)
+    return S.inspect_files(_landing(spark, sf_dir), CHECK_LINES).drop("size_bytes")
 
 
 def _md5_digest(value, seed: int):
@@ -255,9 +286,9 @@ def ingest_decisions(spark, sf_dir):
     requests = I.requests_for(files.select("file_name").distinct()).select(
         F.explode(F.array(month, F.replace(month, F.lit("-"), F.lit("/")), later)).alias("month")
     )
-    sums = B.file_checksums(files)
-    inspected = S.inspect_files(files, CHECK_LINES).join(sums.drop("lines"), "file_name")
-    return I.ingest_decisions(requests, inspected, B.manifest_of(sums))
+    inspected = S.inspect_files(files, CHECK_LINES)
+    inspected = inspected.withColumn("sha256", B.checksum(F.col("line_count"), F.col("size_bytes")))
+    return I.ingest_decisions(requests, inspected, B.manifest_rows(files))
 
 
 # ---- reports ------------------------------------------------------------
@@ -318,7 +349,7 @@ def quarters(spark, sf_dir):
 
 
 def latest_quarter(spark, sf_dir):
-    return R.latest_quarter(_order_features(spark, sf_dir))
+    return R.newest_of(_order_features(spark, sf_dir))
 
 
 def midplane_ranking(spark, sf_dir):
@@ -344,7 +375,7 @@ def midplane_kpis(spark, sf_dir):
 _REGISTERED: tuple[Query, ...] = (
     parse_lines, clean, clean_months, location_parts, mask_pii, log_template, message_templates,
     rows_per_month, quality_gate,
-    quarter_of, months_of_quarter, period_checks, quarters_ready, quarter_events,
+    quarter_of, months_of_quarter, period_checks, quarters_ready, quarter_gaps, quarter_events,
     hourly_features, quarterly_features, alert_next_hour, feature_violations,
     deliver, split_by_month, split_counts, inspect_files, file_fingerprints, landing_status, ingest_decisions,
     manifest_kpis, manifest_violations, feature_kpis, pipeline_kpis, audit_rows, audit_violations,

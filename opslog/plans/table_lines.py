@@ -130,8 +130,13 @@ def file_checksums(files: DataFrame) -> DataFrame:
         F.count("*").alias("lines"),
         F.sum(F.octet_length("value") + F.lit(1)).alias("size_bytes"),
     )
-    text = F.concat_ws(":", "file_name", _text("lines"), _text("size_bytes"))
-    return sizes.select("file_name", "lines", "size_bytes", F.sha2(text, 256).alias("sha256"))
+    sha = checksum(F.col("lines"), F.col("size_bytes"))
+    return sizes.select("file_name", "lines", "size_bytes", sha.alias("sha256"))
+
+
+def checksum(lines: Column, size_bytes: Column) -> Column:
+    text = F.concat_ws(":", F.col("file_name"), lines.cast("string"), size_bytes.cast("string"))
+    return F.sha2(text, 256)
 
 
 def manifest_rows(files: DataFrame) -> DataFrame:

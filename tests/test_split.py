@@ -2,10 +2,12 @@ import random
 import re
 
 import pytest
-from conftest import plan_of
+from conftest import SF_DIR, plan_of
+from pyspark.sql import functions as F
 
 from opslog.operators import split as S
 from opslog.plans.pipeline import split_log
+from opslog.plans.registry import QUERIES
 from opslog.sources import log_files as L
 from opslog.sources.lake import Lake
 
@@ -39,8 +41,7 @@ def small_splits(setting, size=200):
 
 
 @pytest.mark.parametrize("dated, seed", [(0.5, 1), (0.02, 2), (0.98, 3), (0.0, 4)])
-def test_split_equals_a_sequential_reader(spark, setting, monkeypatch, tmp_path, dated, seed):
-    monkeypatch.setattr(S, "BLOCK_BYTES", 700)
+def test_split_equals_a_sequential_reader(spark, setting, tmp_path, dated, seed):
     lines = [*junk_log(1500, seed, dated), "end"]
     (tmp_path / "whole.log").write_text("\n".join(lines), newline="\n")
     small_splits(setting)
@@ -97,8 +98,7 @@ def test_written_months_keep_the_line_order(spark, setting, tmp_path):
         assert text == "".join(v + "\n" for v in values)
 
 
-def test_numbered_splits_are_carried_over_blocks(spark, monkeypatch):
-    monkeypatch.setattr(S, "SPLITS_PER_BLOCK", 3)
+def test_numbered_splits_are_carried_over_files(spark):
     lines = [*junk_log(400, 12, 0.05), "end"]
     rows = [("a", n // 4, n, line) for n, line in enumerate(lines)]
     frame = spark.createDataFrame(rows, "file_name string, split long, line_id long, value string")
@@ -117,18 +117,88 @@ def test_files_are_carried_separately(spark):
                    ("b.log", 5, "2005-07"), ("b.log", 7, "2005-07")}
 
 
-def test_writing_shuffles_the_lines_once(spark):
-    frame = spark.range(10).selectExpr("'a' file_name", "id split", "id line_id", "'x' value")
-    plan = plan_of(S.split_in_file_order(frame, 4))
-    assert plan.count("Exchange rangepartitioning") == 1
-    # Other exchanges carry one row per split or per block of splits.
-    assert "Window [last(own" in plan[:plan.index("Exchange")]
+def in_order(spark, path, carried=None):
+    frame = L.read_log_lines(spark, str(path))
+    carried = S.carried_months(frame) if carried is None else carried
+    return S.split_in_file_order(frame, 3, carried, S.SplitOrder.of(carried))
+
+
+def test_writing_shuffles_the_lines_once_and_samples_nothing(spark, setting, tmp_path):
+    (tmp_path / "a.log").write_text("\n".join(junk_log(300, 1)) + "\n")
+    small_splits(setting, 1000)
+    carried = S.carried_months(L.read_log_lines(spark, str(tmp_path / "a.log")))
+    carried.write.parquet(str(tmp_path / "carried"))
+    plan = plan_of(in_order(spark, tmp_path / "a.log", spark.read.parquet(str(tmp_path / "carried"))))
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 1 and "rangepartitioning" not in plan
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+    assert plan.count("FileScan text") == 1
+    by_range = plan_of(S.split_in_file_order(spark.range(9).selectExpr("'a' file_name", "id split", "id line_id", "'x' value"), 4, spark.range(9).selectExpr("'a' file_name", "id split", "'2000-01' month")))
+    assert by_range.count("Exchange rangepartitioning") == 1 and by_range.count("Exchange") == 1
+
+
+def test_text_is_read_twice_by_a_split(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.log").write_text("\n".join(junk_log(300, 1)) + "\n")
+    jobs = []
+    for name in ("carried_months", "split_in_file_order"):
+        work = getattr(S, name)
+        monkeypatch.setattr(S, name, lambda *a, work=work: jobs.append(out := work(*a)) or out)
+    split_log(Lake(spark, str(tmp_path / "lake")), str(tmp_path / "a.log"), str(tmp_path / "landing"))
+    assert [plan_of(job).count("FileScan text") for job in jobs] == [1, 1]
+
+
+def test_places_follow_files_and_splits(spark, setting, tmp_path):
+    """Several files, several splits a partition, heads without a month: all in order."""
+    small_splits(setting, 300)
+    everything = []
+    for k, name in enumerate(("b.log", "a.log", "c.log", "d.log")):
+        lines = ["head", *junk_log(90 * k, 20 + k, 0.3), "end"]
+        (tmp_path / name).write_text("\n".join(lines) + "\n", newline="\n")
+        everything.append((name, lines))
+    rows = in_order(spark, tmp_path).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in rows}) == 3
+    order = {}
+    for r in sorted(rows, key=lambda r: r.task):  # a stable sort: rows of a task stay in their order
+        order.setdefault((r.month, r.file_name.split("/")[-1]), []).append(r.value)
+    for name, lines in everything:
+        for month, values in sequential(lines).items():
+            assert order[month, name] == values
+    tasks = {}
+    for r in rows:
+        tasks.setdefault(r.file_name, set()).add(r.task)
+    ranges = [(min(t), max(t)) for _, t in sorted(tasks.items())]
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_tally_counts_exactly_or_says_so(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("cast(id % 13 as string) m", "if(id % 5 = 0, null, cast(id % 7 as string)) n")
+    for column in ("m", "n"):
+        tally = S.Tally(F.col(column))
+        tally.watch(rows.repartition(3)).write.format("noop").mode("overwrite").save()
+        want = {r[0]: r[1] for r in rows.where(f"{column} is not null").groupBy(column).count().collect()}
+        assert tally.counts() == want
+    monkeypatch.setattr(S.Tally, "MOST", 13)
+    tally = S.Tally(F.col("m"))
+    tally.watch(rows).write.format("noop").mode("overwrite").save()
+    assert tally.counts() is None
+
+
+def test_inspection_reads_each_line_twice_at_most(spark):
+    queries = {"inspect_files": 2, "file_fingerprints": 1, "ingest_decisions": 4, "split_by_month": 2, "split_counts": 2}
+    for name, most in queries.items():
+        assert plan_of(QUERIES[name](spark, SF_DIR)).count("FileScan") <= most, name
+
+
+def test_latest_quarter_is_computed_once(spark):
+    frame = QUERIES["latest_quarter"](spark, SF_DIR)
+    frame.collect()
+    execution = frame._jdf.queryExecution()
+    shown = spark._jvm.PythonSQLUtils.explainString(execution, "formatted")
+    assert "ReusedExchange" in shown and execution.executedPlan().toString().split("== Initial")[0].count("FileScan") <= 1
 
 
 # ---- inspection ----------------------------------------------------------
 
-def test_line_counts_and_first_lines_over_many_splits(spark, setting, monkeypatch, tmp_path):
-    monkeypatch.setattr(S, "BLOCK_BYTES", 1000)
+def test_line_counts_and_first_lines_over_many_splits(spark, setting, tmp_path):
     files = {"BGL_2005-06.log": list(junk_log(900, 6, 0.7)), "BGL_2005-07.log": list(junk_log(90, 7, 0.3))}
     for name, lines in files.items():
         (tmp_path / name).write_text("\n".join(lines) + "\n", newline="\n")
@@ -148,8 +218,7 @@ def fingerprints(spark, folder):
     return {r.file_name.split("/")[-1]: r.fingerprint for r in files.collect()}
 
 
-def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, monkeypatch, tmp_path):
-    monkeypatch.setattr(S, "BLOCK_BYTES", 5000)
+def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, tmp_path):
     lines = list(junk_log(800, 8))
     swapped = lines[:100] + [lines[101], lines[100]] + lines[102:]
     far = [lines[700], *lines[1:700], lines[0], *lines[701:]]
@@ -165,8 +234,7 @@ def test_fingerprint_sees_content_and_order_but_not_splits(spark, setting, monke
         assert fingerprints(spark, tmp_path) == whole
 
 
-def test_the_first_scan_tells_the_first_lines(spark, setting, monkeypatch, tmp_path):
-    monkeypatch.setattr(S, "BLOCK_BYTES", 5000)
+def test_the_first_scan_tells_the_first_lines(spark, setting, tmp_path):
     lines = list(junk_log(500, 9, 0.7))
     (tmp_path / "BGL_2005-06.log").write_text("\n".join(lines) + "\n", newline="\n")
     for size, told in ((10_000_000, True), (4000, True), (300, False)):
