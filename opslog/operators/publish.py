@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.fixed import FEATURE_COLUMNS
@@ -27,6 +27,20 @@ def visible_features(loads: DataFrame, published: DataFrame) -> DataFrame:
     return loads.join(current_loads(published), ["quarter", "load_id"]).select(*FEATURE_COLUMNS)
 
 
+def superseded_loads(published: DataFrame) -> DataFrame:
+    """quarter, load_id, superseded_at of the loads that were visible once and are not now.
+
+    A load is superseded when the next publish row of its quarter came; one that was published
+    several times, by the last of them. A window holds the publish rows of one quarter.
+    """
+    following = F.lead("published_at").over(
+        Window.partitionBy("quarter").orderBy("published_at", "load_id"))
+    ended = published.withColumn("ended", following).groupBy("quarter", "load_id").agg(
+        F.max("ended").alias("superseded_at"))
+    return ended.join(current_loads(published), ["quarter", "load_id"], "left_anti").select(
+        "quarter", "load_id", "superseded_at")
+
+
 def unused_loads(loads: DataFrame, published: DataFrame) -> DataFrame:
     """Loads that no reader can see any more, for an administrator to remove."""
     return (

@@ -215,7 +215,7 @@ def place_splits(sums: DataFrame) -> DataFrame:
 
 
 def files_from_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES) -> DataFrame:
-    """file_name, line_count, size_bytes, fingerprint where there are sums, and starts.
+    """file_name, line_count, fingerprint where there are sums, and starts.
 
     ``starts`` is the number of valid lines among the first ``check_lines`` of the file if the
     splits tell it, which they do when the first split was alone in its scan task from the
@@ -223,7 +223,7 @@ def files_from_splits(splits: DataFrame, check_lines: int = FORMAT_CHECK_LINES)
     the aggregate as a struct, so nothing is joined back.
     """
     head = F.max(F.when(F.col("lines_before") == 0, F.struct("first", "lines", "starts")))
-    totals = {"line_count": F.sum("lines"), "size_bytes": F.sum("bytes"), "head": head}
+    totals = {"line_count": F.sum("lines"), "head": head}
     if "placed" in splits.columns:
         totals["fingerprint"] = _fingerprint()
     files = splits.groupBy("file_name").agg(*(total.alias(name) for name, total in totals.items()))

@@ -38,6 +38,7 @@ from opslog.operators import verdicts as V
 from opslog.operators.replicate import replicate_lines
 from opslog.plans.audit import StepRun, audited, raise_failures, succeeded
 from opslog.session import BYTES_PER_SHUFFLE_TASK, sized_for
+from opslog.sources import files
 from opslog.sources import log_files as L
 from opslog.sources.claims import Claim
 from opslog.sources.lake import Lake
@@ -472,6 +473,32 @@ def backfill(
 
 # ---- upkeep --------------------------------------------------------------
 
+def remove_old_loads(lake: Lake, grace_seconds: float = 7 * 24 * 3600) -> list[tuple[str, str]]:
+    """Remove the folders of loads that nobody can still be reading; returns (quarter, load_id).
+
+    A load goes when it was superseded longer than the grace time ago, or was never published
+    and its folder is that old. No row is read: the publish log and the listing of the folders
+    tell everything. Each quarter is claimed, so no delivery is on its way, and the log is
+    read again under the claim. Quarters that another run holds are left for the next time.
+    """
+    removed = []
+    quarters = sorted({quarter for quarter, _ in lake.load_folders()} - {"none"})
+    with lake.claims.hold(quarters, lake.claim_seconds) as held:
+        published = lake.published()
+        current = {(r["quarter"], r["load_id"]) for r in D.current_loads(published).collect()}
+        ended = {
+            (r["quarter"], r["load_id"]): r["superseded_at"].timestamp()
+            for r in D.superseded_loads(published).collect() if r["superseded_at"] is not None}
+        for load, folder in sorted(lake.load_folders().items()):
+            if load[0] not in held or load in current:
+                continue
+            since = max(ended.get(load, 0.0), folder.modified)
+            if time.time() - since >= grace_seconds and lake.claims.is_held(held[load[0]]):
+                files.remove(lake.spark, folder.path)
+                removed.append(load)
+    return removed
+
+
 #: Tables that grow by one file with every step.
 LOGS = {
     "ops/ingested_files": MANIFEST_SCHEMA, "ops/pipeline_runs": AUDIT_SCHEMA,

@@ -23,6 +23,7 @@ from opslog.fixed import (
     column_names,
 )
 from opslog.operators.publish import visible_features
+from opslog.operators.reports import latest_quarter
 from opslog.sources import files
 from opslog.sources.claims import Claims
 
@@ -123,6 +124,20 @@ class Lake:
         """What readers see: the newest published load of every quarter."""
         return visible_features(self.loads(), self.published())
 
+    def latest_quarter(self) -> DataFrame:
+        """The newest published quarter; the publish log tells which, and only it is read."""
+        return latest_quarter(self.features(), self.published())
+
+    def load_folders(self) -> dict[tuple[str, str], files.Entry]:
+        """The folder of every (quarter, load_id), from listings alone."""
+        found, root = {}, self.path("serving/midplane_hourly")
+        for quarter in files.entries(self.spark, root):
+            if quarter.name.startswith("quarter="):
+                for load in files.entries(self.spark, quarter.path):
+                    if load.name.startswith("load_id="):
+                        found[quarter.name.removeprefix("quarter="), load.name.removeprefix("load_id=")] = load
+        return found
+
     def create_views(self) -> None:
         """Temporary views for SQL users, under the names of the serving tables.
 

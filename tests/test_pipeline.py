@@ -228,6 +228,56 @@ def test_delivering_again_gives_the_same_table(quarter):
     assert [r.quarter for r in unused] == ["2005Q3"] and unused[0].load_id != "second"
 
 
+def test_old_loads_are_removed_after_their_grace_time(quarter):
+    lake, _, _ = quarter
+    P.deliver_quarters(lake, ["2005Q2", "2005Q3"], load_id="old", last_month="2005-09")
+    reader = lake.features()
+    P.deliver_quarters(lake, ["2005Q3"], load_id="new")
+    lake.add_load(D.delivery_rows(lake.curated(["2005Q2"]), "never"))
+    before = table(lake.features())
+    assert P.remove_old_loads(lake, 3600) == [] and table(reader) == before  # an open reader goes on
+    with lake.claims.hold(["2005Q2"], 60):
+        assert {q for q, _ in P.remove_old_loads(lake, 0)} == {"2005Q3"}
+    assert ("2005Q2", "never") in P.remove_old_loads(lake, 0)
+    assert {load for load in lake.load_folders() if load[0] != "none"} == {("2005Q2", "old"), ("2005Q3", "new")}
+    assert table(lake.features()) == before and D.unused_loads(lake.loads(), lake.published()).isEmpty()
+
+
+def test_superseded_loads_follow_the_publish_log(spark):
+    rows = [("2005Q1", "a", 1, 1), ("2005Q1", "b", 1, 2), ("2005Q1", "a", 1, 3), ("2005Q1", "c", 1, 9), ("2005Q2", "a", 1, 4)]
+    log = spark.createDataFrame(rows, "quarter string, load_id string, row_count bigint, published_at int")
+    assert sorted(map(tuple, D.superseded_loads(log).collect())) == [("2005Q1", "a", 9), ("2005Q1", "b", 3)]
+
+
+def test_the_latest_quarter_comes_from_the_publish_log(quarter):
+    lake, _, _ = quarter
+    assert table(lake.latest_quarter()) == table(lake.features().filter("quarter = '2005Q3'")) != []
+    plan = lake.latest_quarter()._jdf.queryExecution().executedPlan().toString()
+    assert "(quarter" in plan.split("PartitionFilters: [")[1].split("]")[0] and "Subquery" in plan
+
+
+def test_the_raw_zone_keeps_the_line_order(spark, tmp_path, setting):
+    """Read by file name and row, the copy is the landing file, for files and part files."""
+    lake, landing = make_place(spark, tmp_path)
+    (landing / "month=2006-01").mkdir()
+    lines = list(month_lines("2006-01", 500))
+    for n in range(4):
+        (landing / "month=2006-01" / f"part-{n:05d}.txt").write_text("\n".join(lines[n * 125:n * 125 + 125]) + "\n")
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        setting(f"spark.sql.files.{key}", "5000")
+    setting("spark.sql.files.minPartitionNum", "1")
+    setting("spark.sql.shuffle.partitions", "16")
+    P.ingest(lake, str(landing), ["2005-06", "2005-07", "2006-01"])
+    wanted = {"2006-01": lines, "2005-07": (landing / "BGL_2005-07.log").read_text().splitlines()}
+    for month, values in wanted.items():
+        parts = sorted((tmp_path / "lake" / "raw" / f"month={month}").glob("part-*"))
+        assert len(parts) > 1
+        assert "".join(p.read_text() for p in parts) == "\n".join(values) + "\n"
+    loose = Lake(spark, str(tmp_path / "loose"))
+    P.ingest(loose, str(landing), ["2005-06"], keep_order=False)
+    assert loose.raw(["2005-06"]).count() == 300
+
+
 def test_an_unpublished_load_is_invisible(quarter):
     lake, _, _ = quarter
     before = table(lake.features())
