@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -42,6 +42,14 @@ def tasks_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
 
 
+def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with every column but ``used`` under a neutral name, and the columns that give
+    the first names and order back: extra columns then clash with nothing an operator adds."""
+    neutral = {c: c if c in used else f"extra_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in neutral.items()))
+    return renamed, [F.col(n).alias(c) for c, n in neutral.items()]
+
+
 def spans(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges whose sizes add up to ``limit`` or hold one larger item."""
     start = total = 0

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import small, spans
+from opslog.llm.common import set_aside, small, spans
 from opslog.llm.words import BATCH_CHARS, shingles, words
 
 SHINGLE = 5
@@ -250,4 +250,5 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, settings: Settings =
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the documents that hold a test item."""
-    return find_leaks(docs, benchmark, settings).where(F.size("leaks") == 0).drop("leaks")
+    plain, back = set_aside(docs, "text")
+    return find_leaks(plain, benchmark, settings).where(F.size("leaks") == 0).select(*back)

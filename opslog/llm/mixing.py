@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import small, spans
+from opslog.llm.common import set_aside, small, spans
 from opslog.llm.words import BATCH_CHARS, words
 
 TOPICS = 8
@@ -143,4 +143,5 @@ def mix_documents(docs: DataFrame, targets: Mapping[str, Mapping] | None = None)
 
 def sample_mix(docs: DataFrame, targets: Mapping[str, Mapping] | None = None) -> DataFrame:
     """The sampled documents, columns unchanged."""
-    return with_mix(docs, targets).where("mix_kept").select(*docs.columns)
+    plain, back = set_aside(docs, "doc_id", "text", "source", "lang")
+    return with_mix(plain, targets).where("mix_kept").select(*back)

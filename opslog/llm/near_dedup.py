@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import components, small, spans, stored, tasks_for
+from opslog.llm.common import components, set_aside, small, spans, stored, tasks_for
 from opslog.llm.words import BATCH_CHARS, STEP, mix, powers, shingles, words
 
 
@@ -514,13 +514,14 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> Da
 
     Rows that repeat the same doc_id and text count as one; rows without a doc_id stay.
     """
+    plain, back = set_aside(docs, "doc_id", "text")
     gone = (
-        duplicate_classes(docs, settings).where("class_id != doc_id")
+        duplicate_classes(plain, settings).where("class_id != doc_id")
         .select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw")).distinct()
     )
-    body = F.xxhash64(docs["text"])
-    left = docs.join(gone, (docs["doc_id"] == F.col("_id")) & (body == F.col("_raw")), "left_anti")
-    if _repeated(docs.select("doc_id", F.xxhash64("text").alias("raw"))).isEmpty():
-        return left
-    whole = left.where("doc_id is not null").withColumn("_raw", F.xxhash64("text"))
-    return whole.dropDuplicates(["doc_id", "_raw"]).drop("_raw").union(left.where("doc_id is null"))
+    body = F.xxhash64(plain["text"])
+    left = plain.join(gone, (plain["doc_id"] == F.col("_id")) & (body == F.col("_raw")), "left_anti")
+    if not _repeated(plain.select("doc_id", F.xxhash64("text").alias("raw"))).isEmpty():
+        whole = left.where("doc_id is not null").withColumn("_raw", F.xxhash64("text"))
+        left = whole.dropDuplicates(["doc_id", "_raw"]).drop("_raw").union(left.where("doc_id is null"))
+    return left.select(*back)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import small, spans
+from opslog.llm.common import set_aside, small, spans
 from opslog.llm.words import BATCH_CHARS, characters, grams_of, words_of
 
 BITS = 20
@@ -202,4 +202,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
                threshold: float = 0.3) -> DataFrame:
     """``docs`` without the documents that score at least ``threshold``, columns unchanged."""
     model = train(docs, labels, settings)
-    return with_scores(docs, model).where(F.col("toxic_score") < threshold).drop("toxic_score")
+    plain, back = set_aside(docs, "doc_id", "text")
+    return with_scores(plain, model).where(F.col("toxic_score") < threshold).select(*back)

@@ -1,7 +1,8 @@
 import pytest
 
 #: Columns that clash with names the operators use inside.
-CLASHES = ("node", "raw", "size", "key", "shard", "score", "law", "tie", "n_tokens", "label_")
+CLASHES = ("node", "raw", "size", "key", "shard", "score", "law", "tie", "n_tokens", "label_", "s", "l", "t",
+           "mix_topic", "mix_tokens", "mix_kept", "leaks", "toxic_score", "_id", "_raw", "class_id", "parts", "seq")
 
 
 def documents(spark, rows, extra=False):

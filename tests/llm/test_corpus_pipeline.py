@@ -2,6 +2,7 @@ import pytest
 
 import corpus_pipeline
 from opslog.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.conftest import ODD, documents
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,6 +33,18 @@ def test_stages_take_no_rows(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_extra_columns(spark, stage):
+    plain, wide = documents(spark, ODD), documents(spark, ODD, extra=True)
+    wide = wide.withColumnRenamed("key", "a.b")
+    out = stage(spark, wide, SF)
+    same = stage(spark, plain, SF)
+    assert same.count() == out.count() > 0
+    if stage is not corpus_pipeline.sharding:
+        assert out.columns == wide.columns
+        assert {r["a.b"] for r in out.select("`a.b`").collect()} == {"x"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_queries_run(spark, name):
     df = QUERIES[name](spark, SF)
@@ -39,5 +52,5 @@ def test_registered_queries_run(spark, name):
 
 
 def test_every_operator_is_registered_once():
-    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLE_SQL) <= set(QUERIES)
