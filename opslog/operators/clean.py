@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +26,68 @@ def event_text(value: Column) -> Column:
     return L.leading_field(value, "event_ts_raw")
 
 
-def keep_valid_lines(raw: DataFrame) -> DataFrame:
+#: A line is hot with more than one part in so many of its month's lines, and more copies than
+#: a task would notice.
+HOT_PARTS = 2_000
+HOT_COPIES = 10_000
+
+
+@dataclass(frozen=True)
+class MonthTasks:
+    """How many tasks the lines of each month are dealt to, and the hashes of hot lines."""
+
+    tasks: Mapping[str, int]
+    hot: tuple[int, ...] = ()
+
+    def place(self, month: Column, value: Column) -> Column:
+        """The task of a line: those of a month follow each other, its line hash picks one."""
+        bases, before = {}, 0
+        for name, count in sorted(self.tasks.items()):
+            bases[name] = before
+            before += count
+        pairs = lambda numbers: F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair))
+        bucket = F.pmod(F.xxhash64(value), F.element_at(pairs(dict(self.tasks)), month))
+        return (F.element_at(pairs(bases), month) + bucket).cast("int")
+
+
+def count_lines(raw: DataFrame) -> DataFrame:
+    """month, count, and the hashes of its hot lines, from one pass without a shuffle of lines.
+
+    The hashes come from Spark's sketch of frequent values, which holds every value of more
+    than one part in ``HOT_PARTS``; a line that is not hot has at most that share or
+    ``HOT_COPIES`` copies in its task.
+    """
+    top = F.call_function("approx_top_k", F.xxhash64("value"), F.lit(HOT_PARTS), F.lit(5 * HOT_PARTS))
+    counted = raw.groupBy("month").agg(F.count("*").alias("count"), top.alias("top"))
+    often = F.filter("top", lambda t: t["count"] > F.greatest(F.col("count") / F.lit(HOT_PARTS), F.lit(HOT_COPIES)))
+    return counted.select("month", "count", F.transform(often, lambda t: t["item"]).alias("hot"))
+
+
+def keep_valid_lines(raw: DataFrame, spread: MonthTasks | None = None) -> DataFrame:
     """Distinct lines that match, have a possible time, and belong to their ``month``.
 
     Only the line itself goes through the shuffle of the distinct: the month is part of the
     line, and everything else is cut out of the line afterwards. Copies of one hot line are
     already merged before the shuffle.
+
+    With ``spread`` the lines are dealt to tasks of one month each, which serves the distinct
+    and a writer by month at once. Here lines are not merged before the shuffle, but hot lines
+    are: they have become distinct on the way, and join the others as one row each.
     """
     kept = raw
     for rule in _rules():
         kept = kept.filter(rule)
-    return kept.select("value").distinct()
+    if spread is None:
+        return kept.select("value").distinct()
+    lines = kept.select("month", "value")
+    if spread.hot:
+        is_hot = F.xxhash64("value").isin(list(spread.hot))
+        lines = lines.filter(~is_hot).unionByName(lines.filter(is_hot).distinct())
+    return (
+        lines.withColumn("place", spread.place(F.col("month"), F.col("value")))
+        .repartitionById(sum(spread.tasks.values()), "place")
+        .dropDuplicates(["place", "value"]).select("value")
+    )
 
 
 def _rules() -> list[Column]:
@@ -89,18 +143,13 @@ def to_events(lines: DataFrame) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame, *, gather_months: bool = False) -> DataFrame:
+def clean(raw: DataFrame, spread: MonthTasks | None = None) -> DataFrame:
     """``raw`` has ``value`` and ``month``.
 
-    ``gather_months`` is for writing many months at once: it brings the lines of a month
-    together, so that a writing task does not open a file in every month folder. The hint lets
-    AQE cut a big month into many tasks and join small ones.
+    ``spread`` is for writing many months at once: it names the months that are there and the
+    number of tasks for each, so that no writing task opens files of several months.
     """
-    lines = keep_valid_lines(raw)
-    if gather_months:
-        month = F.substring(event_text(F.col("value")), 1, 7)
-        lines = lines.select("value", month.alias("month")).hint("rebalance", F.col("month"))
-    return to_events(lines)
+    return to_events(keep_valid_lines(raw, spread))
 
 
 def rows_per_month(raw: DataFrame) -> DataFrame:

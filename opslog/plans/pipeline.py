@@ -274,7 +274,8 @@ def clean_months(lake: Lake, months: Iterable[str], *, strict: bool = True) -> R
     """
     wanted = _distinct(months, P.require_month)
     with audited(lake, "clean", wanted) as runs, _claimed(lake, runs) as claims:
-        rows_in = _counts(lake.raw(list(claims)), "month")
+        counted = {row["month"]: row for row in C.count_lines(lake.raw(list(claims))).collect()}
+        rows_in = {month: row["count"] for month, row in counted.items()}
         for month in claims:
             runs[month].rows_in = rows_in.get(month)
             if month not in rows_in:
@@ -284,7 +285,10 @@ def clean_months(lake: Lake, months: Iterable[str], *, strict: bool = True) -> R
             for month in present:
                 runs[month].load_id = uuid.uuid4().hex
             _log_verdicts(lake, [(m, runs[m].load_id, V.PENDING, None) for m in present])
-            events = C.clean(lake.raw(present), gather_months=len(present) > 1)
+            sizes = lake.month_bytes(present)
+            tasks = {m: max(1, -(-sizes.get(m, 0) // BYTES_PER_SHUFFLE_TASK)) for m in present}
+            hot = tuple(h for m in present for h in counted[m]["hot"] or ())
+            events = C.clean(lake.raw(present), C.MonthTasks(tasks, hot) if len(present) > 1 else None)
             with sized_for(lake.spark, lake.raw_bytes(present)):
                 lake.write_processed(events, present)
             rows_out = _counts(lake.processed(present), "month")

@@ -181,10 +181,13 @@ class Lake:
     def exists(self, path: str) -> bool:
         return files.exists(self.spark, path)
 
-    def raw_bytes(self, months: Sequence[str]) -> int:
+    def month_bytes(self, months: Sequence[str]) -> dict[str, int]:
         """Size of the stored months according to the manifest."""
         stored = self.manifest().filter(F.col("month").isin(list(months)))
-        return stored.agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
+        return {r["month"]: r["size"] for r in stored.groupBy("month").agg(F.sum("size_bytes").alias("size")).collect()}
+
+    def raw_bytes(self, months: Sequence[str]) -> int:
+        return sum(self.month_bytes(months).values())
 
     # ---- writing --------------------------------------------------------
 

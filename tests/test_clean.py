@@ -76,8 +76,10 @@ def test_messages_with_line_separators_do_not_match(spark):
 
 def test_all_months_in_one_job_equal_month_by_month(spark):
     lines = B.order_lines(spark, SF_DIR).cache()
-    together = C.clean(lines, gather_months=True).cache()
-    months = [r.month for r in lines.select("month").distinct().collect()]
+    counted = C.count_lines(lines).collect()
+    months = [r.month for r in counted]
+    spread = C.MonthTasks({m: 1 + i % 3 for i, m in enumerate(months)}, tuple(h for r in counted for h in r.hot))
+    together = C.clean(lines, spread).cache()
     for month in sorted(months)[:4]:
         alone = C.clean(lines.filter(F.col("month") == month))
         ours = together.filter(F.col("month") == month)
@@ -85,6 +87,30 @@ def test_all_months_in_one_job_equal_month_by_month(spark):
         assert alone.exceptAll(ours).count() == 0
 
 
+def test_lines_of_months_are_dealt_in_one_exchange(spark):
+    lines = B.order_lines(spark, SF_DIR)
+    spread = C.MonthTasks({"1996-02": 3, "1996-01": 2})
+    chosen = lines.filter(F.col("month").isin("1996-01", "1996-02"))
+    plan = plan_of(C.clean(chosen, spread))
+    assert plan.count("Exchange") == 1 == plan.count("Exchange shufflepartitionidpassthrough")
+    tasks = C.clean(chosen, spread).select("month", F.spark_partition_id().alias("task")).distinct().collect()
+    assert sorted(map(tuple, tasks)) == [("1996-01", 0), ("1996-01", 1), ("1996-02", 2), ("1996-02", 3), ("1996-02", 4)]
+    # A hot line takes a second, small exchange that merges its copies before they are dealt.
+    hot = plan_of(C.clean(chosen, C.MonthTasks(spread.tasks, (1, 2))))
+    assert hot.count("Exchange hashpartitioning") == 1 and hot.count("shufflepartitionidpassthrough") == 1
+
+
+def test_hot_lines_are_found_and_kept_once(spark, monkeypatch):
+    monkeypatch.setattr(C, "HOT_COPIES", 4_000)
+    usual = spark.range(30_000).select(F.replace(F.lit(LINE), F.lit("675872"), F.lpad("id", 6, "0")).alias("value"))
+    often = spark.range(5_000).select(F.lit(LINE).alias("value"))
+    raw = usual.unionByName(often).withColumn("month", F.lit("2005-06"))
+    counted = C.count_lines(raw).first()
+    assert counted["count"] == 35_000 and counted.hot == [spark.range(1).select(F.xxhash64(F.lit(LINE))).first()[0]]
+    for hot in ((), tuple(counted.hot)):
+        assert C.clean(raw, C.MonthTasks({"2005-06": 4}, hot)).count() == 30_001
+
+
 def test_a_hot_line_is_merged_before_the_shuffle(spark):
     raw = spark.range(200_000).select(F.lit(LINE).alias("value"), F.lit("2005-06").alias("month"))
     assert C.clean(raw).count() == 1
