@@ -189,6 +189,7 @@ def test_inspection_reads_each_line_twice_at_most(spark):
 
 
 def test_latest_quarter_is_computed_once(spark):
+    spark.catalog.clearCache()  # lines that another test has cached would be read instead
     frame = QUERIES["latest_quarter"](spark, SF_DIR)
     frame.collect()
     execution = frame._jdf.queryExecution()
