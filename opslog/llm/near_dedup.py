@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,11 +34,14 @@ class Settings:
     worth: int = 33
     crowd: int = 8
     leaders: int = 1_024
-    nearest: int = 3
-    block: int = 2_048
+    block: int = 1_024
+    block_words: int = 1_000_000
 
 
 ROWS_PER_TASK = 1_000_000
+TEXTS_PER_TASK = 10_000
+PAIRS_AT_ONCE = 50_000
+EDGES_PER_BATCH = 10_000
 
 
 def text_keys(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
@@ -126,22 +128,20 @@ class _Leaders:
         self.nodes: list[int] = []
         self.bytes = np.zeros((4, settings.sketches * settings.order), np.uint8)
 
-    def meet(self, small: np.ndarray) -> tuple[list[int], bool]:
-        """(the nearest leaders that are worth verifying, whether one stands for the text).
+    def meet(self, small: np.ndarray) -> tuple[int | None, bool]:
+        """(the nearest leader if it is worth verifying, whether one stands for the text).
 
         This only finds most links at little cost; the texts of a key that are then still in
-        different classes are all compared (:func:`_between`).
+        different classes are all compared (:func:`_owned`).
         """
         n = len(self.nodes)
         if not n:
-            return [], False
+            return None, False
         agree = (self.bytes[:n] == small).sum(1)
-        most = agree.max()
-        if most < self.settings.worth:
-            return [], False
-        inside = most >= self.settings.close or n >= self.settings.leaders
-        order = np.argsort(-agree, kind="stable")[:self.settings.nearest]
-        return [self.nodes[i] for i in order.tolist() if agree[i] >= self.settings.worth], bool(inside)
+        nearest = int(agree.argmax())
+        if agree[nearest] < self.settings.worth:
+            return None, False
+        return self.nodes[nearest], bool(agree[nearest] >= self.settings.close or n >= self.settings.leaders)
 
     def add(self, node: int, small: np.ndarray) -> None:
         if len(self.nodes) == len(self.bytes):
@@ -154,8 +154,8 @@ SKETCHED = "doc_id bigint, raw bigint, node bigint, n_words bigint, key bigint,
 
 
 def _sketch(settings: Settings):
-    """One row per text (doc_id, raw, node, n_words, small once per node of the task), per
-    sample (key, node, small), and per pair found inside the task (node, other).
+    """One row per text (doc_id, raw, node, n_words; small followed by all keys once per node
+    of the task), per sample (key, node, small), and per pair found inside the task (node, other).
 
     Equal texts of one task are sketched once. Once ``crowd`` texts of the task share a key,
     a further text that one of them stands for sends the pair, and its key without a sketch,
@@ -181,7 +181,8 @@ def _sketch(settings: Settings):
                     if ptr[i] == ptr[i + 1] or node in seen:
                         continue
                     seen.add(node)
-                    mine = small_of[a + i] = agreeing[i].tobytes()
+                    mine = agreeing[i].tobytes()
+                    small_of[a + i] = mine + keys[i].tobytes()
                     for key in rows[i]:
                         crowd = crowds.setdefault(key, [])
                         if len(crowd) < settings.crowd:
@@ -215,7 +216,7 @@ def _bucket_pairs(settings: Settings):
         key_now, leaders, waiting = None, None, None
         for batch in batches:
             keys, nodes, small = (batch[c].to_pylist() for c in ("key", "node", "small"))
-            out: dict[tuple[int, int], int] = {}
+            out: set[tuple[int, int]] = set()
             for key, node, raw in zip(keys, nodes, small, strict=True):
                 if key != key_now:
                     key_now, leaders, waiting = key, None, (node, raw)
@@ -225,72 +226,136 @@ def _bucket_pairs(settings: Settings):
                     leaders.add(waiting[0], np.frombuffer(waiting[1], np.uint8))
                 mine = np.frombuffer(raw, np.uint8)
                 near, inside = leaders.meet(mine)
-                for place, o in enumerate(near):
-                    pair = min(o, node), max(o, node)
-                    if o != node:
-                        out[pair] = min(place, out.get(pair, place))
+                if near is not None and near != node:
+                    out.add((min(near, node), max(near, node)))
                 if not inside:
                     leaders.add(node, mine)
             yield pa.record_batch([
-                pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64()),
-                pa.array(list(out.values()), pa.int32())], names=["a", "b", "place"])
+                pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
     return run
 
 
-PAIRS_PER_BATCH = 50_000
+def _grouped(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows that come sorted by their first three values, in lists of equal ones."""
+    group: list[tuple] = []
+    for row in rows:
+        if group and row[:3] != group[0][:3]:
+            yield group
+            group = []
+        group.append(row)
+    if group:
+        yield group
 
 
-def _between(settings: Settings):
-    """Rows come sorted by group. All pairs of texts of a group that are in different classes
-    and worth verifying; the place of a pair is its rank among those of one of the two texts.
-    A group is a key and two of its blocks, or one with itself.
+def _owned(rows: list[tuple], settings: Settings) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, other rows, agreement with them): the pairs of texts of one group to verify.
+
+    A group is a key and two of its blocks, or one with itself. Its pairs are those in
+    different classes and worth verifying whose first shared key it is, so each pair of texts
+    belongs to one group only.
     """
-    def pairs_of(rows: list[tuple]) -> tuple[list, list, list]:
-        left, right = rows[0][1:3]
-        block, node, of = (np.array([r[c] for r in rows]) for c in (3, 4, 5))
-        small = b"".join(r[6] for r in rows)
-        _, inverse, sizes = np.unique(of, return_inverse=True, return_counts=True)
-        # Small classes first: each text only meets the texts of the classes behind its own.
-        order = np.lexsort((of, sizes[inverse]))
-        block, node, of = block[order], node[order], of[order]
-        every = np.frombuffer(small, np.uint8).reshape(len(rows), -1)[order]
-        ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of))
-        a_out, b_out, place_out = [], [], []
-        for i, end in enumerate(np.repeat(ends, np.diff(ends, prepend=0)).tolist()):
-            if end == len(of):
-                break
-            agree = (every[end:] == every[i]).sum(1)
-            # Two texts of one block meet where it is compared with itself.
-            met = np.flatnonzero((agree >= settings.worth) & ((left == right) | (block[end:] != block[i])))
-            met = met[np.argsort(-agree[met], kind="stable")]
-            others = node[end + met]
-            a_out += np.minimum(others, node[i]).tolist()
-            b_out += np.maximum(others, node[i]).tolist()
-            place_out += range(len(met))
-        return a_out, b_out, place_out
+    key, left, right = rows[0][:3]
+    block, of = (np.array([r[c] for r in rows]) for c in (3, 5))
+    looks = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
+    _, inverse, sizes = np.unique(of, return_inverse=True, return_counts=True)
+    # Small classes first: each text only meets the texts of the classes behind its own.
+    order = np.lexsort((of, sizes[inverse]))
+    block, of, looks = block[order], of[order], looks[order]
+    every = looks[:, :settings.sketches * settings.order]
+    keys = np.ascontiguousarray(looks[:, settings.sketches * settings.order:]).view(np.int64)
+    ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of))
+    for i, end in enumerate(np.repeat(ends, np.diff(ends, prepend=0)).tolist()):
+        if end == len(of):
+            break
+        agree = (every[end:] == every[i]).sum(1)
+        # Two texts of one block meet where it is compared with itself.
+        met = np.flatnonzero((agree >= settings.worth) & ((left == right) | (block[end:] != block[i])))
+        if len(met):
+            met = met[keys[i][(keys[end + met] == keys[i]).argmax(1)] == key]
+        if len(met):
+            yield int(order[i]), order[end + met], agree[met]
+
+
+def _needed(settings: Settings):
+    """The rows of texts that belong to a pair to verify in their group, as they came."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = None
+
+        def read() -> Iterator[tuple]:
+            nonlocal schema
+            for batch in batches:
+                schema = batch.schema
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        out: list[tuple] = []
+        for rows in _grouped(read()):
+            met = np.zeros(len(rows), bool)
+            for i, others, _ in _owned(rows, settings):
+                met[i] = True
+                met[others] = True
+            out += [rows[i] for i in np.flatnonzero(met).tolist()]
+            if len(out) >= EDGES_PER_BATCH:
+                yield _as_batch(out, schema)
+                out = []
+        if out:
+            yield _as_batch(out, schema)
+    return run
+
+
+def _as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows whose last value is the word hashes of a text instead of the text."""
+    for batch in small(batches, 200):
+        *rest, texts = (c.to_pylist() for c in batch.columns)
+        for a, b in spans([len(t) for t in texts], BATCH_CHARS):
+            hashes, ptr = words(texts[a:b])
+            for i in range(a, b):
+                yield (*(c[i] for c in rest), hashes[ptr[i - a]:ptr[i - a + 1]].copy())
+
+
+def _bridges(settings: Settings):
+    """Rows come sorted by group, with their texts. Pairs of classes that verified pairs of a
+    group join, as a spanning forest: pairs are verified in falling agreement, and those whose
+    classes are joined by then are left out.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in itertools.chain(batches, [None]):
-            out: tuple[list, list, list] = ([], [], [])
-            more = zip(*(c.to_pylist() for c in batch.columns), strict=True) if batch is not None else [None]
-            for row in more:
-                if rows and (row is None or row[:3] != rows[0][:3]):
-                    for x, y in zip(out, pairs_of(rows), strict=True):
-                        x.extend(y)
-                    rows = []
-                    if len(out[0]) >= PAIRS_PER_BATCH:
-                        yield _pairs_batch(out)
-                        out = ([], [], [])
-                if row is not None:
-                    rows.append(row)
-            yield _pairs_batch(out)
+        a_out: list[int] = []
+        b_out: list[int] = []
+        for rows in _grouped(_hashed(batches)):
+            found = list(_owned(rows, settings))
+            if not found:
+                continue
+            one = np.repeat([i for i, _, _ in found], [len(o) for _, o, _ in found])
+            two = np.concatenate([o for _, o, _ in found])
+            order = np.argsort(-np.concatenate([g for _, _, g in found]), kind="stable")
+            of = np.array([r[5] for r in rows])
+            joined = of.copy()
+            bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for at in range(0, len(order), PAIRS_AT_ONCE):
+                part = order[at:at + PAIRS_AT_ONCE]
+                part = part[joined[one[part]] != joined[two[part]]]
+                for i, j in zip(one[part].tolist(), two[part].tolist(), strict=True):
+                    if joined[i] == joined[j] or not _alike(rows[i][-1], rows[j][-1], i, j, bags, settings):
+                        continue
+                    joined[joined == joined[j]] = joined[i]
+                    a_out.append(int(of[i])), b_out.append(int(of[j]))
+            if len(a_out) >= EDGES_PER_BATCH:
+                yield pa.record_batch([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+                a_out, b_out = [], []
+        yield pa.record_batch([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
     return run
 
 
-def _pairs_batch(out: tuple[list, list, list]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())],
-                           names=["a", "b", "place"])
+def _alike(a: np.ndarray, b: np.ndarray, i: int, j: int, bags: dict, settings: Settings) -> bool:
+    for words_of, place in ((a, i), (b, j)):
+        if place not in bags:
+            grams, _ = shingles(words_of, np.array([0, len(words_of)]), settings.k)
+            bags[place] = np.unique(grams, return_counts=True)
+    return (_multiset_bound(bags[i], bags[j]) >= settings.similarity
+            and aligned_similarity(a, b, settings.k, settings.similarity) >= settings.similarity)
 
 
 def _prefix_hashes(a: np.ndarray) -> np.ndarray:
@@ -360,12 +425,12 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, k: int = 5, least: float =
     return matched / (runs - matched)
 
 
-def _multiset_bound(a: np.ndarray, b: np.ndarray) -> float:
-    """Similarity of the bags of shingles; no alignment can exceed it."""
-    (va, ca), (vb, cb) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+def _multiset_bound(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Similarity of two bags of shingles (values, counts); no alignment can exceed it."""
+    (va, ca), (vb, cb) = a, b
     _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
     both = int(np.minimum(ca[ia], cb[ib]).sum())
-    return both / max(1, len(a) + len(b) - both)
+    return both / max(1, int(ca.sum()) + int(cb.sum()) - both)
 
 
 def _verify(settings: Settings):
@@ -379,7 +444,7 @@ def _verify(settings: Settings):
                 for i in range(s, e):
                     p = 2 * (i - s)
                     ga, gb = grams[g_ptr[p]:g_ptr[p + 1]], grams[g_ptr[p + 1]:g_ptr[p + 2]]
-                    if _multiset_bound(ga, gb) >= settings.similarity:
+                    if _multiset_bound(np.unique(ga, return_counts=True), np.unique(gb, return_counts=True)) >= settings.similarity:
                         keep[i] = aligned_similarity(
                             pair_words[ptr[p]:ptr[p + 1]], pair_words[ptr[p + 1]:ptr[p + 2]],
                             settings.k, settings.similarity) >= settings.similarity
@@ -399,9 +464,10 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     one run and only joins equal texts.
 
     A group of copies shrinks to one text before anything is compared, and a group of near
-    copies sends the leaders a few rows per task. Within a sample key a text first meets the leaders of the
-    key; then all texts that share a key and are still in different classes are compared, and
-    those worth it verified.
+    copies sends the leaders a few rows per task. Within a sample key a text first meets
+    the leaders of the key, and the pair with the nearest is verified. Then all texts that
+    share a key and are still in different classes are compared; those worth it are verified
+    where they meet, and only the classes they join go on: no table holds the pairs.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text").withColumn("raw", F.xxhash64("text"))
@@ -409,73 +475,43 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
     slim = found.where("n_words is not null").select("doc_id", "raw", "node", "n_words")
     heads = stored(
         slim.where("n_words > 0 and doc_id is not null").groupBy("node")
-        .agg(F.min(F.struct("doc_id", "raw")).alias("head")).select("node", "head.*"), "heads")
+        .agg(F.min(F.struct("doc_id", "raw", "n_words")).alias("head")).select("node", "head.*"), "heads")
     keyed = found.where("key is not null and small is not null").select("key", "node", "small")
     width = tasks_for(spark, keyed.count(), ROWS_PER_TASK)
     # A different order under each key, so that not the same texts lead everywhere.
     buckets = keyed.repartition(width, "key").sortWithinPartitions("key", F.xxhash64("node", "key"))
     pairs = stored(
-        buckets.mapInArrow(_bucket_pairs(settings), "a bigint, b bigint, place int").union(
-            found.where("other is not null").select(
-                F.least("node", "other"), F.greatest("node", "other"), F.lit(0)))
-        .where("a != b").groupBy("a", "b").agg(F.min("place").alias("place")), "pairs")
+        buckets.mapInArrow(_bucket_pairs(settings), "a bigint, b bigint").union(
+            found.where("other is not null").select(F.least("node", "other"), F.greatest("node", "other")))
+        .where("a != b").distinct(), "pairs")
     again = not _repeated(slim).isEmpty()
 
-    def bodies_of(some: DataFrame) -> DataFrame:
-        wanted = some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
-        bodies = heads.join(wanted, "node").join(rows, ["doc_id", "raw"]).select("node", "text")
+    def bodies_of(wanted: DataFrame) -> DataFrame:
+        bodies = heads.join(wanted.distinct(), "node").join(rows, ["doc_id", "raw"]).select("node", "text")
         return stored(bodies.dropDuplicates(["node"]) if again else bodies, "bodies")
 
-    def verified(some: DataFrame, bodies: DataFrame) -> DataFrame:
-        texts = (
-            some.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-            .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-        )
-        return stored(texts.select("a", "b", "left", "right").mapInArrow(
-            _verify(settings), "a bigint, b bigint"), "links")
-
-    def settled(some: DataFrame, bodies: DataFrame, classes: DataFrame) -> DataFrame:
-        """``classes`` joined by the links among ``some`` (a, b, place).
-
-        Pairs are verified place by place, four times as far each round; those that lie in
-        one class by then are left out, all others are verified.
-        """
-        reach = 1
-        while True:
-            apart = stored(
-                some.join(classes.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
-                .join(classes.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
-                .where("of_a != of_b").select("a", "b", "place", "of_a", "of_b"), "apart")
-            first = apart.agg(F.min("place")).first()[0]
-            if first is None:
-                return classes
-            reach = max(reach, first + 1)
-            now = apart.where(F.col("place") < reach)
-            # Only the classes that new links join are looked at again, not their members.
-            bridges = now.join(verified(now.select("a", "b"), bodies), ["a", "b"]).select(
-                F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-            merged = components(bridges).select(F.col("node").alias("before"), F.col("component").alias("after"))
-            classes = stored(
-                classes.withColumnRenamed("component", "before").join(merged, "before", "left")
-                .select("node", F.coalesce("after", "before").alias("component")), "classes")
-            some = apart.where(F.col("place") >= reach).select("a", "b", "place")
-            reach *= 4
-
-    # The nearest leaders first; of the others only pairs that can still join two classes.
-    bodies = bodies_of(pairs)
-    links = verified(pairs.where("place = 0").select("a", "b"), bodies)
+    # The nearest leaders first.
+    bodies = bodies_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+    texts = (
+        pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+        .join(bodies.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"))
+    links = stored(
+        texts.select("a", "b", "left", "right").mapInArrow(_verify(settings), "a bigint, b bigint"), "links")
     classes = stored(
-        heads.select("node").join(components(links), "node", "left")
-        .select("node", F.coalesce("component", "node").alias("component")), "classes")
-    classes = settled(pairs.where("place > 0"), bodies, classes)
+        heads.select("node", "n_words").join(components(links), "node", "left")
+        .select("node", "n_words", F.coalesce("component", "node").alias("component")), "classes")
     # Then all texts that share a key and are still in different classes.
-    tagged = stored(found.where("key is not null").select("key", "node").join(classes, "node"), "tagged")
+    tagged = stored(found.where("key is not null").select("key", "node").distinct().join(classes, "node"), "tagged")
     mixed = (
-        tagged.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .where("low < high").select("key", F.ceil(F.col("n") / settings.block).cast("int").alias("blocks")))
+        tagged.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+             F.sum("n_words").alias("n_words"))
+        .where("low < high")
+        .select("key", F.greatest(F.ceil(F.col("n") / settings.block), F.ceil(F.col("n_words") / settings.block_words))
+                .cast("int").alias("blocks")))
     looks = found.where("key is null and small is not null").select("node", "small")
     blocked = (
-        tagged.join(stored(mixed, "mixed"), "key").dropDuplicates(["key", "node"])
+        tagged.select("key", "node", "component").join(stored(mixed, "mixed"), "key")
         .join(looks.dropDuplicates(["node"]), "node")
         .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")))
     # A key with many texts is cut into blocks, and each pair of blocks is a group of its own.
@@ -483,14 +519,21 @@ def duplicate_classes(docs: DataFrame, settings: Settings = Settings()) -> DataF
         "key", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"),
         "block", "node", "component", "small")
     by = ["key", "left", "right"]
-    crossing = stored(
-        groups.repartition(width, *by).sortWithinPartitions(*by)
-        .mapInArrow(_between(settings), "a bigint, b bigint, place int")
-        .groupBy("a", "b").agg(F.min("place").alias("place"))
-        .join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "crossing")
-    if not crossing.isEmpty():
-        classes = settled(crossing, bodies_of(crossing), classes)
-    named = heads.select("node", "doc_id").join(classes, "node")
+    needed = stored(
+        groups.repartition(width, *by).sortWithinPartitions(*by).mapInArrow(_needed(settings), groups.schema), "needed")
+    count = needed.count()
+    if count:
+        with_text = needed.join(bodies_of(needed.select("node")), "node").select(*needed.columns, "text")
+        bridges = (
+            with_text.repartition(tasks_for(spark, count, TEXTS_PER_TASK), *by).sortWithinPartitions(*by)
+            .mapInArrow(_bridges(settings), "a bigint, b bigint"))
+        # Only the classes that new links join are looked at again, not their members.
+        merged = components(stored(bridges.distinct(), "bridges")).select(
+            F.col("node").alias("before"), F.col("component").alias("after"))
+        classes = stored(
+            classes.select("node", F.col("component").alias("before")).join(merged, "before", "left")
+            .select("node", F.coalesce("after", "before").alias("component")), "classes")
+    named = heads.select("node", "doc_id").join(classes.select("node", "component"), "node")
     names = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     ids = named.join(names, "component").select("node", "class_id")
     whole = slim.where("n_words > 0 and doc_id is not null").join(ids, "node").select("doc_id", "raw", "class_id")
