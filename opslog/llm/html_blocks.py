@@ -7,15 +7,21 @@ import re
 from dataclasses import dataclass
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
 
-#: Elements without content, and elements whose content is no text of the page.
+#: Elements without content, and elements whose content is no text of the page. Of these only
+#: scripts and styles run to the end of a page that does not close them; those that can lie
+#: within each other end at the first end tag, the others are open if the next one starts first.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript textarea title iframe svg math object canvas audio video".split())
+RAW = frozenset("script style template noscript textarea title iframe svg canvas audio video annotation annotation-xml".split())
+TO_THE_END = frozenset({"script", "style"})
+NESTED = frozenset({"svg", "template", "annotation-xml"})
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr br img".split())
+    "small span strike strong sub sup time tt u var wbr br img "
+    "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom msub msup "
+    "msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd".split())
 #: What an opening tag closes first, as browsers do.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
@@ -36,8 +42,10 @@ class Block:
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order: text between two block borders, white space as one space.
 
-    Comments, scripts, styles and hidden elements give no text. Broken markup is read as far
-    as it goes: a missing end tag ends with its parent, a stray end tag does nothing.
+    Comments, scripts, styles, elements for other readers (``noscript``, ``template`` and the
+    like) and hidden elements give no text; formulas are part of their block. Broken markup is
+    read as far as it goes: a missing end tag ends with its parent, a stray end tag does
+    nothing, and of the elements without text only an open script or style takes the rest.
     """
     page = page or ""
     out: list[Block] = []
@@ -46,6 +54,7 @@ def blocks(page: str | None) -> list[Block]:
     text: list[str] = []
     linked = [0, 0]
     hidden = 0
+    never_closed: set[str] = set()
 
     def flush() -> None:
         whole = " ".join("".join(text).split())
@@ -97,12 +106,15 @@ def blocks(page: str | None) -> list[Block]:
                 close(len(tags) - 1 - tags[::-1].index(tag))
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            self_closed = m.group(3).endswith("/") and tag in ("svg", "math", "iframe")
-            if end and not self_closed:
+            if m.group(3).endswith("/") and tag in ("svg", "iframe"):
+                continue
+            end = None if tag in never_closed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end is None:
+                never_closed.add(tag)
+                if tag in TO_THE_END:
+                    at = len(page)
+            elif tag in TO_THE_END | NESTED or not re.compile(rf"<{re.escape(tag)}[\s/>]", re.I).search(page, at, end.start()):
                 at = end.end()
-            elif not self_closed:
-                at = len(page)
             continue
         if tag == "br":
             text.append(" ")
@@ -125,9 +137,14 @@ def blocks(page: str | None) -> list[Block]:
             continue
         attributes = m.group(3)
         found: list[str] = []
-        for a, b, c in NAMES.findall(attributes):
-            found += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower())
-        if attributes and HIDDEN.search(attributes):
+        unseen = False
+        for name, a, b, c in ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), a or b or c
+            if name in ("class", "id", "role"):
+                found += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
+            unseen |= (name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true")
+                       or (name == "style" and UNSHOWN.search(value) is not None))
+        if unseen:
             found.append("\0hidden")
             hidden += 1
         tags.append(tag)

@@ -52,6 +52,42 @@ def test_hidden_and_raw_elements_say_nothing():
     assert [b.text for b in blocks(page)] == ["a", "g"]
 
 
+def test_only_attributes_hide():
+    page = ('<p title="a hidden gem in Rome">a</p><p data-note="display: none">b</p><p alt=\'aria-hidden="true"\'>c</p>'
+            '<p HIDDEN>d</p><p hidden="until-found">e</p><p aria-hidden=true>f</p><p style="color:red; display : NONE">g</p>'
+            '<p data-class="menu" class="Main storyText">h</p>')
+    found = blocks(page)
+    assert [b.text for b in found] == ["a", "b", "c", "h"]
+    assert found[-1].names == ("main", "story", "text")
+
+
+def test_formulas_and_objects_are_text():
+    page = ("<p>Let <math><semantics><msup><mi>x</mi><mn>2</mn></msup><annotation>x^2</annotation></semantics></math> be.</p>"
+            "<object data=f><p>Inside.</p></object>")
+    assert [b.text for b in blocks(page)] == ["Let x2 be.", "Inside."]
+
+
+def test_open_elements_without_text():
+    for tag in ("noscript", "iframe", "textarea", "video", "template", "svg"):
+        assert [b.text for b in blocks(f"<p>a</p><{tag}><p>b</p><p>c</p>")] == ["a", "b", "c"], tag
+    assert [b.text for b in blocks("<p>a</p><noscript><p>b</p><noscript>x</noscript><p>c</p>")] == ["a", "b", "c"]
+    assert [b.text for b in blocks("<p>a</p><svg><svg>x</svg><p>b</p>")] == ["a", "b"]
+    assert [b.text for b in blocks("<p>a</p><script>x<p>b</p>")] == ["a"]
+    assert len(blocks("<p>a</p><noscript>" * 20_000)) == 20_000
+
+
+def test_article_with_all_of_these():
+    page = """<html><body><nav><a href=/>Home</a> <a href=/b>More</a></nav><article><h1>A walk through the city</h1>
+<p title="a hidden gem in Rome">The first paragraph tells of a small square behind the market.</p>
+<p>The second has a formula, <math><mi>a</mi><mo>=</mo><mi>b</mi></math>, in the middle of a sentence.</p>
+<noscript><p>The third paragraph stands behind an element that nobody closed.</p></article>
+<footer>&copy; Us</footer></body></html>"""
+    assert main_text(page, default_model()).split("\n") == [
+        "A walk through the city", "The first paragraph tells of a small square behind the market.",
+        "The second has a formula, a=b, in the middle of a sentence.",
+        "The third paragraph stands behind an element that nobody closed."]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p></p>"), (3, "u", PAGE), (3, "u", PAGE),
             (4, "u", "<article>" + "<p>Some words in a row, and more.</p>" * 5000 + "</article>")]
