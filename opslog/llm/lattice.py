@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +19,39 @@ from opslog.llm.words import mix
 
 @dataclass(frozen=True)
 class Settings:
-    """At cosine 0.93 one table with 8 probed neighbours brings a pair together with
-    probability 0.94, so four tables miss about two pairs in 100,000."""
+    """A key is the product of ``blocks`` E8 points of a table; see :meth:`for_rows`.
+
+    There are as many tables as keep the chance that a pair exactly at the threshold meets in
+    none of them below ``miss``, by a trial on random pairs.
+    """
 
     cosine: float = 0.93
-    tables: int = 4
-    probes: int = 8
+    miss: float = 5e-5
+    blocks: int = 1
     scale: float = 1.6
+    probes: int = 8
     block: int = 512
     seed: int = 8
 
-
+    def for_rows(self, rows: int) -> Settings:
+        """Finer cells for more vectors of one label, so that cells do not fill up with them.
+
+        Up to ``ONE_BLOCK`` one E8 point is a key, then two, from ``TWO_BLOCKS`` on three. The
+        lattice gets finer with the power 0.055 of the rows: a random pair of vectors shares a
+        cell of b blocks with a chance that falls with about the 7 b-th power of the fineness,
+        that is with the power 0.75 of the rows or more.
+        """
+        if rows <= ONE_BLOCK:
+            return self
+        three = rows > TWO_BLOCKS
+        finer = (rows / (TWO_BLOCKS if three else ONE_BLOCK)) ** 0.055
+        return replace(self, blocks=3 if three else 2, scale=(1.1 if three else 1.25) * finer, probes=16)
+
+
+ONE_BLOCK = 4_000
+TWO_BLOCKS = 4_000_000
+TRIAL_PAIRS = 4_000
+MOST_TABLES = 16
 ROWS_PER_TASK = 100_000
 
 
@@ -61,23 +84,73 @@ def nearest_e8(y: np.ndarray) -> np.ndarray:
     return np.where((((y - a) ** 2).sum(1) <= ((y - b) ** 2).sum(1))[:, None], a, b)
 
 
-def cells(units: np.ndarray, settings: Settings) -> np.ndarray:
-    """Hashes of the cells of each vector: (vectors, tables, 1 + probes), the own cell first."""
-    n, dim = units.shape
+@cache
+def _bases(dim: int, tables: int, settings: Settings) -> np.ndarray:
+    """Orthonormal directions: (tables, blocks, dim, 8). Vectors of fewer than 8 parts for each
+    block have fewer blocks."""
+    blocks = max(1, min(settings.blocks, dim // 8))
     rng = np.random.default_rng([settings.seed, dim])
-    out = np.empty((n, settings.tables, 1 + settings.probes), np.uint64)
-    salt = rng.integers(1, 2**63, 8).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    for t in range(settings.tables):
-        raw = rng.normal(size=(dim, 8))
+    out = []
+    for _ in range(tables):
+        raw = rng.normal(size=(dim, 8 * blocks))
         basis = np.linalg.qr(raw)[0] if dim >= 8 else np.linalg.qr(raw.T)[0].T
+        out.append(basis.reshape(dim, blocks, 8).transpose(1, 0, 2))
+    return np.array(out)
+
+
+def _keys(units: np.ndarray, bases: np.ndarray, table: int, settings: Settings) -> np.ndarray:
+    """Hashes of the own cell and the ``probes`` nearest other ones: (vectors, 1 + probes).
+
+    A neighbouring cell has a neighbouring lattice point in some of its blocks; the nearest ones
+    have the least sum of what each point is farther away than the own one.
+    """
+    n, dim = units.shape
+    salt = np.random.default_rng([settings.seed, 1]).integers(1, 2**63, (len(bases), 8))
+    salt = salt.astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    keys, far = np.zeros((n, 1), np.uint64), np.zeros((n, 1))
+    for basis, odd in zip(bases, salt, strict=True):
         y = units @ basis * (np.sqrt(max(dim, 8) / 8) * settings.scale)
         home = nearest_e8(y)
         gap = 2 - 2 * (y - home) @ NEIGHBOURS.T
         near = np.argpartition(gap, settings.probes, axis=1)[:, :settings.probes]
         points = np.concatenate([home[:, None], home[:, None] + NEIGHBOURS[near]], axis=1)
-        doubled = (2 * points).astype(np.int64).astype(np.uint64)
-        out[:, t] = mix((doubled * salt).sum(2, dtype=np.uint64) + np.uint64(t + 1))
-    return out
+        hashed = ((2 * points).astype(np.int64).astype(np.uint64) * odd).sum(2, dtype=np.uint64)
+        more = np.concatenate([np.zeros((n, 1)), np.take_along_axis(gap, near, 1)], axis=1)
+        keys = mix(keys[:, :, None] + hashed[:, None]).reshape(n, -1)
+        far = (far[:, :, None] + more[:, None]).reshape(n, -1)
+        if keys.shape[1] > 1 + settings.probes:
+            # The own cell is the first, at no distance, and stays first.
+            best = np.argpartition(far[:, 1:], settings.probes, axis=1)[:, :settings.probes] + 1
+            best = np.concatenate([np.zeros((n, 1), np.int64), best], axis=1)
+            keys, far = np.take_along_axis(keys, best, 1), np.take_along_axis(far, best, 1)
+    return mix(keys + np.uint64(table + 1))
+
+
+@cache
+def tables_for(dim: int, settings: Settings) -> int:
+    """Number of tables that keeps a miss at the threshold below ``settings.miss``."""
+    rng = np.random.default_rng([settings.seed, dim, 2])
+    x, z = rng.normal(size=(2, TRIAL_PAIRS, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    size = np.linalg.norm(z, axis=1, keepdims=True)
+    z = np.divide(z, size, out=np.zeros_like(z), where=size > 1e-9)
+    y = settings.cosine * x + np.sqrt(1 - settings.cosine**2) * z
+    trials, met = 4, 0
+    each = TRIAL_PAIRS // trials
+    for t, bases in enumerate(_bases(dim, trials, settings)):
+        some = slice(t * each, (t + 1) * each)
+        a, b = _keys(x[some], bases, t, settings), _keys(y[some], bases, t, settings)
+        met += int((a[:, :, None] == b[:, None]).any((1, 2)).sum())
+    missed = (TRIAL_PAIRS - met + 1) / (TRIAL_PAIRS + 1)
+    needed = np.ceil(np.log(settings.miss) / np.log(missed)) if missed < 1 else MOST_TABLES
+    return int(np.clip(needed, 2, MOST_TABLES))
+
+
+def cells(units: np.ndarray, settings: Settings) -> np.ndarray:
+    """Hashes of the cells of each vector: (vectors, tables, 1 + probes), the own cell first."""
+    bases = _bases(units.shape[1], tables_for(units.shape[1], settings), settings)
+    return np.stack([_keys(units, b, t, settings) for t, b in enumerate(bases)], axis=1)
 
 
 def _units(raw: list[bytes], dtype: type) -> np.ndarray:
@@ -116,8 +189,7 @@ def _deal(settings: Settings, dtype: type):
                     yield pa.record_batch([
                         batch["label"].take(at), pa.array(np.full(len(at), size, np.int32)),
                         pa.array(found.reshape(-1).view(np.int64)), batch["node"].take(at),
-                        batch["copies"].take(at), batch["raw"].take(at),
-                    ], names=["label", "size", "cell", "node", "copies", "raw"])
+                    ], names=["label", "size", "cell", "node"])
     return run
 
 
@@ -129,17 +201,14 @@ def _linked(units: np.ndarray, i: np.ndarray, j: np.ndarray, cosine: float) -> t
 def _first_meeting(own: np.ndarray, i: np.ndarray, j: np.ndarray, cell: np.uint64) -> np.ndarray:
     """Whether ``cell`` is the smallest cell in which each pair meets.
 
-    A pair meets in a cell that is the own cell of one and the own or a probed cell of the
-    other. Every meeting sees both vectors whole, so all of them agree on the smallest.
+    A pair meets in every cell that both are dealt to. Every meeting sees both vectors whole,
+    so all of them agree on the smallest.
     """
     out = np.empty(len(i), bool)
-    for a in range(0, len(i), 20_000):
-        x, y = own[i[a:a + 20_000]], own[j[a:a + 20_000]]
-        least = np.full(len(x), 2**64 - 1, np.uint64)
-        for home, cells_of in ((x[:, :, :1], y), (y[:, :, :1], x)):
-            met = (cells_of == home).any(2)
-            least = np.minimum(least, np.where(met, home[:, :, 0], np.uint64(2**64 - 1)).min(1))
-        out[a:a + 20_000] = least == cell
+    for a in range(0, len(i), 5_000):
+        x, y = own[i[a:a + 5_000]], own[j[a:a + 5_000]]
+        met = (x[:, :, :, None] == y[:, :, None]).any(3)
+        out[a:a + 5_000] = np.where(met, x, np.uint64(2**64 - 1)).min((1, 2)) == cell
     return out
 
 
@@ -204,7 +273,8 @@ def similar_vectors(embeddings: DataFrame, settings: Settings = Settings()) -> D
     Repeated rows are vectors of their own. Extra columns are ignored.
 
     Equal vectors are one node with a number of copies. A node goes to its own cell and its
-    nearest neighbour cells in each table; what meets in a cell is compared exactly. A cell
+    nearest neighbour cells in each table, as fine as the largest label asks for
+    (:meth:`Settings.for_rows`); what meets in a cell is compared exactly. A cell
     with more than ``block`` vectors is cut into blocks, and each pair of blocks is a group
     of its own, so no group holds more than two blocks. Groups return one row per vector,
     not per pair: a link counts where the pair meets first.
@@ -221,17 +291,18 @@ def similar_vectors(embeddings: DataFrame, settings: Settings = Settings()) -> D
     nodes = stored(
         packed.where("node is not null").groupBy("label", "node", "raw")
         .agg(F.count("*").alias("copies"), F.min("vec_id").alias("first")), "nodes")
-    width = tasks_for(spark, nodes.count() * settings.tables * (1 + settings.probes), ROWS_PER_TASK)
-    dealt = nodes.select("label", "node", "copies", "raw").mapInArrow(
-        _deal(settings, dtype),
-        f"label {label}, size int, cell bigint, node bigint, copies bigint, raw binary")
+    sizes = nodes.groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
+    settings = settings.for_rows(sizes[0] or 0)
+    width = tasks_for(spark, (sizes[1] or 0) * 2 * (1 + settings.probes), ROWS_PER_TASK)
+    dealt = stored(nodes.select("label", "node", "raw").mapInArrow(
+        _deal(settings, dtype), f"label {label}, size int, cell bigint, node bigint"), "cells")
     key = ["label", "size", "cell"]
-    full = (
-        dealt.groupBy(*key).count().where(F.col("count") > settings.block)
-        .withColumn("blocks", F.ceil(F.col("count") / settings.block).cast("int")).drop("count"))
-    full = stored(full, "full_cells")
-    blocked = dealt.join(full, key, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+    shared = (
+        dealt.groupBy(*key).count().where("count > 1")
+        .select(*key, F.ceil(F.col("count") / settings.block).cast("int").alias("blocks")))
+    # Only what meets somebody takes its vector along.
+    met_by = dealt.join(shared, key).join(nodes.select("node", "copies", "raw"), "node")
+    blocked = met_by.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     groups = blocked.select("*", other).select(
         *key, F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),

@@ -1,6 +1,6 @@
 import numpy as np
 
-from opslog.llm.lattice import NEIGHBOURS, Settings, cells, nearest_e8, similar_vectors
+from opslog.llm.lattice import NEIGHBOURS, Settings, cells, nearest_e8, similar_vectors, tables_for
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -83,13 +83,39 @@ def test_nearest_point_is_a_lattice_point_and_nearest():
     assert len(NEIGHBOURS) == 240 and np.allclose((NEIGHBOURS ** 2).sum(1), 2)
 
 
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(2)
-    x = rng.normal(size=(1500, 64))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    z = rng.normal(size=x.shape)
-    z -= (z * x).sum(1, keepdims=True) * x
-    z /= np.linalg.norm(z, axis=1, keepdims=True)
-    a, b = cells(x, Settings()), cells(0.93 * x + np.sqrt(1 - 0.93**2) * z, Settings())
-    met = (a[:, :, :1] == b).any((1, 2)) | (b[:, :, :1] == a).any((1, 2))
-    assert met.mean() > 0.998
+    for dim, rows in ((64, 100), (24, 100), (64, 8_000), (24, 8_000), (64, 200_000), (128, 8_000_000)):
+        settings = Settings().for_rows(rows)
+        x = unit(rng.normal(size=(1500, dim)))
+        z = rng.normal(size=x.shape)
+        z = unit(z - (z * x).sum(1, keepdims=True) * x)
+        a, b = cells(x, settings), cells(0.93 * x + np.sqrt(1 - 0.93**2) * z, settings)
+        met = (a[:, :, :, None] == b[:, :, None]).any((1, 2, 3))
+        assert met.mean() > 0.998, (dim, rows, met.mean(), tables_for(dim, settings))
+
+
+def test_comparisons_of_a_vector_grow_slower_than_the_vectors():
+    rng = np.random.default_rng(3)
+    per = []
+    for n in (8_000, 32_000):
+        x = unit(rng.normal(size=(n, 64)))
+        settings = Settings().for_rows(n)
+        found = np.concatenate([cells(x[a:a + 4_000], settings) for a in range(0, n, 4_000)])
+        _, members = np.unique(found, return_counts=True)
+        per.append((members.astype(float) * (members - 1)).sum() / 2 / n)
+    assert per[1] < 2 * per[0] and per[0] < 150, per
+
+
+def test_finer_cells_find_the_same_links(spark):
+    """Product keys of two points against brute force."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(30, 32))
+    rows = [(i, [float(np.float32(v)) for v in base[i % 30] + rng.normal(size=32) * 0.2], i % 2) for i in range(300)]
+    fine = Settings().for_rows(10_000)
+    assert fine.blocks == 2
+    assert result(spark.createDataFrame(rows, SCHEMA), blocks=2, scale=fine.scale, probes=16) == brute(rows)
