@@ -9,6 +9,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -53,6 +54,10 @@ TWO_BLOCKS = 4_000_000
 TRIAL_PAIRS = 4_000
 MOST_TABLES = 16
 ROWS_PER_TASK = 100_000
+#: Linked pairs of groups that are settled at once; a group is never cut.
+SETTLED_PAIRS = 100_000
+#: Rows of a group that is compared together with others of its kind.
+FEW = 8
 
 
 def _minimal_vectors() -> np.ndarray:
@@ -164,10 +169,16 @@ def _pack(dtype: type):
     """Vector as bytes, or null where it is null, zero or has a null or non-finite part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for v in batch["embedding"].to_pylist():
-                x = None if not v or None in v else np.array(v, dtype)
-                out.append(x.tobytes() if x is not None and np.isfinite(x).all() and x.any() else None)
+            out = np.full(len(batch), None, object)
+            sizes = pc.fill_null(pc.list_value_length(batch["embedding"]), 0).to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes[sizes > 0]).tolist():
+                rows = np.flatnonzero(sizes == size)
+                parts = pc.list_flatten(batch["embedding"].take(pa.array(rows)))
+                parts = pc.cast(parts, pa.from_numpy_dtype(dtype), safe=False)
+                # A null part counts as not finite.
+                x = pc.fill_null(parts, float("nan")).to_numpy(zero_copy_only=False).reshape(-1, size)
+                good = np.isfinite(x).all(1) & x.any(1)
+                out[rows[good]] = [v.tobytes() for v in x[good]]
             yield pa.record_batch([batch["vec_id"], batch["label"], pa.array(out, pa.binary())],
                                   names=["vec_id", "label", "raw"])
     return run
@@ -193,44 +204,98 @@ def _deal(settings: Settings, dtype: type):
     return run
 
 
+def _reach(units: np.ndarray, p: np.ndarray, q: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether each pair of rows reaches the threshold, in double precision."""
+    return np.einsum("ij,ij->i", units[p], units[q]) >= cosine
+
+
 def _linked(units: np.ndarray, i: np.ndarray, j: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (in i, in j) whose cosine reaches the threshold, in double precision."""
-    return np.nonzero(units[i] @ units[j].T >= cosine)
+    """Pairs of the rows ``i`` with the rows ``j`` that reach the threshold. The last bits of a
+    matrix product vary with its shape, so :func:`_reach` decides the pairs next to the threshold
+    and a pair has one answer in all groups."""
+    found = units[i] @ units[j].T
+    p, q = np.nonzero(found >= cosine - 1e-12)
+    near = np.flatnonzero(found[p, q] < cosine + 1e-12)
+    p, q = i[p], j[q]
+    return (p, q) if not len(near) else tuple(
+        np.delete(x, near[~_reach(units, p[near], q[near], cosine)]) for x in (p, q))
+
 
+def _numbered(rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct ones of ``rows``, all below ``n``, in order; the number of each row among them)."""
+    seen = np.zeros(n, bool)
+    seen[rows] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[rows]
 
-def _first_meeting(own: np.ndarray, i: np.ndarray, j: np.ndarray, cell: np.uint64) -> np.ndarray:
-    """Whether ``cell`` is the smallest cell in which each pair meets.
+
+def _first_meeting(units: np.ndarray, i: np.ndarray, j: np.ndarray, cell: np.ndarray, settings: Settings) -> np.ndarray:
+    """Whether its ``cell`` is where each pair of rows meets first: in the first table in which
+    it meets, the smallest cell.
 
     A pair meets in every cell that both are dealt to. Every meeting sees both vectors whole,
-    so all of them agree on the smallest.
+    so all of them agree on the first. Nearly all pairs meet in the first table; the cells of
+    the others are found only for the rest.
     """
-    out = np.empty(len(i), bool)
-    for a in range(0, len(i), 5_000):
-        x, y = own[i[a:a + 5_000]], own[j[a:a + 5_000]]
-        met = (x[:, :, :, None] == y[:, :, None]).any(3)
-        out[a:a + 5_000] = np.where(met, x, np.uint64(2**64 - 1)).min((1, 2)) == cell
+    dim = units.shape[1]
+    out, left = np.zeros(len(i), bool), np.arange(len(i))
+    for table, bases in enumerate(_bases(dim, tables_for(dim, settings), settings)):
+        used, pairs = _numbered(np.stack([i[left], j[left]], 1), len(units))
+        own = np.sort(np.concatenate([
+            _keys(units[used[a:a + 2048]], bases, table, settings) for a in range(0, len(used), 2048)]), axis=1)
+        apart = []
+        for a in range(0, len(left), 8_000):
+            some = left[a:a + 8_000]
+            both = own[pairs[a:a + 8_000]].reshape(len(some), -1)
+            both.sort(axis=1)
+            same = both[:, 1:] == both[:, :-1]
+            at = same.argmax(1)
+            row = np.arange(len(some))
+            met = same[row, at]
+            out[some] = met & (both[row, at] == cell[some])
+            apart.append(some[~met])
+        left = np.concatenate(apart)
+        if not len(left):
+            break
     return out
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows in tables that cut no group of equal ``key``, and where their groups begin."""
+    rest: list[pa.RecordBatch] = []
+    for batch in itertools.chain(batches, [None]):
+        rows = pa.Table.from_batches([*rest, *([] if batch is None else [batch])]) if rest or batch is not None else None
+        if rows is None or not len(rows):
+            continue
+        rows = rows.combine_chunks()
+        new = np.zeros(len(rows), bool)
+        new[0] = True
+        for name in key:
+            code = pc.dictionary_encode(rows[name]).combine_chunks().indices.to_numpy()
+            new[1:] |= code[1:] != code[:-1]
+        begins = np.flatnonzero(new)
+        if batch is not None:
+            # The last group may go on in the next batch.
+            rest = rows.slice(begins[-1]).to_batches()
+            rows, begins = rows.slice(0, begins[-1]), begins[:-1]
+        if len(begins):
+            yield rows, begins
+
+
 def _meet(settings: Settings, dtype: type):
     """One group per (label, size, cell, left block, right block), rows sorted by that key.
 
     Sends one row per vector with links in the group: the number of links first met here,
-    and the smallest node its links reach here.
+    and the smallest node its links reach here. Groups are small and many, so the cells of
+    linked vectors are found for many groups at once, and once for each vector among them;
+    groups of a few rows are compared together, at each distance between two rows.
     """
-    def group(rows: list[tuple]) -> tuple[list, list, list]:
-        _, _, cell, left, right, _, _, _, _ = rows[0]
-        block = np.array([r[5] for r in rows])
-        nodes = np.array([r[6] for r in rows])
-        copies = np.array([r[7] for r in rows])
-        units = _units([r[8] for r in rows], dtype)
-        i, j = np.flatnonzero(block == left), np.flatnonzero(block == right)
-        p, q = _linked(units, i, j, settings.cosine)
-        p, q = i[p], j[q]
-        if left == right:
-            p, q = p[p < q], q[p < q]
-        if not len(p):
-            return [], [], []
+    def settle(rows: dict[str, np.ndarray], units: np.ndarray, p: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+        """``p`` and ``q`` are the rows of linked pairs; no pair lies in two groups."""
+        cell = rows["cell"][p].view(np.uint64)
+        used, pairs = _numbered(np.stack([p, q]), len(units))
+        (p, q), nodes, copies = pairs, rows["node"][used], rows["copies"][used]
+        _, at, vector = np.unique(nodes, return_index=True, return_inverse=True)
+        mine = _first_meeting(units[used[at]], vector[p], vector[q], cell, settings)
         least = nodes.copy()
         while True:
             before = least.copy()
@@ -238,29 +303,49 @@ def _meet(settings: Settings, dtype: type):
             np.minimum.at(least, q, least[p])
             if (before == least).all():
                 break
-        used = np.union1d(p, q)
-        place = np.zeros(len(rows), np.int64)
-        place[used] = np.arange(len(used))
-        own = cells(units[used], settings)
-        mine = _first_meeting(own, place[p], place[q], np.int64(cell).view(np.uint64))
-        count = (np.bincount(p[mine], copies[q[mine]], len(rows))
-                 + np.bincount(q[mine], copies[p[mine]], len(rows))).astype(np.int64)
-        return nodes[used].tolist(), count[used].tolist(), least[used].tolist()
+        count = (np.bincount(p[mine], copies[q[mine]], len(used))
+                 + np.bincount(q[mine], copies[p[mine]], len(used))).astype(np.int64)
+        return pa.record_batch([pa.array(nodes), pa.array(count), pa.array(least)], names=["node", "links", "least"])
+
+    def of_one_size(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = {n: table[n].to_numpy() for n in ("cell", "left", "right", "block", "node", "copies")}
+        units = _units(table["raw"].to_pylist(), dtype)
+        sizes = np.diff(np.append(begins, len(table)))
+        whole = rows["left"][begins] == rows["right"][begins]
+        few = np.repeat(np.where(whole & (sizes <= FEW), np.arange(len(begins)), -1), sizes)
+        ps, qs, pairs = [], [], 0
+        for away in range(1, FEW):
+            p = np.flatnonzero((few[:-away] == few[away:]) & (few[:-away] >= 0))
+            for a in range(0, len(p), 4_096):
+                some = p[a:a + 4_096]
+                some = some[_reach(units, some, some + away, settings.cosine)]
+                ps.append(some), qs.append(some + away)
+                pairs += len(some)
+        for g in np.flatnonzero(~whole | (sizes > FEW)).tolist():
+            member = np.arange(begins[g], begins[g] + sizes[g])
+            if whole[g]:
+                p, q = _linked(units, member, member, settings.cosine)
+                p, q = p[p < q], q[p < q]
+            else:
+                block = rows["block"][member]
+                p, q = _linked(units, member[block == rows["left"][member[0]]],
+                               member[block == rows["right"][member[0]]], settings.cosine)
+            ps.append(p), qs.append(q)
+            pairs += len(p)
+            if pairs >= SETTLED_PAIRS:
+                yield settle(rows, units, np.concatenate(ps), np.concatenate(qs))
+                ps, qs, pairs = [], [], 0
+        if pairs:
+            yield settle(rows, units, np.concatenate(ps), np.concatenate(qs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in itertools.chain(batches, [None]):
-            out: tuple[list, list, list] = ([], [], [])
-            more = zip(*(c.to_pylist() for c in batch.columns), strict=True) if batch is not None else [None]
-            for row in more:
-                if rows and (row is None or row[:5] != rows[0][:5]):
-                    if len(rows) > 1:
-                        for a, b in zip(out, group(rows), strict=True):
-                            a.extend(b)
-                    rows = []
-                if row is not None:
-                    rows.append(row)
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=["node", "links", "least"])
+        for table, begins in _whole_groups(batches, ["label", "size", "cell", "left", "right"]):
+            # Vectors of one size follow each other; those of one label and size at least.
+            size = table["size"].to_numpy()[begins]
+            cut = np.flatnonzero(np.diff(size, prepend=-1))
+            for x, y in zip(cut, np.append(cut[1:], len(begins)), strict=True):
+                first, stop = begins[x], begins[y] if y < len(begins) else len(table)
+                yield from of_one_size(table.slice(first, stop - first), begins[x:y] - first)
     return run
 
 

@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 
+from opslog.llm import lattice
 from opslog.llm.lattice import NEIGHBOURS, Settings, cells, nearest_e8, similar_vectors, tables_for
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
@@ -119,3 +121,39 @@ def test_finer_cells_find_the_same_links(spark):
     fine = Settings().for_rows(10_000)
     assert fine.blocks == 2
     assert result(spark.createDataFrame(rows, SCHEMA), blocks=2, scale=fine.scale, probes=16) == brute(rows)
+
+
+def test_meetings_hash_a_vector_once_for_many_groups(monkeypatch):
+    """Six near vectors in every cell they share: 15 links, found in many groups, across batches."""
+    rng = np.random.default_rng(7)
+    settings = Settings().for_rows(10_000)
+    x = unit(rng.normal(size=32) + rng.normal(size=(6, 32)) * 0.05).astype(np.float32)
+    found = cells(lattice._units([v.tobytes() for v in x], np.float32), settings).reshape(6, -1)
+    rows = sorted((int(c), i) for i in range(6) for c in set(found[i].view(np.int64).tolist()))
+    batch = pa.record_batch([
+        pa.array([1] * len(rows), pa.int32()), pa.array([128] * len(rows), pa.int32()), pa.array([c for c, _ in rows]),
+        *(pa.array([0] * len(rows), pa.int32()) for _ in range(3)), pa.array([10 + i for _, i in rows]),
+        pa.array([1] * len(rows)), pa.array([x[i].tobytes() for _, i in rows], pa.binary()),
+    ], names=["label", "size", "cell", "left", "right", "block", "node", "copies", "raw"])
+    hashed = []
+    keys = lattice._keys
+    monkeypatch.setattr(lattice, "_keys", lambda units, *rest: hashed.append(len(units)) or keys(units, *rest))
+
+    def links(batches):
+        got = {}
+        for out in lattice._meet(settings, np.float32)(iter(batches)):
+            for node, n, least in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                got[node] = got.get(node, 0) + n
+                assert least >= 10
+        return got
+
+    assert links([batch]) == {10 + i: 5 for i in range(6)}
+    groups = len({c for c, _ in rows})
+    assert groups > 20 and sum(hashed) <= 6 * tables_for(32, settings), (groups, hashed)
+    assert links([batch.slice(a, 7) for a in range(0, len(batch), 7)]) == {10 + i: 5 for i in range(6)}
+
+
+def test_vectors_of_whole_numbers_and_odd_parts_are_packed(spark):
+    rows = [(1, [1, 2, 3], 1), (2, [2, 4, 6], 1), (3, [0, 0, 0], 1), (4, [1, None, 3], 1), (5, None, 1), (6, [], 1), (7, [5], 1)]
+    got = result(spark.createDataFrame(rows, "vec_id bigint, embedding array<int>, label int"))
+    assert got == {1: (1, 1, True), 2: (1, 1, False)} | {i: (0, i, True) for i in range(3, 8)}
