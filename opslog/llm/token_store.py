@@ -7,18 +7,21 @@ through Spark from any store.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslog.llm.alignment import byte_letters
 from opslog.llm.common import stored, tasks_for
 from opslog.llm.words import mix
 
@@ -170,13 +173,22 @@ LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xffā-ſ"
 DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\t\n\x0b\x0c\r \xa0{LETTERS}{DIGITS}]+")
 
+#: The vocabulary's own rules, which the ones above stand for.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 
 class Encoder:
     """Token ids of whole texts; pieces that were met before are not encoded again.
 
     The vocabulary first splits a text into pieces and then merges inside each piece, so the
     ids of a text are those of its pieces one after another. Only plain text without a
-    special token's string is split here; any other text goes to the tokenizer as it is.
+    special token's string is split here; any other text goes to the tokenizer as it is. A new
+    piece is merged by the tokenizer's model alone, without a text built around it.
     """
 
     LIMIT = 1_000_000
@@ -185,6 +197,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        self.known_rules = (rules["normalizer"], rules["pre_tokenizer"]) == (NORMALIZER, SPLITTER)
+        self.letters = {b: c for c, b in byte_letters().items()}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.start()
 
@@ -206,24 +221,31 @@ class Encoder:
                 out[j] = np.array([*enc.ids, END_ID], np.uint32)
         if len(self.number) > self.LIMIT:
             self.start()
-        pieces = {i: PIECES.findall(texts[i].lower()) for i, p in enumerate(plain) if p}
-        fresh = list(set().union(*pieces.values()).difference(self.number)) if pieces else []
+        easy = [i for i, p in enumerate(plain) if p]
+        pieces = [PIECES.findall(texts[i].lower()) for i in easy]
+        fresh = list(set().union(*pieces).difference(self.number))
         if fresh:
             self.learn(fresh)
-        for i, words in pieces.items():
-            at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-            sizes = self.ptr[at + 1] - self.ptr[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            took = np.arange(total) + np.repeat(self.ptr[at] - (ends - sizes), sizes)
-            out[i] = np.append(self.ids[took], np.uint32(END_ID))
+        edges = np.cumsum([0, *map(len, pieces)])
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(pieces)), np.int64, int(edges[-1]))
+        sizes = self.ptr[at + 1] - self.ptr[at]
+        ends = np.zeros(len(at) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.ptr[at] - ends[:-1], sizes)]
+        edges = ends[edges].tolist()
+        for i, first, stop in zip(easy, edges[:-1], edges[1:], strict=True):
+            out[i] = np.append(ids[first:stop], np.uint32(END_ID))
         return out
 
     def learn(self, fresh: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        if self.known_rules:
+            got = [[t.id for t in merge(p if p.isascii() else "".join([letters[b] for b in p.encode()]))] for p in fresh]
+        else:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
         self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh)), strict=True))
         self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum([len(x) for x in got])])
-        self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], np.uint32)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32)])
 
 
 @cache

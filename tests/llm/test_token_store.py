@@ -36,6 +36,34 @@ def test_a_full_cache_starts_again(whole, words):
         assert encoder.encode([text])[0].tolist() == whole(text)
 
 
+class Counted:
+    """A tokenizer that notes how many texts it is given whole."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.texts = tokenizer, tokenizer.model, 0
+
+    def encode_batch_fast(self, texts, **kind):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **kind)
+
+
+def test_new_pieces_go_to_the_model_alone(whole, words):
+    encoder = Encoder(vocabulary_path())
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    texts = [words(50) for _ in range(20)] + ["NAÏVE été's 1²3 ¿qué? ½", "", None, "日本語"]
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert got.tolist() == whole(text), repr(text)
+    assert encoder.tokenizer.texts == 1
+
+
+def test_other_rules_of_a_vocabulary_go_through_its_tokenizer(whole, words):
+    encoder = Encoder(vocabulary_path())
+    encoder.known_rules = False
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    text = words(30)
+    assert encoder.encode([text])[0].tolist() == whole(text) and encoder.tokenizer.texts == len(set(text.split()))
+
+
 def test_perfect_hash_numbers_every_key_once():
     for n in (0, 1, 2, 10, 5000):
         keys = document_keys(list(range(n)))
