@@ -10,11 +10,13 @@ joins: nothing is broadcast and no task sees more than its block or share of pai
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,9 @@ REMEMBERED = 250_000
 #: across it. Checked against the pieces of the second vocabulary when it is opened.
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
 SPACE_MARK = "▁"
+#: Letters with or without a space, then ASCII signs without the apostrophe: byte-level splitting
+#: makes one part of each of the two groups.
+LETTERS_SIGNS = re.compile("( ?[A-Za-zªµºÀ-ÖØ-öø-ſ]+)([!-&(-/:-@[-`{-~]*)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -55,12 +60,35 @@ class ByteLevel:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
+        rules = json.loads(self.tokenizer.to_str())
+        split = rules["pre_tokenizer"] or {}
+        #: Whether LETTERS_SIGNS tells how this vocabulary splits.
+        self.known_rules = (
+            rules["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") is True
+            and split.get("add_prefix_space") is False and all(t["special"] for t in rules["added_tokens"]))
+        self.letter_of = {b: c for c, b in letters.items()}
         by_id = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.token_bytes = [
             bytes(letters.get(c, 0) for c in by_id.get(i, "")) for i in range(max(by_id) + 1)]
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        """Ids of each piece; the parts of a plain one go to the model alone."""
+        merge, letter = self.tokenizer.model.tokenize, self.letter_of
+        signs: dict[str, list[int]] = {"": []}
+        out: list[list[int] | None] = [None] * len(pieces)
+        hard = []
+        for i, piece in enumerate(pieces):
+            if not self.known_rules or (m := LETTERS_SIGNS.fullmatch(piece)) is None:
+                hard.append(i)
+                continue
+            word, sign = m.groups()
+            if sign not in signs:
+                signs[sign] = [t.id for t in merge(sign)]
+            out[i] = [t.id for t in merge("".join([letter[b] for b in word.encode()]))] + signs[sign]
+        for i, e in zip(hard, self.tokenizer.encode_batch_fast(
+                [pieces[i] for i in hard], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
 
 
 class Pieces:
@@ -102,7 +130,7 @@ class Remembered:
     def learn(self, pieces: list[str]) -> None:
         got = self.encode(pieces)
         self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum([len(x) for x in got])])
-        self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], np.int32)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.int32)])
 
     def lists(self, numbers: np.ndarray, ptr: np.ndarray) -> pa.LargeListArray:
         """The ids of texts ``numbers[ptr[i]:ptr[i + 1]]``."""
@@ -129,26 +157,52 @@ class Tokenizers:
     def start(self) -> None:
         self.number: dict[str, int] = {}
         self.remembered = tuple(map(Remembered, self.encoders))
+        self.exact = np.zeros(0, bool)
 
-    def encode(self, texts: list[str]) -> tuple[pa.LargeListArray, pa.LargeListArray]:
-        """Token ids of space + text under both vocabularies; an empty text has none."""
+    def numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, pointers): the pieces of text i are ``numbers[ptr[i]:ptr[i + 1]]``."""
         if len(self.number) > REMEMBERED:
             self.start()
         pieces = [self.cut(f" {t}") if t else [] for t in texts]
         fresh = list(set().union(*pieces).difference(self.number))
         if fresh:
             self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh)), strict=True))
+            many, each = np.arange(len(self.exact), len(self.number)), np.arange(len(fresh) + 1)
             for vocabulary in self.remembered:
                 vocabulary.learn(fresh)
+            want = pa.array([p.encode() for p in fresh], pa.large_binary())
+            self.exact = np.append(self.exact, self.give(want, tuple(v.lists(many, each) for v in self.remembered)))
         ptr = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(p) for p in pieces], out=ptr[1:])
-        numbers = np.fromiter((self.number[p] for text in pieces for p in text), np.int64, int(ptr[-1]))
+        return np.fromiter(map(self.number.__getitem__, chain.from_iterable(pieces)), np.int64, int(ptr[-1])), ptr
+
+    def encode(self, texts: list[str]) -> tuple[pa.LargeListArray, pa.LargeListArray]:
+        """Token ids of space + text under both vocabularies; an empty text has none."""
+        return self.lists(*self.numbered(texts))
+
+    def lists(self, numbers: np.ndarray, ptr: np.ndarray) -> tuple[pa.LargeListArray, pa.LargeListArray]:
         return tuple(v.lists(numbers, ptr) for v in self.remembered)
 
+    def checked(self, texts: list[str]) -> tuple[tuple[pa.LargeListArray, pa.LargeListArray], np.ndarray]:
+        """(token ids, whether they give back the text). A text of exact pieces does; only the
+        others are put together and compared."""
+        numbers, ptr = self.numbered(texts)
+        tokens = self.lists(numbers, ptr)
+        inexact = np.concatenate([[0], np.cumsum(~self.exact[numbers])])[ptr]
+        doubtful = np.flatnonzero(np.diff(inexact))
+        faithful = np.ones(len(texts), bool)
+        if len(doubtful):
+            faithful[doubtful] = self.faithful(
+                [texts[i] for i in doubtful], tuple(t.take(pa.array(doubtful)) for t in tokens))
+        return tokens, faithful
+
     def faithful(self, texts: list[str], tokens: tuple[pa.LargeListArray, ...]) -> np.ndarray:
         """Whether the bytes of the tokens are those of space + text, under both vocabularies."""
-        want = pa.array([f" {t}".encode() if t else b"" for t in texts], pa.large_binary())
-        same = np.ones(len(texts), bool)
+        return self.give(pa.array([f" {t}".encode() if t else b"" for t in texts], pa.large_binary()), tokens)
+
+    def give(self, want: pa.LargeBinaryArray, tokens: tuple[pa.LargeListArray, ...]) -> np.ndarray:
+        """Whether the bytes of the tokens, joined, are the wanted ones under both vocabularies."""
+        same = np.ones(len(want), bool)
         for ids, table in zip(tokens, self.token_bytes, strict=True):
             lists = pa.LargeListArray.from_arrays(ids.offsets, pc.take(table, ids.values))
             same &= pc.equal(pc.binary_join(lists, pa.scalar(b"", pa.large_binary())), want).to_numpy(zero_copy_only=False)
@@ -165,13 +219,12 @@ def shared_tokenizers(a_path: str, b_path: str) -> Tokenizers:
 # --- alignment of a batch -------------------------------------------------------------
 
 def _ends(ids: pa.LargeListArray, lengths: pa.Array) -> pa.Table:
-    """One row per token: its document, the byte at which it ends there, its place and id."""
+    """One row per token: where it ends, its place and id. The end counts the bytes of all
+    documents so far and one for each document before, so it stands for (document, end) where
+    both vocabularies give the same bytes."""
     token, parent = pc.list_flatten(ids), pc.list_parent_indices(ids)
     total = pc.cumulative_sum(pc.take(lengths, token)).to_numpy()
-    before = np.concatenate([[0], total])[ids.offsets.to_numpy()[:-1]]
-    document = parent.to_numpy()
-    return pa.table({
-        "document": document, "end": total - before[document], "place": np.arange(len(total)), "id": token})
+    return pa.table({"end": total + parent.to_numpy(), "place": np.arange(len(total)), "id": token})
 
 
 def _group_texts(tokens: pa.LargeListArray, names: pa.Array, cuts: np.ndarray) -> pa.Array:
@@ -184,16 +237,16 @@ def _group_texts(tokens: pa.LargeListArray, names: pa.Array, cuts: np.ndarray) -
 def align_batch(texts: list[str | None], tokenizers: Tokenizers) -> pa.Table:
     """n_a, n_b, groups (text) and links (a << 32 | b, in order) of every text."""
     texts = [t or "" for t in texts]
-    tokens = tokenizers.encode(texts)
-    faithful = tokenizers.faithful(texts, tokens)
+    tokens, faithful = tokenizers.checked(texts)
     if not faithful.all():
         texts = [t if ok else "" for t, ok in zip(texts, faithful.tolist(), strict=True)]
         tokens = tokenizers.encode(texts)
     a, b = (_ends(ids, lengths) for ids, lengths in zip(tokens, tokenizers.lengths, strict=True))
-    linked = a.join(b, ["document", "end"], join_type="inner", right_suffix="_b", use_threads=False)
-    linked = linked.sort_by("place")
+    linked = a.join(b, "end", join_type="inner", right_suffix="_b", use_threads=False)
+    if (np.diff(linked["place"].to_numpy()) < 1).any():
+        linked = linked.sort_by([("place", "ascending"), ("place_b", "ascending")])
     pairs = (linked["id"].to_numpy().astype(np.int64) << 32) | linked["id_b"].to_numpy().astype(np.int64)
-    ptr = np.searchsorted(linked["document"].to_numpy(), np.arange(len(texts) + 1))
+    ptr = np.searchsorted(linked["place"].to_numpy(), tokens[0].offsets.to_numpy())
     sides = [
         _group_texts(ids, names, linked[place].to_numpy())
         for ids, names, place in zip(tokens, tokenizers.names, ("place", "place_b"), strict=True)]

@@ -57,6 +57,34 @@ def test_pieces_give_the_tokens_of_whole_texts(whole):
             assert [got[0][i], got[1][i]] == [[t for t, _ in side] for side in whole(text)], repr(text)
 
 
+def test_plain_new_pieces_go_to_the_model_alone(words, whole):
+    tokenizers = Tokenizers(*vocabulary_paths())
+    byte_level, given = tokenizers.encoders[0].__self__, []
+    tokenizer = byte_level.tokenizer
+
+    class Counted:
+        model = tokenizer.model
+
+        def encode_batch_fast(self, pieces, **kind):
+            given.extend(pieces)
+            return tokenizer.encode_batch_fast(pieces, **kind)
+
+    byte_level.tokenizer = Counted()
+    texts = [words(60) + ", Größe; (no) end. don't" for _ in range(5)]
+    for text, *got in zip(texts, *(ids.to_pylist() for ids in tokenizers.encode(texts)), strict=True):
+        assert got == [[t for t, _ in side] for side in whole(text)]
+    assert set(given) == {" (no)", " don't"}
+
+
+def test_only_texts_with_an_inexact_piece_are_compared_whole(monkeypatch):
+    tokenizers, compared = Tokenizers(*vocabulary_paths()), []
+    faithful = tokenizers.faithful
+    monkeypatch.setattr(tokenizers, "faithful", lambda texts, tokens: compared.extend(texts) or faithful(texts, tokens))
+    got = alignment.align_batch(["plain words", "a ▁ mark", None, "", "naïve"], tokenizers)
+    assert compared == ["a ▁ mark"]
+    assert [n > 0 for n in got["n_a"].to_pylist()] == [True, False, False, False, True]
+
+
 def plain(rows, whole):
     links, out = [], []
     for doc_id, text in rows:
