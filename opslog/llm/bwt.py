@@ -9,10 +9,12 @@ import numpy as np
 
 @dataclass(frozen=True)
 class Bwt:
-    """``symbol[i]`` stands before the i-th suffix (0 ends a string); ``at[i]`` is its place."""
+    """``symbol[i]`` stands before the i-th suffix (0 ends a string); ``at[i]`` is its place;
+    ``head[i]`` are its first bytes, with zeros behind the end of its string."""
 
     symbol: np.ndarray
     at: np.ndarray
+    head: np.ndarray
 
 
 def build(text: np.ndarray, starts: np.ndarray, base: int, depth: int) -> Bwt:
@@ -33,6 +35,8 @@ def build(text: np.ndarray, starts: np.ndarray, base: int, depth: int) -> Bwt:
     key = np.zeros(n, np.uint64)
     for j in range(known):
         key = key << bits | np.where(j <= room, padded[j:j + n], 0).astype(np.uint64)
+    # The first symbols twice as far, as big-endian bytes that compare like the suffixes.
+    head = np.stack([key, np.where(known <= room, key[np.minimum(place + known, n - 1)], 0)], 1).astype(">u8")
     while True:
         order = np.argsort(key)
         new = np.ones(n, np.int64)
@@ -46,13 +50,13 @@ def build(text: np.ndarray, starts: np.ndarray, base: int, depth: int) -> Bwt:
     before = np.empty_like(text)
     before[1:] = text[:-1]
     before[starts] = 0
-    return Bwt(before[order], order + base)
+    return Bwt(before[order], order + base, head[order].view(f"S{head.itemsize * 2}")[:, 0])
 
 
 def merge(shards: list[Bwt], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(places in merged order, number of the interval of each).
 
-    Start with the shards one after another. In each round the rows are dealt out by the
+    Start with the interleave by the heads, which merges sorted runs. In each round the rows are dealt out by the
     symbol before them, keeping their order: what was sorted by h symbols is then sorted by
     h + 1, and rows of a shard never change places among each other, so only the interleave
     of the shards is refined. An interval border falls where the symbol or the interval of
@@ -65,7 +69,16 @@ def merge(shards: list[Bwt], depth: int) -> tuple[np.ndarray, np.ndarray]:
     interval = np.zeros(n, np.int32)
     symbol = np.empty(n, np.result_type(*(s.symbol for s in shards)))
     border = np.zeros(n, bool)
-    for _ in range(depth):
+    known = min(s.head.itemsize // s.symbol.itemsize for s in shards)
+    if n and known <= depth and len({s.symbol.dtype for s in shards}) == 1:
+        head = np.concatenate([s.head for s in shards])
+        deal = np.argsort(head, kind="stable")
+        source, head = source[deal], head[deal]
+        np.not_equal(head[1:], head[:-1], out=border[1:])
+        interval = np.cumsum(border, dtype=np.int32)
+    else:
+        known = 0
+    for _ in range(depth - known):
         for i, shard in enumerate(shards):
             symbol[source == i] = shard.symbol
         deal = np.argsort(symbol, kind="stable")

@@ -93,3 +93,26 @@ def test_merged_transforms_give_the_intervals_of_all_suffixes():
                 assert seen.setdefault(i, suffix) == suffix
                 order.append(suffix)
         assert order == sorted(order) and len(seen) == len(set(order))
+
+
+def test_merge_starts_from_the_heads_of_the_suffixes(monkeypatch):
+    """A 50-byte interval takes 34 rounds after the first 16 bytes, and is the same as with none."""
+    rng = random.Random(4)
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 90))) for _ in range(40)]
+    strings += [s[3:] + b"z" for s in strings[:20]]
+    docs = np.arange(len(strings))
+    found = substring_dedup.repeated(strings, docs)
+    first = {}
+    for d, s in enumerate(strings):
+        for i in range(len(s) - 49):
+            first.setdefault(s[i:i + 50], d)
+    assert [f.tolist() for f in found] == [
+        [i for i in range(len(s) - 49) if first[s[i:i + 50]] < d] for d, s in enumerate(strings)]
+    text = np.frombuffer(b"\xff".join(strings) + b"\xff", np.uint8) + np.uint8(1)
+    begins = np.cumsum([0] + [len(s) + 1 for s in strings[:-1]])
+    cut = begins[30]
+    shards = [build(text[:cut], begins[:30], 0, 64), build(text[cut:], begins[30:] - cut, int(cut), 64)]
+    rounds, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: rounds.append(1) or argsort(*a, **k))
+    merge(shards, 50)
+    assert len(rounds) <= 36
